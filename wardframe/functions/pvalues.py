@@ -9,6 +9,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -70,11 +71,11 @@ def chi_square_tail(x: float, dof: float) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([student_two_sided(a, b) for a, b in zip(t, dof, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi_square_tail(a, b) for a, b in zip(x, dof, strict=True)], dtype="float64")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe.functions.pvalues import chi_square_p, student_p
-from wardframe.operators.ranks import quantiles_of, spearman
+from wardframe.operators.moments import covariances
+from wardframe.operators.ranks import grouped_quantiles, spearman
 
 # Fixed values: |r| from which two predictors count as redundant.
 REDUNDANT = 0.8
@@ -57,12 +58,9 @@ def target_by_level(df: DataFrame, level: str, target: str) -> DataFrame:
     table = known.groupBy(F.col(level).cast("string").alias("nivel")).agg(
         F.count(y).alias("n"), F.avg(y).alias("media"), F.stddev_samp(y).alias("desv_estandar")
     )
-    long = known.select(F.col(level).cast("string").alias("column"), y.alias("value"))
-    levels = [r[0] for r in table.select("nivel").collect()]
-    medians = quantiles_of(long, levels, [0.5])
-    pairs = [(name, q[0]) for name, q in medians.items()]
-    median = df.sparkSession.createDataFrame(pairs, "nivel string, mediana double")
-    return table.join(F.broadcast(median), "nivel").select("nivel", "n", "media", "mediana", "desv_estandar")
+    long = known.select(F.col(level).cast("string").alias("nivel"), y.alias("y"))
+    median = grouped_quantiles(long, "nivel", "y", {"mediana": 0.5})
+    return table.join(median, "nivel", "left").select("nivel", "n", "media", "mediana", "desv_estandar")
 
 
 def welch_and_cohen(df: DataFrame, boolean: str, target: str) -> DataFrame:
@@ -158,25 +156,24 @@ def means_by_level(df: DataFrame, level: str, columns: Sequence[str], decimals:
     )
 
 
-def gram_sums(df: DataFrame, columns: Sequence[str], shifts: Sequence[float]) -> list[Column]:
-    """Sums and shifted cross products of the columns, for one aggregation."""
-    xs = [F.col(c).cast("double") - F.lit(float(s)) for c, s in zip(columns, shifts, strict=True)]
-    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
-    return sums + [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
-
-
 def variance_inflation(df: DataFrame, columns: Sequence[str], decimals: int = 3) -> DataFrame:
-    """(variable, r2_contra_las_demas, vif): the diagonal of the inverse correlation matrix of the
-    complete rows.  Spark produces the k x k sums; only those reach the driver."""
+    """(variable, r2_contra_las_demas, vif) over the complete rows, largest first.
+
+    Spark produces the k x k covariances in one pass; only those reach the driver.  A column that
+    the others determine has an infinite factor.
+    """
     complete = df.where(reduce(lambda u, v: u & v, [F.col(c).isNotNull() for c in columns]))
-    means = complete.agg(*[F.avg(F.col(c).cast("double")) for c in columns]).first()
-    shifts = [m or 0.0 for m in means]
-    row = complete.agg(F.count("*").alias("n"), *gram_sums(complete, columns, shifts)).first().asDict()
-    k, n = len(columns), row["n"]
-    cov = np.array([[row[f"p{min(i, j)}_{max(i, j)}"] - row[f"s{i}"] * row[f"s{j}"] / n for j in range(k)] for i in range(k)])
+    _, _, cov = covariances(complete, columns)
     scale = np.sqrt(np.diag(cov))
-    inverse = np.linalg.pinv(cov / np.outer(scale, scale))
-    lines = [(c, round(float(1 - 1 / inverse[i, i]), decimals), round(float(inverse[i, i]), decimals)) for i, c in enumerate(columns)]
+    scale[scale == 0] = 1.0
+    corr = cov / np.outer(scale, scale)
+    lines = []
+    for i, c in enumerate(columns):
+        others = [j for j in range(len(columns)) if j != i]
+        weights, *_ = np.linalg.lstsq(corr[np.ix_(others, others)], corr[others, i], rcond=1e-12)
+        r2 = float(min(1.0, corr[i, others] @ weights))
+        vif = float("inf") if 1 - r2 < 1e-12 else 1 / (1 - r2)
+        lines.append((c, round(r2, decimals), round(vif, decimals)))
     lines.sort(key=lambda line: -line[2])
     return df.sparkSession.createDataFrame(lines, "variable string, r2_contra_las_demas double, vif double")
 

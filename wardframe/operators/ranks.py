@@ -133,6 +133,30 @@ def quantiles_of(long, columns, probabilities, small_rows=SMALL_TABLE_ROWS):
     return result
 
 
+def grouped_quantiles(
+    long: DataFrame, group: str, value: str, probabilities: Mapping[str, float],
+    small_rows: int = SMALL_TABLE_ROWS,
+) -> DataFrame:
+    """(group, <name>...): exact interpolated quantiles per group, for any number of groups."""
+    counts = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("cnt"))
+    cumulated = running_counts(counts, [group], value, ["cnt"], small_rows)
+    sizes = cumulated.groupBy(group).agg(F.sum("cnt").alias("_n"))
+    positioned = cumulated.join(sizes, group)
+    aggregates = []
+    for name, p in probabilities.items():
+        low = F.floor((F.col("_n") - 1) * F.lit(p)) + 1
+        aggregates += [
+            F.min(F.when(F.col("cum_cnt") >= low, F.col(value))).alias(f"_lo_{name}"),
+            F.min(F.when(F.col("cum_cnt") >= F.least(low + 1, F.col("_n")), F.col(value))).alias(f"_hi_{name}"),
+        ]
+    table = positioned.groupBy(group, "_n").agg(*aggregates)
+    return table.select(group, *[
+        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
+         * ((F.col("_n") - 1) * F.lit(p) - F.floor((F.col("_n") - 1) * F.lit(p)))).alias(name)
+        for name, p in probabilities.items()
+    ])
+
+
 @dataclass(frozen=True)
 class Cut:
     """The row at a rank in (value, tie) order; ``tie`` is None when the whole value is included."""
