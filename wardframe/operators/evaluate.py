@@ -96,7 +96,7 @@ def fold_predictions(
     time: str | None = None,
 ) -> DataFrame:
     """(repeticion, fold, rol, y, prediction) with the whole pipeline refitted for every fold."""
-    rows = fold_rows(df, scheme, key, target, folds, repeats, seed, time).persist()
+    rows = fold_rows(df, scheme, key, target, folds, repeats, seed, time)
     past_only = scheme == "series_temporales"
     rounds = repeats if scheme == "repetido" else 1
     frames = []
@@ -252,7 +252,7 @@ def learning_curve(
     df: DataFrame, fit: Fit, target: str, key: str, folds: int = 5, seed: int = 42, shares: Sequence[float] = CURVE_SHARES
 ) -> DataFrame:
     """Learning curve of any model, with non-repeated folds and nested training sets."""
-    rows = df.withColumn("fold", hash_fold(F.col(key), folds, f"fold{seed}r1")).withColumn("_draw", hash60(F.col(key), f"curve{seed}")).persist()
+    rows = df.withColumn("fold", hash_fold(F.col(key), folds, f"fold{seed}r1")).withColumn("_draw", hash60(F.col(key), f"curve{seed}"))
     frames = []
     for f in range(folds):
         for i, share in enumerate(shares):
@@ -475,3 +475,15 @@ def indicator_summary(indicators: Mapping[str, DataFrame]) -> DataFrame:
     """(indicador, valor) from one-cell frames."""
     parts = [d.select(F.lit(name).alias("indicador"), F.col(d.columns[0]).cast("double").alias("valor")) for name, d in indicators.items()]
     return reduce(DataFrame.unionAll, parts)
+
+
+def compare_variants(
+    fits: Mapping[str, Fit], df: DataFrame, target: str, key: str, folds: int = 5, repeats: int = 5, seed: int = 42
+) -> DataFrame:
+    """(variante, MAE, desviacion): validation MAE of each variant on the same repeated folds, ascending."""
+    parts = [
+        fold_predictions(df, fit, "repetido", key, target, folds, repeats, seed).where("rol = 'validacion'").withColumn("variante", F.lit(name))
+        for name, fit in fits.items()
+    ]
+    scores = regression_metrics(reduce(DataFrame.unionAll, parts), "y", by=["variante", "repeticion", "fold"], ranks=False)
+    return scores.groupBy("variante").agg(F.avg("MAE").alias("MAE"), F.stddev_pop("MAE").alias("desviacion")).orderBy("MAE")
