@@ -10,6 +10,7 @@ from catalog.base import (
 from wardframe.operators import evaluate, prep, split
 from wardframe.operators.contracts import ContractError
 from wardframe.operators.models import fit_linear
+from wardframe.sources.scratch import materialised
 
 SPLIT_FRAME = f"(SELECT *, {SPLIT} AS split FROM {FRAME} AS raw_frame)"
 
@@ -254,5 +255,5 @@ VARIANTS = {
 
 @query("g10_variant_comparison")
 def g10(spark, sf):
-    train, _ = sides(spark, sf)
+    train = materialised(sides(spark, sf)[0], "train")
     return evaluate.compare_variants({n: (lambda df, p=p: fit_linear(df, TARGET, p, 1.0)) for n, p in VARIANTS.items()}, train, TARGET, "key", folds=3, repeats=1)

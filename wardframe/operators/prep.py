@@ -61,10 +61,16 @@ def ordinal_code(column: Column, order: Sequence[object]) -> Column:
     return F.when(column.isNull(), F.lit(None).cast("double")).when(place > 0, (place - 1).cast("double")).otherwise(failed.cast("double"))
 
 
+def level_name(column: str, value: object) -> str:
+    """<column>_<level> without characters that would need quoting; 1.0 and 1 read the same."""
+    text = f"{value:g}" if isinstance(value, float) else str(value)
+    return f"{column}_{text.replace('.', '_').replace('`', '_')}"
+
+
 def one_hot(df: DataFrame, column: str, categories: Sequence[object]) -> DataFrame:
     """One 0/1 column per category seen in train; an unknown value gives zeros everywhere."""
     return df.withColumns({
-        f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("double"), F.lit(0.0)) for v in categories
+        level_name(column, v): F.coalesce((F.col(column) == F.lit(v)).cast("double"), F.lit(0.0)) for v in categories
     })
 
 
@@ -198,7 +204,7 @@ def prep_columns(plan: PrepPlan, learned: Mapping, types: Mapping[str, str]) ->
         if c in plan.ordinal:
             if plan.onehot:
                 for v in learned["seen"][c]:
-                    out[f"{c}_{v}"] = F.coalesce((value == F.lit(v)).cast("double"), F.lit(0.0))
+                    out[level_name(c, v)] = F.coalesce((value == F.lit(v)).cast("double"), F.lit(0.0))
                 continue
             value = ordinal_code(value, plan.ordinal[c])
         if c in learned["scales"]:

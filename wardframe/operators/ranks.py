@@ -9,7 +9,6 @@ shifted by the totals of the earlier partitions.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -96,13 +95,6 @@ def values_at_ranks(
     return found
 
 
-def quantile_ranks(n: int, p: float) -> tuple[int, int, float]:
-    """Linear interpolation: the two 1-based ranks around a quantile and the upper weight."""
-    position = (n - 1) * p
-    low = math.floor(position)
-    return low + 1, min(low + 2, n), position - low
-
-
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -113,24 +105,14 @@ def exact_quantiles(
     return quantiles_of(long_numbers(df, columns), columns, probabilities, small_rows)
 
 
-def quantiles_of(long, columns, probabilities, small_rows=SMALL_TABLE_ROWS):
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    cumulated = running_counts(counts, ["column"], "value", ["cnt"], small_rows)
-    sizes = {r[0]: r[1] for r in cumulated.groupBy("column").agg(F.sum("cnt")).collect()}
-    ranks = {c: [r for p in probabilities for r in quantile_ranks(n, p)[:2]] for c, n in sizes.items()}
-    at = values_at_ranks(cumulated, "column", "value", ranks)
-    result: dict[str, list[float | None]] = {}
-    for c in columns:
-        if c not in sizes:
-            result[c] = [None] * len(probabilities)
-            continue
-        line = []
-        for p in probabilities:
-            low, high, weight = quantile_ranks(sizes[c], p)
-            a, b = at[c, low][0], at[c, high][0]
-            line.append(a + (b - a) * weight)
-        result[c] = line
-    return result
+def quantiles_of(
+    long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int = SMALL_TABLE_ROWS
+) -> dict[str, list[float | None]]:
+    """Quantiles of a (column, value) frame; one small row per column reaches the driver."""
+    named = {f"q{i}": p for i, p in enumerate(probabilities)}
+    rows = grouped_quantiles(long, "column", "value", named, small_rows).collect()
+    found = {r["column"]: [r[n] for n in named] for r in rows}
+    return {c: found.get(c, [None] * len(probabilities)) for c in columns}
 
 
 def grouped_quantiles(
