@@ -6,7 +6,7 @@ both sides.  Amounts are summed as whole cents, so both engines see the same bit
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,11 +116,14 @@ def heuristic_scored(spark: SparkSession, folder: str) -> DataFrame:
     """Test rows with the prediction of the recalibrated heuristic fitted on train rows."""
     from wardframe.operators.models import fit_heuristic
 
-    parted = split_frame(spark, folder)
+    parted = written(split_frame(spark, folder))
     model = fit_heuristic(parted.where("split = 'train'"), TARGET, SCORE_DOMAINS)
     # the last bits of a sum depend on its order, and ranks look at every bit
     return model.transform(parted.where("split = 'test'")).withColumn("prediction", F.round("prediction", 9))
 
 
-def columns_sql(names: Sequence[str]) -> str:
-    return ", ".join(names)
+def written(df: DataFrame) -> DataFrame:
+    """For queries that read a derived frame several times."""
+    from wardframe.sources.scratch import materialised
+
+    return materialised(df, "frame")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DOMAINS, LEVELS, SCORE, SCORE_DOMAINS, TARGET, heuristic_scored, query, rounded, rsql, scored_cte, sql_hash, table
-from catalog.modelling import _E, _Q, _T, fitted
+from catalog.base import DOMAINS, LEVELS, SCORE, SCORE_DOMAINS, TARGET, heuristic_scored, query, rounded, rsql, scored_cte, sql_hash, table, written
+from catalog.modelling import _E, _Q, _T
 from catalog.splitting import sides
 from wardframe.functions.cleaning import NULL_SENTINELS
 from wardframe.operators import explain, models, prep, score
@@ -49,13 +49,13 @@ def small_forest(train):
 
 @query("j1_permutation_importance_trees")
 def j1t(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     return explain.permutation_importance(test, small_forest(train), FEATURES, TARGET, "key", 5)
 
 
 @query("j2_impurity_importance")
 def j2(spark, sf):
-    train, _ = fitted(spark, sf)
+    train, _ = sides(spark, sf)
     model = small_forest(train)
     return explain.impurity_importance(model, model.stages[0].feature_names(), spark)
 
@@ -71,7 +71,7 @@ def j3(spark, sf):
 
 @query("j3_tree_contributions")
 def j3t(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     return explain.shapley_contributions(*_tree_inputs(train, test))
 
 
@@ -87,7 +87,7 @@ def _tree_inputs(train, test):
 
 @query("j4_importance_comparison")
 def j4(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     model = small_forest(train)
     names = model.stages[0].feature_names()
     impurity = explain.impurity_importance(model, names, spark)
@@ -215,7 +215,7 @@ def raw_batch(test):
 @query("k1_batch_score", rsql(scored_cte() + f"SELECT CAST(t.key AS VARCHAR) AS key, CAST(s.quantity AS BIGINT) AS quantity, s.level, s.open, t.prediccion, t.cesta, t.limite_inferior, t.limite_superior, t.advertencia FROM s JOIN ({_INTERPRETED}) AS t USING (key)", *_OUT))
 def k1(spark, sf):
     model, _, test = heuristic(spark, sf)
-    ready = score.prepare_batch(raw_batch(test), FEATURES, BATCH_TYPING, BATCH_CONTRACT, NULL_SENTINELS)
+    ready = score.prepare_batch(written(raw_batch(test)), FEATURES, BATCH_TYPING, BATCH_CONTRACT, NULL_SENTINELS)
     return rounded(score.score_batch(ready, model, FEATURES).drop("target", "discount", "tax"))
 
 

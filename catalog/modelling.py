@@ -8,24 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    FRAME, SCORE, SCORE_DOMAINS, TARGET, heuristic_scored, order_frame, query, rounded, rsql, scored_cte, split_frame, sql_hash, table,
+    FRAME, SCORE, SCORE_DOMAINS, TARGET, heuristic_scored, order_frame, query, rounded, rsql, scored_cte, sql_hash, table, written,
 )
 from catalog.splitting import PLAN, SPLIT_FRAME, sides
 from wardframe.operators import evaluate, models, split
 from wardframe.operators.prep import PrepPlan
-from wardframe.sources.scratch import materialised
 
 
 def score_column():
     return F.expr(models.heuristic_sql(SCORE_DOMAINS, list(SCORE_DOMAINS)))
 
 
-def fitted(spark, sf):
-    """Train rows (written once) and test rows."""
-    parted = materialised(split_frame(spark, sf), "parted")
-    return parted.where("split = 'train'"), parted.where("split = 'test'")
-
-
 # --- H ------------------------------------------------------------------------------------
 
 _T, _E = f"(SELECT * FROM {SPLIT_FRAME} AS p WHERE split = 'train')", f"(SELECT * FROM {SPLIT_FRAME} AS p WHERE split = 'test')"
@@ -53,7 +46,7 @@ def h3(spark, sf):
 
 @query("h4_ridge")
 def h4(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     scored = models.fit_linear(train, TARGET, PLAN, 1.0).transform(test)
     return evaluate.regression_metrics(scored, TARGET)
 
@@ -71,20 +64,20 @@ def h5(spark, sf):
 
 @query("h5_linear_many")
 def h5m(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     return evaluate.regression_metrics(models.fit_linear(train, TARGET, PLAN).transform(test), TARGET)
 
 
 @query("h6_tree_ensemble")
 def h6(spark, sf):
-    train, test = fitted(spark, sf)
+    train, test = sides(spark, sf)
     scored = models.fit_trees(train, TARGET, PLAN, models.forest(20, depth=6)).transform(test)
     return evaluate.regression_metrics(scored, TARGET)
 
 
 @query("h7_model_search")
 def h7(spark, sf):
-    train, _ = fitted(spark, sf)
+    train, _ = sides(spark, sf)
     grid = {
         "ridge": [(f"alpha={a}", lambda df, a=a: models.fit_linear(df, TARGET, PLAN, a)) for a in (0.1, 10.0)],
         "random_forest": [("trees=10,depth=4", lambda df: models.fit_trees(df, TARGET, PLAN, models.forest(10, depth=4)))],
@@ -148,7 +141,7 @@ r AS (SELECT key, grupo, row_number() OVER (PARTITION BY grupo ORDER BY {sql_has
 SELECT CAST(grupo AS INTEGER) AS grupo, CAST((i > ceil(n * 1 / 5.0))::INTEGER + (i > ceil(n * 2 / 5.0))::INTEGER + (i > ceil(n * 3 / 5.0))::INTEGER + (i > ceil(n * 4 / 5.0))::INTEGER AS INTEGER) AS fold,
 count(*) AS n, CAST(sum(key) AS BIGINT) AS keys FROM r GROUP BY 1, 2""")
 def i5(spark, sf):
-    folds = split.stratified_kfold(order_frame(spark, sf), "key", TARGET)
+    folds = split.stratified_kfold(written(order_frame(spark, sf)), "key", TARGET)
     return folds.groupBy("grupo", "fold").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
 
 
@@ -200,7 +193,7 @@ def i7m(spark, sf):
 
 @query("i7_cross_validate_ridge")
 def i7r(spark, sf):
-    train, _ = fitted(spark, sf)
+    train, _ = sides(spark, sf)
     return evaluate.cross_validate(train, lambda df: models.fit_linear(df, TARGET, PLAN, 1.0), TARGET, "key", "kfold")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import FRAME, NUMERIC, TARGET, order_frame, query, rounded, rsql, sql_hash, table
+from catalog.base import FRAME, NUMERIC, TARGET, order_frame, query, rounded, rsql, sql_hash, table, written
 from catalog.cleaning import DIRTY, NAMES, UNIFIED, dirty, unified
 from wardframe.operators import association as asso
 from wardframe.operators import clean, evaluate, prep, profile
@@ -40,7 +40,7 @@ quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, quantile_cont({c
 
 @query("e3_numeric_profile", rsql(_each(_PROFILE.replace("{src}", f"{FRAME} AS f"), ["quantity", "target", "discount"]), "media", "mediana", "moda", "minimo", "maximo", "rango", "q1", "q3", "iqr", "varianza", "desv_estandar", "coef_variacion_pct", "skewness", "kurtosis_exceso", digits=3))
 def e3(spark, sf):
-    return profile.numeric_profile(order_frame(spark, sf), ["quantity", "target", "discount"])
+    return profile.numeric_profile(written(order_frame(spark, sf)), ["quantity", "target", "discount"])
 
 
 @query("e4_outlier_flag", f"""WITH f AS (SELECT * FROM {FRAME} AS x), q AS (SELECT quantile_cont(quantity, 0.25) AS a, quantile_cont(quantity, 0.75) AS b, quantile_cont(target, 0.25) AS c, quantile_cont(target, 0.75) AS d FROM f)

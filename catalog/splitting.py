@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    DOMAINS, FRAME, LEVELS, PREDICTORS, SPLIT, TARGET, order_frame, query, rounded, rsql, split_frame, sql_hash,
+    DOMAINS, FRAME, LEVELS, PREDICTORS, SPLIT, TARGET, order_frame, query, rounded, rsql, split_frame, sql_hash, written,
 )
 from wardframe.operators import evaluate, prep, split
 from wardframe.operators.contracts import ContractError
 from wardframe.operators.models import fit_linear
-from wardframe.sources.scratch import materialised
 
 SPLIT_FRAME = f"(SELECT *, {SPLIT} AS split FROM {FRAME} AS raw_frame)"
 
@@ -38,7 +37,7 @@ def d1(spark, sf):
 @query("d1_split_exact_size", f"""SELECT CASE WHEN r <= ceil(0.25 * n) THEN 'test' ELSE 'train' END AS split, count(*) AS n, CAST(sum(key) AS BIGINT) AS keys
 FROM (SELECT key, rank() OVER (ORDER BY {sql_hash('key', 'split42')}) AS r, count(*) OVER () AS n FROM {FRAME} AS f) AS t GROUP BY 1""")
 def d1x(spark, sf):
-    return split.seeded_split(order_frame(spark, sf), "key", exact=True).groupBy("split").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+    return split.seeded_split(written(order_frame(spark, sf)), "key", exact=True).groupBy("split").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
 
 
 @query("d2_key_overlap", f"""SELECT 'indices_solapados' AS chequeo, '' AS columna, CASE WHEN count(*) > 0 THEN 'error' ELSE 'ok' END AS severidad, CAST(count(*) AS DOUBLE) AS estadistico, 0.0 AS umbral
@@ -111,8 +110,8 @@ def d8(spark, sf):
 
 @query("d9_domain_classifier")
 def d9(spark, sf):
-    clean_side = split.check_domain(split_frame(spark, sf), ["quantity", "discount", "tax"], "key")
-    return clean_side.unionByName(split.check_domain(drifted(spark, sf), ["quantity", "discount", "tax"], "key"))
+    clean_side = split.check_domain(written(split_frame(spark, sf)), ["quantity", "discount", "tax"], "key")
+    return clean_side.unionByName(split.check_domain(written(drifted(spark, sf)), ["quantity", "discount", "tax"], "key"))
 
 
 _REPORT = f"""SELECT 'indices_solapados' AS chequeo, '' AS columna, 'ok' AS severidad, 0.0 AS estadistico, 0.0 AS umbral FROM {DRIFTED} AS t HAVING count(*) > 0
@@ -127,12 +126,12 @@ UNION ALL {_NEW} UNION ALL {_NULLS}"""
 
 @query("d10_split_report", rsql(_REPORT, "estadistico"))
 def d10(spark, sf):
-    return rounded(split.split_report(drifted(spark, sf), "key", TARGET, PREDICTORS, ["level", "open"], domain=False).drop("detalle"))
+    return rounded(split.split_report(written(drifted(spark, sf)), "key", TARGET, PREDICTORS, ["level", "open"], domain=False).drop("detalle"))
 
 
 @query("d11_split_gate")
 def d11(spark, sf):
-    report = split.split_report(drifted(spark, sf), "key", TARGET, ["quantity", "discount", "tax"], ["level"], domain=False)
+    report = split.split_report(written(drifted(spark, sf)), "key", TARGET, ["quantity", "discount", "tax"], ["level"], domain=False)
     outcomes = []
     for strict in (False, True):
         try:
@@ -149,7 +148,7 @@ _TRAIN, _TEST = f"(SELECT * FROM {SPLIT_FRAME} AS p WHERE split = 'train')", f"(
 
 
 def sides(spark, sf):
-    parted = split_frame(spark, sf)
+    parted = written(split_frame(spark, sf))
     return parted.where("split = 'train'"), parted.where("split = 'test'")
 
 
@@ -255,5 +254,5 @@ VARIANTS = {
 
 @query("g10_variant_comparison")
 def g10(spark, sf):
-    train = materialised(sides(spark, sf)[0], "train")
+    train = sides(spark, sf)[0]
     return evaluate.compare_variants({n: (lambda df, p=p: fit_linear(df, TARGET, p, 1.0)) for n, p in VARIANTS.items()}, train, TARGET, "key", folds=3, repeats=1)

@@ -131,9 +131,11 @@ def lost_in_typing(df: DataFrame, typing: Typing) -> DataFrame:
     order = Window.partitionBy("column").orderBy("value")
     examples = (
         lost.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= EXAMPLES)
-        .groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("_e"))
+        # n and rule ride along so that both branches read the same shuffle
+        .groupBy("column").agg(F.array_sort(F.collect_list(F.struct("value", "n", "rule"))).alias("_s"))
+        .select("column", F.array_join(F.transform("_s", lambda s: s["value"]), ", ").alias("_e"))
     )
-    totals = lost.groupBy("column", "rule").agg(F.sum("n").alias("n"))
+    totals = lost.groupBy("column", "rule").agg(F.sum("n").alias("n"), F.count("value").alias("_d"))
     return totals.join(examples, "column").select(
         F.col("rule").alias("regla"), F.col("column").alias("columna"),
         F.col("_e").alias("detalle"), F.col("n").alias("filas_afectadas"),
@@ -151,9 +153,10 @@ def most_lost(df: DataFrame, typing: Typing, top: int = 10) -> DataFrame:
 
 def typed_or_error(df: DataFrame, typing: Typing, context: str = "") -> DataFrame:
     """Typed frame, or one error that lists every column with unconvertible text."""
-    violations = lost_in_typing(df, typing).collect()
-    if violations:
-        raise violations_error(violations, context)
+    names = typing.present(df)
+    lost = df.agg(*[F.count_if(F.col(c).isNotNull() & typing.typed(c).isNull()).alias(c) for c in names]).first() if names else ()
+    if any(lost):
+        raise violations_error(lost_in_typing(df, typing).collect(), context)
     return typed_columns(df, typing)
 
 

@@ -15,8 +15,9 @@ from wardframe.operators.ranks import (
     exact_quantiles,
     group_number,
     quantile_group_ranks,
+    rank_correlation,
     rank_cuts,
-    spearman,
+    rank_pairs,
 )
 from wardframe.operators.split import repeated_kfold, stratified_kfold, time_series_folds
 
@@ -45,22 +46,30 @@ def regression_metrics(
 ) -> DataFrame:
     """(by..., n, MAE, RMSE, R2, MAPE, spearman) over rows where both values are known.
 
-    Spearman is NULL for a constant prediction.
+    Spearman is NULL for a constant prediction.  With ranks, every metric comes from the one
+    written table of (target, prediction) pairs, so the model scores each row once.
     """
-    y, p = F.col(target), F.col(prediction)
-    known = df.where(y.isNotNull() & p.isNotNull())
-    error = y - p
-    table = known.groupBy(*by).agg(
-        F.count("*").alias("n"), F.avg(F.abs(error)).alias("MAE"), F.sqrt(F.avg(error * error)).alias("RMSE"),
-        (1 - F.try_divide(F.avg(error * error), F.var_pop(y))).alias("R2"),
-        F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(EPSILON))).alias("MAPE"),
-    )
     if not ranks:
-        return table
-    order = spearman(known, target, prediction, by).drop("n")
-    if by:
-        return table.join(order, list(by), "left")
-    return table.withColumn("_one", F.lit(1)).join(order.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        y, p = F.col(target), F.col(prediction)
+        return df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(
+            F.count("*").alias("n"), F.avg(F.abs(y - p)).alias("MAE"), F.sqrt(F.avg((y - p) * (y - p))).alias("RMSE"),
+            (1 - F.try_divide(F.avg((y - p) * (y - p)), F.var_pop(y))).alias("R2"),
+            F.avg(F.abs(y - p) / F.greatest(F.abs(y), F.lit(EPSILON))).alias("MAPE"),
+        )
+    ranked = rank_pairs(df, F.col(target), F.col(prediction), by)
+    keys = list(by) or ["_all"]
+    error, w = F.col("_x") - F.col("_y"), F.col("cnt")
+    sums = ranked.groupBy(*keys).agg(
+        F.sum("cnt").alias("n"), F.sum(w * F.abs(error)).alias("_abs"), F.sum(w * error * error).alias("_sq"),
+        F.sum(w * F.abs(error) / F.greatest(F.abs(F.col("_x")), F.lit(EPSILON))).alias("_rel"),
+        F.sum(w * (F.col("_x") - F.col("_mx")) * (F.col("_x") - F.col("_mx"))).alias("_spread"),
+        rank_correlation().alias("spearman"),
+    )
+    n = F.col("n")
+    return sums.select(
+        *by, "n", (F.col("_abs") / n).alias("MAE"), F.sqrt(F.col("_sq") / n).alias("RMSE"),
+        (1 - F.try_divide(F.col("_sq"), F.col("_spread"))).alias("R2"), (F.col("_rel") / n).alias("MAPE"), "spearman",
+    )
 
 
 def metric_report(metrics: DataFrame, reference: str = REFERENCE_MODEL) -> DataFrame:

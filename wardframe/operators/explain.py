@@ -174,7 +174,8 @@ def individual_curves(
 
 # --- nearest neighbours -------------------------------------------------------------------
 
-PIVOTS = 64
+MAX_PIVOTS = 1024
+ROWS_PER_PIVOT = 500
 BLOCK_ROWS = 20_000
 
 
@@ -193,7 +194,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def nearest_neighbours(
     train: DataFrame, queries: DataFrame, key: str, vector: str, value: str, k: int = NEIGHBOURS,
-    pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS,
+    pivots: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query, key, distance, value, orden): the exact k nearest training rows of every query.
 
@@ -203,6 +204,9 @@ def nearest_neighbours(
     no task ever holds a whole group.  Ties are broken by key.
     """
     spark = train.sparkSession
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, max(1, train.count() // ROWS_PER_PIVOT))
+    parts = -(-max(1, queries.count()) // block_rows)  # batches of queries
     centres = np.array([r[0] for r in seeded_sample(train.select(key, vector), key, pivots, "pivot").select(vector).collect()], dtype=float)
     if not len(centres):
         return spark.createDataFrame([], "query bigint, key bigint, distance double, value double, orden int")
@@ -241,11 +245,11 @@ def nearest_neighbours(
 
     qs = queries.select(F.col(key).cast("bigint").alias("query"), F.col(vector).cast("array<double>").alias("v"))
     routed = qs.mapInPandas(route, "query bigint, v array<double>, cell int, block int").withColumn(
-        "batch", F.pmod(F.xxhash64("query"), F.lit(16)).cast("int")
+        "batch", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int")
     )
     sizes = F.create_map(*[F.lit(x) for c, b in zip(ids, blocks, strict=True) for x in (int(c), int(b))])
     stored = placed.select("key", "v", "value", "cell", F.pmod(F.xxhash64("key"), F.element_at(sizes, F.col("cell"))).cast("int").alias("block"))
-    copies = stored.select("*", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("batch"))
+    copies = stored.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("batch"))
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query", "key", "distance", "value"]

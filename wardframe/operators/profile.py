@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardframe.functions.hashing import hash60
 from wardframe.operators.contracts import repeated_rows
-from wardframe.operators.ranks import exact_quantiles, long_numbers
+from wardframe.operators.ranks import exact_quantiles, grouped_quantiles, long_numbers
 
 # Outlier fence in interquartile ranges, and the normality test level.
 OUTLIER_FENCE = 1.5
@@ -76,12 +76,6 @@ def _corrected_kurtosis(n: Column, g2: Column) -> Column:
     return (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
 
 
-def _mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent value, the smallest on ties."""
-    counts = long_numbers(df, columns).where("value is not null").groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    return counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("moda"))
-
-
 def fences(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Outlier fences per column from exact quartiles."""
     found = {}
@@ -93,12 +87,13 @@ def fences(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, floa
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], decimals: int = 3) -> DataFrame:
     """One row per column: size, centre, spread, shape and outliers."""
-    quartiles = {c: q for c, q in exact_quantiles(df, columns, [0.25, 0.5, 0.75]).items() if q[0] is not None}
-    names = list(quartiles)
+    centre = grouped_quantiles(long_numbers(df, columns), "column", "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, mode="m").collect()
+    found = {r["column"]: (r["q1"], r["q2"], r["q3"], r["m"]) for r in centre}  # one row per column
+    names = [c for c in columns if c in found]
     aggregates = []
     for i, c in enumerate(names):
         x = F.col(c).cast("double")
-        q1, _, q3 = quartiles[c]
+        q1, _, q3, _ = found[c]
         low, high = q1 - OUTLIER_FENCE * (q3 - q1), q3 + OUTLIER_FENCE * (q3 - q1)
         aggregates += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
@@ -111,10 +106,10 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], decimals: int = 3) ->
         return F.round(value, decimals).alias(name)
 
     def entry(i: int, c: str) -> Column:
-        q1, q2, q3 = (F.lit(float(q)) for q in quartiles[c])
+        q1, q2, q3, mode = (F.lit(float(q)) for q in found[c])
         n, m, lo, hi, v, g, k = (F.col(f"{p}{i}") for p in ("n", "m", "lo", "hi", "v", "g", "k"))
         return F.struct(
-            F.lit(c).alias("column"), n.alias("n"), rounded(m, "media"), rounded(q2, "mediana"),
+            F.lit(c).alias("columna"), n.alias("n"), rounded(m, "media"), rounded(q2, "mediana"), rounded(mode, "moda"),
             rounded(lo, "minimo"), rounded(hi, "maximo"), rounded(hi - lo, "rango"),
             rounded(q1, "q1"), rounded(q3, "q3"), rounded(q3 - q1, "iqr"), rounded(v, "varianza"),
             rounded(F.sqrt(v), "desv_estandar"), rounded(F.try_divide(100 * F.sqrt(v), m), "coef_variacion_pct"),
@@ -123,9 +118,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], decimals: int = 3) ->
             F.col(f"o{i}").alias("n_atipicos_iqr"),
         )
 
-    table = line.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(names)])))
-    modes = _mode(df, names).withColumn("moda", F.round("moda", decimals))
-    return table.join(F.broadcast(modes), "column").withColumnRenamed("column", "columna")
+    return line.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(names)])))
 
 
 def flag_outliers(df: DataFrame, columns: Sequence[str], name: str = "atipico") -> DataFrame:

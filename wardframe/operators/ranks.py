@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from wardframe.functions.hashing import HASH_BITS, hash60
 from wardframe.sources.scratch import materialised
 
-# A table of value counts up to this many rows is sorted by one task per group.
+# A group with up to this many distinct values is sorted by one task.
 SMALL_TABLE_ROWS = 1_000_000
 
+# A lookup table up to this many rows is broadcast.
+BROADCAST_ROWS = 1_000_000
+
 # A value with at least 1/HOT_SHARE of the rows is "hot": there are at most HOT_SHARE of them.
 HOT_SHARE = 1000
 
@@ -33,20 +36,26 @@ def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] =
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group of a written table."""
+    return df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def running_counts(
     counts: DataFrame,
     group: Sequence[str],
     value: str,
     totals: Sequence[str],
-    small_rows: int = SMALL_TABLE_ROWS,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<total>``: the total over rows of the group whose value is not larger.
 
     ``counts`` has one row per (group, value).
     """
+    small_rows = SMALL_TABLE_ROWS if small_rows is None else small_rows
     counts = materialised(counts, "counts")
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if counts.count() <= small_rows:
+    if largest_group(counts, group) <= small_rows:
         window = Window.partitionBy(*group).orderBy(value).rowsBetween(*so_far)
         return counts.select("*", *[F.sum(t).over(window).alias(f"cum_{t}") for t in totals])
 
@@ -99,14 +108,14 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    small_rows: int = SMALL_TABLE_ROWS,
+    small_rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of the non-null values of each column."""
     return quantiles_of(long_numbers(df, columns), columns, probabilities, small_rows)
 
 
 def quantiles_of(
-    long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int = SMALL_TABLE_ROWS
+    long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int | None = None
 ) -> dict[str, list[float | None]]:
     """Quantiles of a (column, value) frame; one small row per column reaches the driver."""
     named = {f"q{i}": p for i, p in enumerate(probabilities)}
@@ -117,14 +126,17 @@ def quantiles_of(
 
 def grouped_quantiles(
     long: DataFrame, group: str, value: str, probabilities: Mapping[str, float],
-    small_rows: int = SMALL_TABLE_ROWS,
+    small_rows: int | None = None, mode: str | None = None,
 ) -> DataFrame:
-    """(group, <name>...): exact interpolated quantiles per group, for any number of groups."""
+    """(group, <name>...): exact interpolated quantiles per group, for any number of groups.
+
+    ``mode`` names an extra column with the most frequent value, the smallest on ties.
+    """
     counts = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("cnt"))
     cumulated = running_counts(counts, [group], value, ["cnt"], small_rows)
     sizes = cumulated.groupBy(group).agg(F.sum("cnt").alias("_n"))
     positioned = cumulated.join(sizes, group)
-    aggregates = []
+    aggregates = [F.min_by(value, F.struct(-F.col("cnt"), F.col(value))).alias(mode)] if mode else []
     for name, p in probabilities.items():
         low = F.floor((F.col("_n") - 1) * F.lit(p)) + 1
         aggregates += [
@@ -132,7 +144,7 @@ def grouped_quantiles(
             F.min(F.when(F.col("cum_cnt") >= F.least(low + 1, F.col("_n")), F.col(value))).alias(f"_hi_{name}"),
         ]
     table = positioned.groupBy(group, "_n").agg(*aggregates)
-    return table.select(group, *[
+    return table.select(group, *([mode] if mode else []), *[
         (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
          * ((F.col("_n") - 1) * F.lit(p) - F.floor((F.col("_n") - 1) * F.lit(p)))).alias(name)
         for name, p in probabilities.items()
@@ -156,7 +168,7 @@ class Cut:
 
 def rank_cuts(
     rows: DataFrame, group: str, value: str, tie: str, ranks: Callable[[int], Sequence[int]],
-    small_rows: int = SMALL_TABLE_ROWS,
+    small_rows: int | None = None,
 ) -> dict[object, list[Cut]]:
     """Where the first-come ranks ``ranks(n)`` of each group fall.
 
@@ -258,8 +270,7 @@ def hash_indexed(df: DataFrame, key: str, salt: str = "", name: str = "_index")
 
 
 def skew_safe_lookup(
-    big: DataFrame, lookup: DataFrame, keys: Sequence[str], weight: str, total: int,
-    small_rows: int = SMALL_TABLE_ROWS,
+    big: DataFrame, lookup: DataFrame, keys: Sequence[str], weight: str, total: int, small_rows: int | None = None
 ) -> DataFrame:
     """Join each row of ``big`` to its single match in ``lookup``.
 
@@ -268,7 +279,7 @@ def skew_safe_lookup(
     only the remaining keys, none of which is large, are shuffled.
     """
     plain = lookup.drop(weight)
-    if lookup.count() <= small_rows:
+    if lookup.count() <= (BROADCAST_ROWS if small_rows is None else small_rows):
         return big.join(F.broadcast(plain), list(keys))
     hot = F.col(weight) * HOT_SHARE >= total
     hot_side = lookup.where(hot).drop(weight)
@@ -278,51 +289,68 @@ def skew_safe_lookup(
     return warm.unionByName(rest)
 
 
-def spearman(
-    df: DataFrame, x: str, y: str, by: Sequence[str] = (), small_rows: int = SMALL_TABLE_ROWS
+def rank_pairs(
+    df: DataFrame, x: Column, y: Column, by: Sequence[str] = (), small_rows: int | None = None
 ) -> DataFrame:
-    """(by..., n, spearman) over pairwise complete rows, average ranks on ties.
+    """(by..., _x, _y, cnt, _n, _mx, _rx, _ry): distinct pairs with their count, the size and mean x of
+    their group and the average ranks of both values within the group.
 
-    NULL when either side is constant.
+    The pairs are written once.  Groups of moderate size are ranked by windows; beyond that the
+    ranks come from running counts and are looked up again without a hot key ever being shuffled.
     """
     keys = list(by) or ["_all"]
-    source = df.withColumn("_all", F.lit(1)) if not by else df
+    source = df if by else df.withColumn("_all", F.lit(1))
     pairs = materialised(
-        source.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-        .agg(F.count("*").alias("cnt")),
+        source.select(*keys, x.cast("double").alias("_x"), y.cast("double").alias("_y"))
+        .where("_x is not null and _y is not null").groupBy(*keys, "_x", "_y").agg(F.count("*").alias("cnt")),
         "pairs",
     )
-    total = pairs.count()
-    ranked = pairs
-    for side in ("_x", "_y"):
+    if largest_group(pairs, keys) <= (SMALL_TABLE_ROWS if small_rows is None else small_rows):
+        def rank(side: str) -> Column:
+            upto = Window.partitionBy(*keys).orderBy(side).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            ties = Window.partitionBy(*keys, side)
+            return F.sum("cnt").over(upto) - (F.sum("cnt").over(ties) - 1) / 2
+        group = Window.partitionBy(*keys)
+        return pairs.select(
+            "*", F.sum("cnt").over(group).alias("_n"), (F.sum(F.col("cnt") * F.col("_x")).over(group) / F.sum("cnt").over(group)).alias("_mx"),
+            rank("_x").alias("_rx"), rank("_y").alias("_ry"),
+        )
+
+    total, ranked = pairs.count(), pairs
+    for side, name in (("_x", "_rx"), ("_y", "_ry")):
         counts = pairs.groupBy(*keys, side).agg(F.sum("cnt").alias("cnt"), F.count("*").alias("_weight"))
-        rank = materialised(
+        table = materialised(
             running_counts(counts, keys, side, ["cnt"], small_rows).select(
-                *keys, side, "_weight", (F.col("cum_cnt") - (F.col("cnt") - 1) / 2).alias(f"_r{side}")
+                *keys, side, "_weight", (F.col("cum_cnt") - (F.col("cnt") - 1) / 2).alias(name)
             ),
             "ranks",
         )
-        ranked = skew_safe_lookup(ranked, rank, [*keys, side], "_weight", total, small_rows)
-    sizes = pairs.groupBy(*keys).agg(F.sum("cnt").alias("_n"))
-    centred = ranked.join(F.broadcast(sizes), keys).select(
-        *keys, "cnt", "_n",
-        (F.col("_r_x") - (F.col("_n") + 1) / 2).alias("_dx"),
-        (F.col("_r_y") - (F.col("_n") + 1) / 2).alias("_dy"),
-    )
-    sums = centred.groupBy(*keys).agg(
-        F.first("_n").alias("n"),
-        F.sum(F.col("cnt") * F.col("_dx") * F.col("_dy")).alias("_xy"),
-        F.sum(F.col("cnt") * F.col("_dx") * F.col("_dx")).alias("_xx"),
-        F.sum(F.col("cnt") * F.col("_dy") * F.col("_dy")).alias("_yy"),
-    )
-    return sums.select(
-        *by, "n", F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx") * F.col("_yy"))).alias("spearman")
-    )
+        ranked = skew_safe_lookup(ranked, table, [*keys, side], "_weight", total, small_rows)
+    # groups are folds, columns or models: few
+    return ranked.join(F.broadcast(pairs.groupBy(*keys).agg(
+        F.sum("cnt").alias("_n"), (F.sum(F.col("cnt") * F.col("_x")) / F.sum("cnt")).alias("_mx")
+    )), keys)
+
+
+def rank_correlation() -> Column:
+    """Spearman's coefficient of a group of ranked pairs; NULL when either side is constant."""
+    dx, dy = F.col("_rx") - (F.col("_n") + 1) / 2, F.col("_ry") - (F.col("_n") + 1) / 2
+    return F.try_divide(F.sum(F.col("cnt") * dx * dy), F.sqrt(F.sum(F.col("cnt") * dx * dx) * F.sum(F.col("cnt") * dy * dy)))
+
+
+def spearman(
+    df: DataFrame, x: str, y: str, by: Sequence[str] = (), small_rows: int | None = None
+) -> DataFrame:
+    """(by..., n, spearman) over pairwise complete rows, average ranks on ties.
+
+    NULL when either side is constant.
+    """
+    ranked = rank_pairs(df, F.col(x), F.col(y), by, small_rows)
+    return ranked.groupBy(*by).agg(F.sum("cnt").alias("n"), rank_correlation().alias("spearman"))
 
 
 def kolmogorov_smirnov(
-    df: DataFrame, columns: Sequence[str], is_test: Column, small_rows: int = SMALL_TABLE_ROWS
+    df: DataFrame, columns: Sequence[str], is_test: Column, small_rows: int | None = None
 ) -> DataFrame:
     """(column, n_train, n_test, statistic): largest gap between the two distribution functions.
 

@@ -23,6 +23,7 @@ from wardframe.operators.ranks import (
     quantile_group_ranks,
     rank_cuts,
 )
+from wardframe.sources.scratch import materialised
 
 CHECK_SCHEMA = "chequeo string, columna string, severidad string, estadistico double, umbral double, detalle string"
 CHECK_COLUMNS = ("chequeo", "columna", "severidad", "estadistico", "umbral", "detalle")
@@ -174,7 +175,10 @@ def check_sizes(df: DataFrame, share: float = TEST_SHARE, split: str = "split")
 
 
 def check_column_drift(df: DataFrame, columns: Sequence[str], split: str = "split") -> DataFrame:
-    table = kolmogorov_smirnov(df, columns, is_test(split))
+    return _column_drift(kolmogorov_smirnov(df, columns, is_test(split)))
+
+
+def _column_drift(table: DataFrame) -> DataFrame:
     return table.select(*_check(
         words.CHECK_COLUMN_DRIFT, F.col("column"), _warn(F.col("statistic") > MAX_KS), F.col("statistic"), MAX_KS,
         "largest gap between the train and test distributions",
@@ -182,12 +186,15 @@ def check_column_drift(df: DataFrame, columns: Sequence[str], split: str = "spli
 
 
 def check_target_drift(df: DataFrame, target: str, split: str = "split") -> DataFrame:
-    """Nulls are not dropped silently: the share of null targets is part of the detail."""
-    ks = kolmogorov_smirnov(df, [target], is_test(split))
+    """Nulls are not dropped silently: the number of null targets is part of the detail."""
+    return _target_drift(df, kolmogorov_smirnov(df, [target], is_test(split)), target, split)
+
+
+def _target_drift(df: DataFrame, ks: DataFrame, target: str, split: str) -> DataFrame:
     means = df.agg(
         F.avg(F.when(~is_test(split), F.col(target))).alias("tr"), F.avg(F.when(is_test(split), F.col(target))).alias("te"),
-        F.count_if(F.col(target).isNull()).alias("nulls"), F.lit(target).alias("column"),
-    )
+        F.count_if(F.col(target).isNull()).alias("nulls"),
+    ).withColumn("column", F.lit(target))
     return means.join(ks, "column", "left").select(*_check(
         words.CHECK_TARGET_DRIFT, F.col("column"),
         _warn(F.coalesce(F.col("statistic") > MAX_KS, F.lit(True))), F.col("statistic"), MAX_KS,
@@ -287,9 +294,12 @@ def split_report(
     types = dict(df.dtypes)
     numeric = [c for c in predictors if types[c] in numeric_types or types[c].startswith("decimal")]
     shareable = [c for c in predictors if types[c] not in ("map", "variant")]
+    # one table of value counts serves the target and every predictor
+    drift = materialised(kolmogorov_smirnov(df, [target, *[c for c in numeric if c != target]], is_test(split)), "drift")
     checks = [
         check_keys(df, key, split), check_shared_rows(df, shareable, split), check_sizes(df, share, split),
-        check_target_drift(df, target, split), check_column_drift(df, numeric, split),
+        _target_drift(df, drift.where(F.col("column") == target), target, split),
+        _column_drift(drift.where(F.col("column") != target).orderBy("column")),
     ]
     if categorical:
         checks.append(check_new_categories(df, categorical, split))
