@@ -60,10 +60,10 @@ def order_frame(spark: SparkSession, folder: str) -> DataFrame:
     lines = F.count("*")
     grouped = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(
         lines.alias("lines"), F.sum("l_quantity").alias("q"),
-        F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("d"),
-        F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("t"),
+        F.sum(F.floor(F.col("l_discount") * 100 + 0.5)).alias("d"),
+        F.sum(F.floor(F.col("l_tax") * 100 + 0.5)).alias("t"),
         F.bool_or(F.col("l_linestatus") == "O").alias("o"),
-        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("p"),
+        F.sum(F.floor(F.col("l_extendedprice") * 100 + 0.5)).alias("p"),
     )
     return grouped.select(
         "key",
@@ -79,11 +79,11 @@ def order_frame(spark: SparkSession, folder: str) -> DataFrame:
 FRAME = """(
   SELECT l_orderkey AS key,
          CASE WHEN l_orderkey % 11 <> 0 THEN sum(l_quantity) END AS quantity,
-         CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS discount,
-         CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS tax,
+         CAST(sum(CAST(floor(l_discount * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS discount,
+         CAST(sum(CAST(floor(l_tax * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS tax,
          CASE WHEN l_orderkey % 13 <> 0 THEN CAST(least(count(*), 5) AS VARCHAR) END AS level,
          CASE WHEN l_orderkey % 17 <> 0 THEN bool_or(l_linestatus = 'O') END AS open,
-         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / CAST(37000000 AS DOUBLE) AS target
+         CAST(sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(37000000 AS DOUBLE) AS target
   FROM lineitem GROUP BY l_orderkey
 )"""
 

@@ -206,7 +206,6 @@ def nearest_neighbours(
     spark = train.sparkSession
     if pivots is None:
         pivots = min(MAX_PIVOTS, max(1, train.count() // ROWS_PER_PIVOT))
-    parts = -(-max(1, queries.count()) // block_rows)  # batches of queries
     centres = np.array([r[0] for r in seeded_sample(train.select(key, vector), key, pivots, "pivot").select(vector).collect()], dtype=float)
     if not len(centres):
         return spark.createDataFrame([], "query bigint, key bigint, distance double, value double, orden int")
@@ -244,12 +243,21 @@ def nearest_neighbours(
             yield pd.DataFrame(rows, columns=["query", "v", "cell", "block"])
 
     qs = queries.select(F.col(key).cast("bigint").alias("query"), F.col(vector).cast("array<double>").alias("v"))
-    routed = qs.mapInPandas(route, "query bigint, v array<double>, cell int, block int").withColumn(
-        "batch", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int")
+    routed = materialised(qs.mapInPandas(route, "query bigint, v array<double>, cell int, block int"), "routed")
+    visits = {r[0]: r[1] for r in routed.where("block = 0").groupBy("cell").count().collect()}  # one row per pivot
+    if not visits:
+        return spark.createDataFrame([], "query bigint, key bigint, distance double, value double, orden int")
+
+    def per_cell(numbers: Mapping[int, int]):
+        return F.element_at(F.create_map(*[F.lit(x) for c, n in numbers.items() for x in (int(c), int(n))]), F.col("cell"))
+
+    # a cell takes as many batches of queries as its visits need, and nothing is copied elsewhere
+    batches = per_cell({c: -(-n // block_rows) for c, n in visits.items()})
+    cut = per_cell({int(c): int(b) for c, b in zip(ids, blocks, strict=True)})
+    left_side = routed.withColumn("batch", F.pmod(F.xxhash64("query"), batches).cast("int"))
+    right_side = placed.where(F.col("cell").isin([int(c) for c in visits])).select(
+        "key", "v", "value", "cell", F.pmod(F.xxhash64("key"), cut).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), batches - 1)).alias("batch")
     )
-    sizes = F.create_map(*[F.lit(x) for c, b in zip(ids, blocks, strict=True) for x in (int(c), int(b))])
-    stored = placed.select("key", "v", "value", "cell", F.pmod(F.xxhash64("key"), F.element_at(sizes, F.col("cell"))).cast("int").alias("block"))
-    copies = stored.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("batch"))
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query", "key", "distance", "value"]
@@ -265,7 +273,7 @@ def nearest_neighbours(
         return pd.DataFrame(found, columns=names)
 
     grouping = ["cell", "block", "batch"]
-    partial = routed.groupBy(*grouping).cogroup(copies.groupBy(*grouping)).applyInPandas(match, "query bigint, key bigint, distance double, value double")
+    partial = left_side.groupBy(*grouping).cogroup(right_side.groupBy(*grouping)).applyInPandas(match, "query bigint, key bigint, distance double, value double")
     best = Window.partitionBy("query").orderBy("distance", "key")
     return partial.withColumn("orden", F.row_number().over(best)).where(F.col("orden") <= k)
 
@@ -332,11 +340,9 @@ def single_predictor_ranking(
     counts = materialised(long.where("value is not null").groupBy("column", "value").agg(*train_counts), "foldcounts")
     names = [f"t{r}_{f}" for r, f in labels]
     numeric_cum = running_counts(counts.where(F.col("column").isin(list(numeric))), ["column"], "value", names)
-    sizes = counts.groupBy("column").agg(*[F.sum(c).alias(f"n_{c}") for c in names])
-    with_size = numeric_cum.join(F.broadcast(sizes), "column")
-    medians = with_size.groupBy("column").agg(*[
-        ((F.min(F.when(F.col(f"cum_{c}") >= F.floor((F.col(f"n_{c}") - 1) / 2) + 1, F.col("value")))
-          + F.min(F.when(F.col(f"cum_{c}") >= F.floor(F.col(f"n_{c}") / 2) + 1, F.col("value")))) / 2).alias(c)
+    medians = numeric_cum.groupBy("column").agg(*[
+        ((F.min(F.when(F.col(f"cum_{c}") >= F.floor((F.col(f"all_{c}") - 1) / 2) + 1, F.col("value")))
+          + F.min(F.when(F.col(f"cum_{c}") >= F.floor(F.col(f"all_{c}") / 2) + 1, F.col("value")))) / 2).alias(c)
         for c in names
     ])
     tops = counts.where(F.col("column").isin(list(discrete))).groupBy("column").agg(*[

@@ -48,7 +48,8 @@ def running_counts(
     totals: Sequence[str],
     small_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``cum_<total>``: the total over rows of the group whose value is not larger.
+    """Add ``cum_<total>``, the total over rows of the group whose value is not larger, and
+    ``all_<total>``, the total of the group.
 
     ``counts`` has one row per (group, value).
     """
@@ -57,7 +58,10 @@ def running_counts(
     so_far = (Window.unboundedPreceding, Window.currentRow)
     if largest_group(counts, group) <= small_rows:
         window = Window.partitionBy(*group).orderBy(value).rowsBetween(*so_far)
-        return counts.select("*", *[F.sum(t).over(window).alias(f"cum_{t}") for t in totals])
+        everything = Window.partitionBy(*group)
+        return counts.select(
+            "*", *[F.sum(t).over(window).alias(f"cum_{t}") for t in totals], *[F.sum(t).over(everything).alias(f"all_{t}") for t in totals]
+        )
 
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialised(
@@ -70,6 +74,7 @@ def running_counts(
         *group, "_part", *[F.coalesce(F.sum(f"_t_{t}").over(before), F.lit(0)).alias(f"_s_{t}") for t in totals]
     )
     within = Window.partitionBy("_part", *group).orderBy(value).rowsBetween(*so_far)
+    whole = placed.groupBy(*group).agg(*[F.sum(t).alias(f"all_{t}") for t in totals])
     return (
         placed.select("*", *[F.sum(t).over(within).alias(f"_w_{t}") for t in totals])
         .join(F.broadcast(shifts), [*group, "_part"])
@@ -77,6 +82,7 @@ def running_counts(
             *counts.columns,
             *[(F.col(f"_w_{t}") + F.col(f"_s_{t}")).alias(f"cum_{t}") for t in totals],
         )
+        .join(whole, list(group))
     )
 
 
@@ -134,8 +140,7 @@ def grouped_quantiles(
     """
     counts = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("cnt"))
     cumulated = running_counts(counts, [group], value, ["cnt"], small_rows)
-    sizes = cumulated.groupBy(group).agg(F.sum("cnt").alias("_n"))
-    positioned = cumulated.join(sizes, group)
+    positioned = cumulated.withColumnRenamed("all_cnt", "_n")
     aggregates = [F.min_by(value, F.struct(-F.col("cnt"), F.col(value))).alias(mode)] if mode else []
     for name, p in probabilities.items():
         low = F.floor((F.col("_n") - 1) * F.lit(p)) + 1
@@ -363,9 +368,9 @@ def kolmogorov_smirnov(
         .agg(F.count_if(~F.col("_test")).alias("tr"), F.count_if(F.col("_test")).alias("te"))
     )
     cumulated = running_counts(counts, ["column"], "value", ["tr", "te"], small_rows)
-    sizes = cumulated.groupBy("column").agg(F.sum("tr").alias("n_train"), F.sum("te").alias("n_test"))
+    gap = F.abs(F.col("cum_tr") / F.col("all_tr") - F.col("cum_te") / F.col("all_te"))
     return (
-        cumulated.join(F.broadcast(sizes.where("n_train > 0 and n_test > 0")), "column")
-        .groupBy("column", "n_train", "n_test")
-        .agg(F.max(F.abs(F.col("cum_tr") / F.col("n_train") - F.col("cum_te") / F.col("n_test"))).alias("statistic"))
+        cumulated.where("all_tr > 0 and all_te > 0")
+        .groupBy("column", F.col("all_tr").alias("n_train"), F.col("all_te").alias("n_test"))
+        .agg(F.max(gap).alias("statistic"))
     )
