@@ -156,9 +156,9 @@ def j6e(spark, sf):
 
 
 @query("j7_best_and_worst", rsql(scored_cte() + """, e AS (SELECT *, abs(target - prediction) AS error FROM s)
-(SELECT 'mejor' AS caso, key, target AS real, prediction AS prediccion, error, quantity FROM e ORDER BY error, key LIMIT 1) UNION ALL (SELECT 'peor', key, target, prediction, error, quantity FROM e ORDER BY error DESC, key LIMIT 1)""", "real", "prediccion", "error"))
+(SELECT 'mejor' AS caso, key, target AS real, prediction AS prediccion, error, quantity FROM e ORDER BY error, key LIMIT 1) UNION ALL (SELECT 'peor', key, target, prediction, error, quantity FROM e ORDER BY error DESC, key LIMIT 1)""", "real", "prediccion", "error", digits=9))
 def j7(spark, sf):
-    return rounded(explain.best_and_worst(heuristic_scored(spark, sf), TARGET, "key", show=["quantity"]))
+    return rounded(explain.best_and_worst(heuristic_scored(spark, sf), TARGET, "key", show=["quantity"]), 9)
 
 
 def _single_sql() -> str:
@@ -212,11 +212,11 @@ def raw_batch(test):
     )
 
 
-@query("k1_batch_score", rsql(scored_cte() + f"SELECT CAST(t.key AS VARCHAR) AS key, CAST(s.quantity AS BIGINT) AS quantity, s.level, s.open, t.prediccion, t.cesta, t.limite_inferior, t.limite_superior, t.advertencia FROM s JOIN ({_INTERPRETED}) AS t USING (key)", *_OUT))
+@query("k1_batch_score", rsql(scored_cte() + f"SELECT CAST(t.key AS VARCHAR) AS key, CAST(s.quantity AS BIGINT) AS quantity, s.level, s.open, t.prediccion, t.cesta, t.limite_inferior, t.limite_superior, t.advertencia FROM s JOIN ({_INTERPRETED}) AS t USING (key)", *_OUT, digits=9))
 def k1(spark, sf):
     model, _, test = heuristic(spark, sf)
     ready = score.prepare_batch(written(raw_batch(test)), FEATURES, BATCH_TYPING, BATCH_CONTRACT, NULL_SENTINELS)
-    return rounded(score.score_batch(ready, model, FEATURES).drop("target", "discount", "tax"))
+    return rounded(score.score_batch(ready, model, FEATURES).drop("target", "discount", "tax"), 9)
 
 
 def interpreted(spark, sf):
@@ -228,9 +228,9 @@ def k2(spark, sf):
     return interpreted(spark, sf).groupBy("cesta").agg(F.count("*").alias("n"))
 
 
-@query("k3_reference_interval", rsql(scored_cte() + f"SELECT key, limite_inferior, limite_superior FROM ({_INTERPRETED}) AS t", "limite_inferior", "limite_superior"))
+@query("k3_reference_interval", rsql(scored_cte() + f"SELECT key, limite_inferior, limite_superior FROM ({_INTERPRETED}) AS t", "limite_inferior", "limite_superior", digits=9))
 def k3(spark, sf):
-    return rounded(interpreted(spark, sf).select("key", "limite_inferior", "limite_superior"))
+    return rounded(interpreted(spark, sf).select("key", "limite_inferior", "limite_superior"), 9)
 
 
 @query("k4_low_range_warning", scored_cte() + f"SELECT advertencia, count(*) AS n FROM ({_INTERPRETED}) AS t GROUP BY advertencia")

@@ -39,9 +39,9 @@ def h2(spark, sf):
     return rounded(order_frame(spark, sf).select("key", score_column().alias("score")), 8)
 
 
-@query("h3_recalibrated_heuristic", rsql(scored_cte() + "SELECT key, prediction FROM s", "prediction", digits=7).replace("FROM (WITH", "FROM (WITH"))
+@query("h3_recalibrated_heuristic", rsql(scored_cte() + "SELECT key, prediction FROM s", "prediction", digits=9))
 def h3(spark, sf):
-    return rounded(heuristic_scored(spark, sf).select("key", "prediction"), 7)
+    return rounded(heuristic_scored(spark, sf).select("key", "prediction"), 9)
 
 
 @query("h4_ridge")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from wardframe.operators.ranks import (
     rank_pairs,
 )
 from wardframe.operators.split import repeated_kfold, stratified_kfold, time_series_folds
+from wardframe.session import run_together
 
 METRICS = ("MAE", "RMSE", "R2", "MAPE", "spearman")
 
@@ -100,6 +102,11 @@ def fold_rows(
     raise ValueError(f"unknown scheme {scheme}; available: {list(SCHEMES)}")
 
 
+def fit_each(fit: Fit, trains: Sequence[DataFrame]) -> list[Model]:
+    """Fit on every training set; the fits are independent jobs, so a few run at a time."""
+    return run_together(trains[0].sparkSession, [lambda train=train: fit(train) for train in trains]) if trains else []
+
+
 def fold_predictions(
     df: DataFrame, fit: Fit, scheme: str, key: str, target: str, folds: int = 5, repeats: int = 5, seed: int = 42,
     time: str | None = None,
@@ -107,19 +114,17 @@ def fold_predictions(
     """(repeticion, fold, rol, y, prediction) with the whole pipeline refitted for every fold."""
     rows = fold_rows(df, scheme, key, target, folds, repeats, seed, time)
     past_only = scheme == "series_temporales"
-    rounds = repeats if scheme == "repetido" else 1
+    labels = [(r, f) for r in range(1, (repeats if scheme == "repetido" else 1) + 1) for f in range(folds)]
+    number, same = F.col("fold"), F.col("repeticion")
+    trains = [rows.where((same == r) & ((number < f) if past_only else (number != f))).drop("fold", "repeticion") for r, f in labels]
     frames = []
-    for r in range(1, rounds + 1):
-        part = rows.where(F.col("repeticion") == r)
-        for f in range(folds):
-            train = part.where(F.col("fold") < f) if past_only else part.where(F.col("fold") != f)
-            seen = part.where(F.col("fold") <= f) if past_only else part
-            model = fit(train.drop("fold", "repeticion"))
-            frames.append(model.transform(seen).select(
-                F.lit(r).alias("repeticion"), F.lit(f).alias("fold"),
-                F.when(F.col("fold") == f, F.lit("validacion")).otherwise(F.lit("entrenamiento")).alias("rol"),
-                F.col(target).cast("double").alias("y"), F.col("prediction").cast("double").alias("prediction"),
-            ))
+    for (r, f), model in zip(labels, fit_each(fit, trains), strict=True):
+        seen = rows.where((same == r) & ((number <= f) if past_only else F.lit(True)))
+        frames.append(model.transform(seen).select(
+            F.lit(r).alias("repeticion"), F.lit(f).alias("fold"),
+            F.when(number == f, F.lit("validacion")).otherwise(F.lit("entrenamiento")).alias("rol"),
+            F.col(target).cast("double").alias("y"), F.col("prediction").cast("double").alias("prediction"),
+        ))
     return reduce(DataFrame.unionAll, frames)
 
 
@@ -262,15 +267,15 @@ def learning_curve(
 ) -> DataFrame:
     """Learning curve of any model, with non-repeated folds and nested training sets."""
     rows = df.withColumn("fold", hash_fold(F.col(key), folds, f"fold{seed}r1")).withColumn("_draw", hash60(F.col(key), f"curve{seed}"))
-    frames = []
-    for f in range(folds):
-        for i, share in enumerate(shares):
-            train = (F.col("fold") != f) & (F.col("_draw") < int(share * HASH_RANGE))
-            model = fit(rows.where(train).drop("fold", "_draw"))
-            error = F.abs(F.col(target) - F.col("prediction"))
-            frames.append(model.transform(rows.where(train | (F.col("fold") == f))).agg(
-                F.count_if(train).alias("n"), F.avg(F.when(train, error)).alias("tr"), F.avg(F.when(F.col("fold") == f, error)).alias("va"),
-            ).select(F.lit(f).alias("modelo_fold"), F.lit(i).alias("talla"), "n", "tr", "va"))
+    labels = [(f, i) for f in range(folds) for i in range(len(shares))]
+    chosen = {(f, i): (F.col("fold") != f) & (F.col("_draw") < int(shares[i] * HASH_RANGE)) for f, i in labels}
+    fitted = fit_each(fit, [rows.where(chosen[label]).drop("fold", "_draw") for label in labels])
+    error, frames = F.abs(F.col(target) - F.col("prediction")), []
+    for (f, i), model in zip(labels, fitted, strict=True):
+        train = chosen[f, i]
+        frames.append(model.transform(rows.where(train | (F.col("fold") == f))).agg(
+            F.count_if(train).alias("n"), F.avg(F.when(train, error)).alias("tr"), F.avg(F.when(F.col("fold") == f, error)).alias("va"),
+        ).select(F.lit(f).alias("modelo_fold"), F.lit(i).alias("talla"), "n", "tr", "va"))
     return _curve(reduce(DataFrame.unionAll, frames), shares)
 
 

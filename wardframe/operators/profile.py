@@ -39,10 +39,12 @@ def column_inventory(df: DataFrame, columns: Sequence[str] | None = None, exampl
     names = list(columns or df.columns)
     counts = _cells(df, names).groupBy("columna", "valor").agg(F.count("*").alias("cnt"))
     blank = F.col("valor").isNull() | (F.trim("valor") == "")
-    order = Window.partitionBy("columna").orderBy("valor")
+    order = Window.partitionBy("columna").orderBy(F.asc_nulls_last("valor"))
+    # cnt rides along and NULL is left out late, so that both branches read the same shuffle
     shown = (
-        counts.where("valor is not null").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= examples)
-        .groupBy("columna").agg(F.array_join(F.array_sort(F.collect_list("valor")), ", ").alias("ejemplos"))
+        counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= examples)
+        .groupBy("columna").agg(F.array_sort(F.collect_list(F.struct("valor", "cnt"))).alias("_s"))
+        .select("columna", F.array_join(F.transform("_s", lambda s: s["valor"]), ", ").alias("ejemplos"))
     )
     summary = counts.groupBy("columna").agg(
         F.count("valor").alias("distintos"),

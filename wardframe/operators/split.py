@@ -23,6 +23,7 @@ from wardframe.operators.ranks import (
     quantile_group_ranks,
     rank_cuts,
 )
+from wardframe.session import run_together
 from wardframe.sources.scratch import materialised
 
 CHECK_SCHEMA = "chequeo string, columna string, severidad string, estadistico double, umbral double, detalle string"
@@ -265,12 +266,14 @@ def domain_auc(df: DataFrame, columns: Sequence[str], key: str, split: str = "sp
         labelled.withColumn("fold", fold)
     ).select("label", "features", "fold").persist()
     try:
-        scores = []
-        for f in range(folds):
+        ready.count()
+
+        def one(f: int) -> float:
             model = LogisticRegression(maxIter=100).fit(ready.where(F.col("fold") != f))
             scored = model.transform(ready.where(F.col("fold") == f))
-            scores.append(BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored))
-        return sum(scores) / folds
+            return BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
+
+        return sum(run_together(df.sparkSession, [lambda f=f: one(f) for f in range(folds)])) / folds
     finally:
         ready.unpersist()
 

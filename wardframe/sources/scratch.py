@@ -7,12 +7,14 @@ derived from it (partition numbers, counts) agrees with itself.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_folder: dict[str, str] = {}
+_lock = threading.Lock()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -23,9 +25,10 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
-    if application not in _local_folder:
-        _local_folder[application] = tempfile.mkdtemp(prefix="wardframe-")
-    return _local_folder[application]
+    with _lock:
+        if application not in _local_folder:
+            _local_folder[application] = tempfile.mkdtemp(prefix="wardframe-")
+        return _local_folder[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
