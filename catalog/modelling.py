@@ -104,7 +104,7 @@ FROM (SELECT {keys}{y} AS y, {p} AS p FROM {source} AS src) AS v) AS r {group}""
 
 _M = ("MAE", "RMSE", "R2", "MAPE", "spearman")
 _SCORED = f"({scored_cte()} SELECT * FROM s)"
-_DUMMY = f"(SELECT key, target, (SELECT avg(target) FROM {_T} AS a) AS prediction FROM {_E} AS b)"
+_DUMMY = f"(SELECT key, target, (SELECT round(avg(target), 9) FROM {_T} AS a) AS prediction FROM {_E} AS b)"
 
 
 @query("i1_regression_metrics", rsql(metrics_sql(_SCORED), *_M))
@@ -119,7 +119,7 @@ _TWO = f"(SELECT 'heuristica' AS modelo, target, prediction FROM {_SCORED} AS a1
 def i2(spark, sf):
     train, test = sides(spark, sf)
     fits = {"heuristica": models.fit_heuristic(train, TARGET, SCORE_DOMAINS), "dummy": models.fit_constant(train, TARGET)}
-    scored = [m.transform(test).select(F.lit(n).alias("modelo"), TARGET, "prediction") for n, m in fits.items()]
+    scored = [m.transform(test).select(F.lit(n).alias("modelo"), TARGET, F.round("prediction", 9).alias("prediction")) for n, m in fits.items()]
     return rounded(evaluate.metric_report(evaluate.regression_metrics(reduce(DataFrame.unionAll, scored), TARGET, by=["modelo"])))
 
 

@@ -195,9 +195,13 @@ def _target_drift(df: DataFrame, ks: DataFrame, target: str, split: str) -> Data
     means = df.agg(
         F.avg(F.when(~is_test(split), F.col(target))).alias("tr"), F.avg(F.when(is_test(split), F.col(target))).alias("te"),
         F.count_if(F.col(target).isNull()).alias("nulls"),
-    ).withColumn("column", F.lit(target))
-    return means.join(ks, "column", "left").select(*_check(
-        words.CHECK_TARGET_DRIFT, F.col("column"),
+    )
+    # two one-row frames, brought together without a join
+    together = means.withColumn("statistic", F.lit(None).cast("double")).unionByName(
+        ks.select("statistic"), allowMissingColumns=True
+    ).groupBy().agg(*[F.max(c).alias(c) for c in ("tr", "te", "nulls", "statistic")])
+    return together.select(*_check(
+        words.CHECK_TARGET_DRIFT, target,
         _warn(F.coalesce(F.col("statistic") > MAX_KS, F.lit(True))), F.col("statistic"), MAX_KS,
         F.concat(F.lit("means "), F.format_number("tr", 3), F.lit(" and "), F.format_number("te", 3),
                  F.lit(", null targets "), F.col("nulls").cast("string")),
