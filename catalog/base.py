@@ -40,6 +40,12 @@ def rsql(sql: str, *columns: str, digits: int = 6) -> str:
     return f"SELECT * REPLACE ({inner}) FROM ({sql}) AS rounded_source"
 
 
+def as_double(sql: str, *columns: str) -> str:
+    """SQL literals such as 0.05 are decimals; the Spark columns are doubles."""
+    inner = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({inner}) FROM ({sql}) AS decimal_source"
+
+
 def sql_hash(key: str, salt: str = "") -> str:
     text = f"'{salt}|' || CAST({key} AS VARCHAR)" if salt else f"CAST({key} AS VARCHAR)"
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"

@@ -139,7 +139,7 @@ def a6(spark, sf):
     return result
 
 
-@query("a7_model_reload", f"SELECT count(*) AS filas, 0.0 AS diferencia FROM {FRAME} AS frame")
+@query("a7_model_reload", f"SELECT count(*) AS filas, CAST(0 AS DOUBLE) AS diferencia FROM {FRAME} AS frame")
 def a7(spark, sf):
     frame = order_frame(spark, sf)
     plan = PrepPlan(numeric=("quantity", "discount"), ordinal={"level": LEVELS}, boolean=("open",), domains=DOMAINS)

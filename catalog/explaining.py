@@ -248,7 +248,7 @@ def k6(spark, sf):
     return score.preview(interpreted(spark, sf), "key", 10)
 
 
-@query("k7_served_metric", rsql(scored_cte() + "SELECT avg(abs(target - prediction)) AS servida, 0.0467 AS sin_columna, 0.4066 AS sin_informe FROM s", "servida"))
+@query("k7_served_metric", rsql(scored_cte() + "SELECT avg(abs(target - prediction)) AS servida, CAST(0.0467 AS DOUBLE) AS sin_columna, CAST(0.4066 AS DOUBLE) AS sin_informe FROM s", "servida"))
 def k7(spark, sf):
     from wardframe.sources import tabular
     from wardframe.sources.scratch import scratch_path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    DOMAINS, FRAME, LEVELS, PREDICTORS, SPLIT, TARGET, order_frame, query, rounded, rsql, split_frame, sql_hash, written,
+    DOMAINS, FRAME, LEVELS, PREDICTORS, SPLIT, TARGET, as_double, order_frame, query, rounded, rsql, split_frame, sql_hash, written,
 )
 from wardframe.operators import evaluate, prep, split
 from wardframe.operators.contracts import ContractError
@@ -40,8 +40,8 @@ def d1x(spark, sf):
     return split.seeded_split(written(order_frame(spark, sf)), "key", exact=True).groupBy("split").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
 
 
-@query("d2_key_overlap", f"""SELECT 'indices_solapados' AS chequeo, '' AS columna, CASE WHEN count(*) > 0 THEN 'error' ELSE 'ok' END AS severidad, CAST(count(*) AS DOUBLE) AS estadistico, 0.0 AS umbral
-FROM {SPLIT_FRAME} AS t WHERE key % 100 = 0 UNION ALL SELECT 'indices_solapados', '', 'ok', 0.0 * count(*), 0.0 FROM {SPLIT_FRAME} AS t""")
+@query("d2_key_overlap", as_double(f"""SELECT 'indices_solapados' AS chequeo, '' AS columna, CASE WHEN count(*) > 0 THEN 'error' ELSE 'ok' END AS severidad, CAST(count(*) AS DOUBLE) AS estadistico, 0.0 AS umbral
+FROM {SPLIT_FRAME} AS t WHERE key % 100 = 0 UNION ALL SELECT 'indices_solapados', '', 'ok', 0.0 * count(*), 0.0 FROM {SPLIT_FRAME} AS t""", "umbral"))
 def d2(spark, sf):
     frame = split_frame(spark, sf).select("key", "split")
     copies = frame.where(F.col("key") % 100 == 0).withColumn("split", F.when(F.col("split") == "test", F.lit("train")).otherwise(F.lit("test")))
@@ -57,10 +57,10 @@ def d3(spark, sf):
     return split.shared_rows(split_frame(spark, sf), ["quantity", "level", "discount", "tax"])
 
 
-@query("d4_sizes", rsql(f"""SELECT 'proporcion_de_la_particion' AS chequeo, CASE WHEN abs(te / n - 0.4) > 0.05 THEN 'advertencia' ELSE 'ok' END AS severidad, abs(te / n - 0.4) AS estadistico, 0.05 AS umbral
+@query("d4_sizes", as_double(rsql(f"""SELECT 'proporcion_de_la_particion' AS chequeo, CASE WHEN abs(te / n - 0.4) > 0.05 THEN 'advertencia' ELSE 'ok' END AS severidad, abs(te / n - 0.4) AS estadistico, 0.05 AS umbral
 FROM (SELECT count(*)::DOUBLE AS n, count(*) FILTER (split = 'test')::DOUBLE AS te FROM {SPLIT_FRAME} AS t) AS c
 UNION ALL SELECT 'tamano_del_conjunto_de_prueba', CASE WHEN te / (n - te) < 0.01 OR te < 30 THEN 'advertencia' ELSE 'ok' END, te, 30.0
-FROM (SELECT count(*)::DOUBLE AS n, count(*) FILTER (split = 'test')::DOUBLE AS te FROM {SPLIT_FRAME} AS t) AS c""", "estadistico"))
+FROM (SELECT count(*)::DOUBLE AS n, count(*) FILTER (split = 'test')::DOUBLE AS te FROM {SPLIT_FRAME} AS t) AS c""", "estadistico"), "umbral"))
 def d4(spark, sf):
     return rounded(split.check_sizes(split_frame(spark, sf), 0.4).drop("detalle", "columna"))
 
@@ -75,7 +75,7 @@ _KS = " UNION ALL ".join(ks_sql(c, DRIFTED) for c in ("quantity", "discount", "t
 _DRIFT = f"SELECT 'deriva_de_la_variable' AS chequeo, columna, CASE WHEN estadistico > 0.2 THEN 'advertencia' ELSE 'ok' END AS severidad, estadistico, 0.2 AS umbral FROM ({_KS}) AS k"
 
 
-@query("d5_column_drift", rsql(_DRIFT, "estadistico"))
+@query("d5_column_drift", as_double(rsql(_DRIFT, "estadistico"), "umbral"))
 def d5(spark, sf):
     return rounded(split.check_column_drift(drifted(spark, sf), ["quantity", "discount", "tax"]).drop("detalle"))
 
@@ -83,7 +83,7 @@ def d5(spark, sf):
 _TARGET_DRIFT = f"SELECT 'deriva_del_objetivo' AS chequeo, columna, CASE WHEN estadistico > 0.2 THEN 'advertencia' ELSE 'ok' END AS severidad, estadistico, 0.2 AS umbral FROM ({ks_sql('target', DRIFTED)}) AS k"
 
 
-@query("d6_target_drift", rsql(_TARGET_DRIFT, "estadistico"))
+@query("d6_target_drift", as_double(rsql(_TARGET_DRIFT, "estadistico"), "umbral"))
 def d6(spark, sf):
     return rounded(split.check_target_drift(drifted(spark, sf), TARGET).drop("detalle"))
 
@@ -94,7 +94,7 @@ UNION ALL SELECT 'categorias_nuevas_en_prueba', 'open', CASE WHEN count(*) > 0 T
 FROM (SELECT DISTINCT open FROM {DRIFTED} AS a WHERE split = 'test' AND open IS NOT NULL EXCEPT SELECT open FROM {DRIFTED} AS b WHERE split = 'train') AS d"""
 
 
-@query("d7_new_categories", _NEW)
+@query("d7_new_categories", as_double(_NEW, "umbral"))
 def d7(spark, sf):
     return split.check_new_categories(drifted(spark, sf), ["level", "open"]).drop("detalle")
 
@@ -103,7 +103,7 @@ _GAPS = " UNION ALL ".join(f"SELECT '{c}' AS columna, abs(avg(({c} IS NULL)::INT
 _NULLS = f"SELECT 'deriva_de_los_nulos' AS chequeo, columna, 'advertencia' AS severidad, estadistico, 0.10 AS umbral FROM ({_GAPS}) AS g WHERE estadistico > 0.10"
 
 
-@query("d8_null_drift", rsql(_NULLS, "estadistico"))
+@query("d8_null_drift", as_double(rsql(_NULLS, "estadistico"), "umbral"))
 def d8(spark, sf):
     return rounded(split.check_null_drift(drifted(spark, sf), PREDICTORS).drop("detalle"))
 
@@ -124,7 +124,7 @@ UNION ALL SELECT 'deriva_de_la_variable', columna, CASE WHEN estadistico > 0.2 T
 UNION ALL {_NEW} UNION ALL {_NULLS}"""
 
 
-@query("d10_split_report", rsql(_REPORT, "estadistico"))
+@query("d10_split_report", as_double(rsql(_REPORT, "estadistico"), "umbral"))
 def d10(spark, sf):
     return rounded(split.split_report(written(drifted(spark, sf)), "key", TARGET, PREDICTORS, ["level", "open"], domain=False).drop("detalle"))
 
