@@ -74,7 +74,7 @@ def top_k(rows: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id",
     def grid(frame: DataFrame, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
         return frame.withColumn(mine, F.pmod(F.xxhash64("row"), F.lit(n_mine))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))))
 
-    left = grid(vectors, "rb", row_blocks, "qb", query_blocks)
+    left = grid(vectors.withColumn("id", F.coalesce("id", F.lit(_NO_ID))), "rb", row_blocks, "qb", query_blocks)
     right = grid(vectors.where(is_query & F.col("id").isNotNull()), "qb", query_blocks, "rb", row_blocks)
 
     def search(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
@@ -84,17 +84,16 @@ def top_k(rows: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id",
             peak = float(np.abs(values.astype(float)).max()) * float(np.abs(wants.astype(float)).max()) * values.shape[1]
             if peak < 2**53:  # sums of such products are whole numbers that a double holds
                 values, wants = values.astype(np.float64), wants.astype(np.float64)
-            ids = have["id"].fillna(_NO_ID).to_numpy(np.int64) if have["id"].isna().any() else have["id"].to_numpy(np.int64)
-            own, lists = have["row"].to_numpy(np.int64), np.argsort(values, axis=0, kind="stable")
+            ids, own, lists = have["id"].to_numpy(np.int64), have["row"].to_numpy(np.int64), np.argsort(values, axis=0, kind="stable")
             for q_row, q_id, q in zip(ask["row"], ask["id"], wants, strict=True):
                 for at, score in threshold_topk(ids, own, values, lists, q, q_row, k):
-                    out.append((q_row, int(q_id), own[at], None if ids[at] == _NO_ID else int(ids[at]), score))
-        frame = pd.DataFrame(out, columns=["q_row", "query_id", "row", "vec_id", "score"])
-        return frame.astype({"vec_id": "Int64"})
+                    out.append((q_row, int(q_id), own[at], int(ids[at]), score))
+        return pd.DataFrame(out, columns=["q_row", "query_id", "row", "vec_id", "score"], dtype=np.int64)
 
     found = left.groupBy("dim", "rb", "qb").cogroup(right.groupBy("dim", "rb", "qb")).applyInPandas(search, "q_row long, query_id long, row long, vec_id long, score long")
-    best = Window.partitionBy("q_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        "query_id", "rank", F.when(F.col("vec_id") != _NO_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 SQL = """
