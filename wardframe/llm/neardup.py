@@ -3,8 +3,9 @@
 One hash function orders the shingles; a document's sketch is its k least hashes.  Equal shingle sets are
 one class before anything else.  Inverted lists over the retained values give the candidates: two sets with
 a Jaccard similarity of 0.85 share at least half of their sketches (they miss that with a chance below
-1e-9 at k = 64), so they share one of the rarest half of each, and only that half is listed; a passage that
-many documents share therefore makes no long list unless the documents are alike.  The bottom-k sketch of the
+1e-9 at k = 64), so they share ``SHARED`` values among the rarest half and the next ``SHARED`` values of each
+(all of half a smaller sketch), and only those are listed; what many documents share makes no long list
+unless the documents are alike, and a chance meeting of a few shingles makes no candidate.  The bottom-k sketch of the
 union estimates the similarity, and links are confirmed on the full sets.
 
 A list is not expanded into pairs: its members are compared with a pivot, and only members that are then in
@@ -29,6 +30,8 @@ from wardframe.llm.text import WordHashes, window_hashes, words_of
 from wardframe.sources.scratch import materialised
 
 SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
+#: values that a candidate pair shares in its lists; each sketch is listed that much beyond its rarest half
+SHARED = 8
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _hashes = WordHashes()
 
@@ -81,8 +84,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     values = classes.select("cls", "n", F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("often"))
     rare = values.join(often, "value").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
-    listed = materialised(rare.select("cls", "n", F.explode(F.expr("slice(s, 1, size(s) - int(size(s) / 2) + 1)")).alias("e")).where("e.often > 1").select(
-        F.col("e.value").alias("value"), "cls", "n"), "lists")
+    half = "greatest(1, int(size(s) / 2))"
+    need = f"least({SHARED}, {half})"
+    listed = materialised(rare.select("cls", "n", F.explode(F.expr(f"slice(s, 1, size(s) - {half} + {need})")).alias("e"), F.expr(need).alias("need")).where("e.often > 1").select(
+        F.col("e.value").alias("value"), "cls", "n", "need"), "lists")
 
     every_set: list[DataFrame] = []
 
@@ -94,7 +99,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
             def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for batch in batches:
-                    yield pd.DataFrame({"cls": batch["cls"], "full": [shingle_set(t).tolist() for t in batch["text"]]})
+                    for at in range(0, len(batch), 128):
+                        part = batch.iloc[at:at + 128]
+                        yield pd.DataFrame({"cls": part["cls"].to_numpy(), "full": [shingle_set(t) for t in part["text"]]})
 
             every_set.append(materialised(texts.mapInPandas(full, "cls string, full array<long>"), "sets"))
         return every_set[0]
@@ -112,7 +119,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     def sized(pairs: DataFrame) -> DataFrame:
         alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        return pairs.where(alike & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        met = pairs.where(alike & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "value", F.least("ka", "kb").alias("need"))
+        return met.distinct().groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("a", "b")
 
     links, roots, tried = None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -122,11 +130,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         top = sizes.groupBy("value").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("top")).where("roots > 1")
         here = here.join(top, "value")
         if turn < PIVOT_ROUNDS:  # everyone meets one member of the list's largest component
-            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cls", "n", "root"), F.xxhash64("cls", F.lit(turn))).alias("p"))
-            pairs = here.join(pivots, "value").where("root <> p.root").select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("p.cls").alias("b"), F.col("p.n").alias("nb"))
+            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cls", "n", "need", "root"), F.xxhash64("cls", F.lit(turn))).alias("p"))
+            pairs = here.join(pivots, "value").where("root <> p.root").select(
+                "value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"))
         else:
-            rest = here.where("root <> top").select("value", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-            pairs = here.join(rest, "value").where("root <> rb").where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select(F.col("cls").alias("a"), F.col("n").alias("na"), "b", "nb")
+            rest = here.where("root <> top").select("value", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"))
+            pairs = here.join(rest, "value").where("root <> rb").where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select(
+                "value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), "b", "nb", "kb")
         pairs = sized(pairs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
