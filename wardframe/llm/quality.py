@@ -212,7 +212,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 u AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 g AS (
@@ -225,7 +225,7 @@ r AS (
   FROM (SELECT rid, max(hit) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS cover FROM h)
   GROUP BY rid),
 f AS (
-  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,

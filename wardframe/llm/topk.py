@@ -98,12 +98,12 @@ def top_k(rows: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id",
 
 SQL = """
 WITH v AS (
-  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.rid AS qrid, q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) AS BIGINT) AS score, c.rid AS rid
+         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score, c.rid AS rid
   FROM v q JOIN v c ON q.rid <> c.rid AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY qrid ORDER BY score DESC, vec_id NULLS LAST, rid) AS rank FROM s) WHERE rank <= 5
