@@ -22,40 +22,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardframe.llm.registry import query, table
-from wardframe.llm.text import WordHashes, window_hashes, words_of
+from wardframe.llm.text import window_hashes, word_hashes
 from wardframe.sources.scratch import materialised
 
 SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
 #: values that a candidate pair shares in its lists; each sketch is listed that much beyond its rarest half
 SHARED = 8
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_hashes = WordHashes()
+#: rows of which a task holds the sets at a time
+BATCH = 256
 
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    words = words_of((text or "").translate(_LOWER))
-    if not words:
+    words = word_hashes(text, lower=True)
+    if not len(words):
         return np.empty(0, np.int64)
-    return np.unique(window_hashes(_hashes(words), min(width, len(words)))).view(np.int64)
+    return np.unique(window_hashes(words, min(width, len(words))).view(np.int64))
+
+
+def _batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), BATCH):
+            yield batch.iloc[at:at + BATCH]
 
 
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
-    for batch in batches:
-        out = []
-        for key, tkey, text in zip(batch["key"], batch["tkey"], batch["text"], strict=True):
-            found = shingle_set(text)
-            out.append((key, tkey, len(found), hashlib.md5(found.tobytes()).hexdigest() if len(found) else None, found[:SKETCH].tolist()))
-        frame = pd.DataFrame(out, columns=["key", "tkey", "n", "cls", "sketch"])
+    for batch in _batched(batches):
+        sets = [shingle_set(t) for t in batch["text"]]
+        frame = batch[["key", "tkey"]].assign(
+            n=[len(s) for s in sets], cls=[hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets],
+            sketch=[s[:SKETCH].copy() for s in sets])
         yield frame.astype({"key": "Int64"})
 
 
+def _full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in _batched(batches):
+        yield pd.DataFrame({"cid": batch["cid"].to_numpy(), "full": [shingle_set(t) for t in batch["text"]]})
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (its least reachable node) for every node of ``links`` (a, b)."""
     edges = materialised(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
@@ -78,65 +88,64 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     """key, n_shingles, component_id, kept: one row per document."""
     body = docs.select(F.col(key).cast("long").alias("key"), F.md5(F.col(text)).alias("tkey"), F.col(text).alias("text"))
     rows = materialised(body.mapInPandas(_sketched, "key long, tkey string, n long, cls string, sketch array<long>"), "sketches")
-    classes = materialised(rows.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("key").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-
-    values = classes.select("cls", "n", F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count("*").alias("often"))
-    rare = values.join(often, "value").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
-    half = "greatest(1, int(size(s) / 2))"
+    grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(
+        F.min("key").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = materialised(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+    # values that one class holds are the rarest of its sketch: they count in its half, and only the others are listed
+    values = classes.select("cid", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
+    shared = values.join(often, "value").groupBy("cid", "n", "k").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
+    half = "greatest(1, int(k / 2))"
     need = f"least({SHARED}, {half})"
-    listed = materialised(rare.select("cls", "n", F.explode(F.expr(f"slice(s, 1, size(s) - {half} + {need})")).alias("e"), F.expr(need).alias("need")).where("e.often > 1").select(
-        F.col("e.value").alias("value"), "cls", "n", "need"), "lists")
+    listed = materialised(shared.select(
+        "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, size(s) - {half} + {need}))")).alias("e")).select(
+        F.col("e.value").alias("value"), "cid", "n", "need"), "lists")
 
     every_set: list[DataFrame] = []
 
     def sets() -> DataFrame:
-        """cls and full set of the listed classes, computed once from one text each."""
+        """cid and full set of the listed classes, computed once from one text each."""
         if not every_set:
-            wanted = listed.select("cls").distinct().join(classes.select("cls", "tkey"), "cls")
-            texts = body.where(F.col("tkey").isNotNull()).join(wanted, "tkey").groupBy("cls").agg(F.first("text").alias("text"))
-
-            def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for batch in batches:
-                    for at in range(0, len(batch), 128):
-                        part = batch.iloc[at:at + 128]
-                        yield pd.DataFrame({"cls": part["cls"].to_numpy(), "full": [shingle_set(t) for t in part["text"]]})
-
-            every_set.append(materialised(texts.mapInPandas(full, "cls string, full array<long>"), "sets"))
+            wanted = listed.select("cid").distinct().join(classes.select("cid", "tkey"), "cid")
+            texts = body.where(F.col("tkey").isNotNull()).join(wanted, "tkey").groupBy("cid").agg(F.first("text").alias("text"))
+            every_set.append(materialised(texts.mapInPandas(_full, "cid long, full array<long>"), "sets"))
         return every_set[0]
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links (a, b) among distinct candidate pairs."""
-        sk = classes.select("cls", "sketch")
+        sk = classes.select("cid", "sketch")
         near = pairs.join(sk.toDF("a", "sa"), "a").join(sk.toDF("b", "sb"), "b")
-        union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, F.greatest(F.lit(1), F.least(F.size("sa"), F.size("sb"))))
-        hits = F.size(F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb")))
-        near = near.where(100 * hits >= (percent - 35) * F.size(union)).select("a", "b")
+        union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, F.greatest(F.lit(1), F.least(F.size("sa"), F.size("sb"))))
+        both = F.array_intersect("sa", "sb")  # what the union's sketch shares is part of it
+        near = near.where(100 * F.size(both) >= (percent - 35) * F.least(F.size("sa"), F.size("sb")))
+        near = near.where(100 * F.size(F.array_intersect(union, both)) >= (percent - 35) * F.size(union)).select("a", "b")
         joined = near.join(sets().toDF("a", "fa"), "a").join(sets().toDF("b", "fb"), "b")
         inter = F.size(F.array_intersect("fa", "fb"))
         return materialised(joined.where(100 * inter >= percent * (F.size("fa") + F.size("fb") - inter)).select("a", "b"), "confirmed")
 
     def sized(pairs: DataFrame) -> DataFrame:
-        alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        met = pairs.where(alike & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "value", F.least("ka", "kb").alias("need"))
-        return met.distinct().groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("a", "b")
+        """Pairs of like sizes that meet in enough lists; a pair comes at most once from each list."""
+        met = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where("a <> b").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ka", "kb").alias("need"))
+        return met.groupBy("a", "b").agg(F.count("*").alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
 
     links, roots, tried = None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
-        here = listed if roots is None else listed.join(roots, F.col("cls") == F.col("node"), "left").drop("node")
-        here = here.withColumn("root", F.coalesce("root", "cls") if roots is not None else F.col("cls"))
+        here = listed if roots is None else listed.join(roots, F.col("cid") == F.col("node"), "left").drop("node")
+        here = here.withColumn("root", F.coalesce("root", "cid") if roots is not None else F.col("cid"))
         sizes = here.groupBy("value", "root").agg(F.count("*").alias("m"))
         top = sizes.groupBy("value").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("top")).where("roots > 1")
         here = here.join(top, "value")
         if turn < PIVOT_ROUNDS:  # everyone meets one member of the list's largest component
-            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cls", "n", "need", "root"), F.xxhash64("cls", F.lit(turn))).alias("p"))
+            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cid", "n", "need", "root"), F.xxhash64("cid", F.lit(turn))).alias("p"))
             pairs = here.join(pivots, "value").where("root <> p.root").select(
-                "value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"))
+                "value", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("p.cid").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"))
         else:
-            rest = here.where("root <> top").select("value", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"))
-            pairs = here.join(rest, "value").where("root <> rb").where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select(
-                "value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), "b", "nb", "kb")
+            # of two members outside it, each pair once
+            rest = here.where("root <> top").select("value", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"))
+            pairs = here.join(rest, "value").where("root <> rb AND (root = top OR cid < b)").where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select(
+                "value", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), "b", "nb", "kb")
         pairs = sized(pairs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -146,7 +155,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 
-    grouped = classes.select("cls", "least").join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = classes.select("cls", "cid", "least").join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cls", "component_id")
     out = rows.join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -154,13 +163,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay: one per component, all rows with an empty set, with all their columns."""
-    kept = docs.select("*", F.monotonically_increasing_id().alias("__row"))
-    kept = materialised(kept, "docs")
+    kept = materialised(docs.select("*", F.monotonically_increasing_id().alias("__row")), "docs")
     judged = near_duplicates(kept.select(F.col("__row").alias("k"), F.col(text).alias("t")), "k", "t")
-    named = kept.join(judged, F.col("__row") == F.col("k"))
-    first = Window.partitionBy("component_id").orderBy(F.col(key).asc_nulls_last(), "__row")
-    ids = named.select(F.col("__row").alias("__keep"), F.row_number().over(first).alias("n"), "component_id", key).where("n = 1").select("__keep")
-    return kept.join(ids, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
+    members = judged.select("k", F.col("component_id").alias("c")).join(kept.select(F.col("__row").alias("k"), F.col(key).alias("key")), "k")
+    first = members.groupBy("c").agg(F.min_by("k", F.struct(F.col("key").isNull(), F.col("key"), F.col("k"))).alias("__keep")).select("__keep")
+    return kept.join(first, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
 
 
 @query("op6_bottom_k_components")

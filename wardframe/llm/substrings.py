@@ -21,26 +21,19 @@ from pyspark.sql import functions as F
 
 from wardframe.llm.registry import query, table
 from wardframe.llm.repeats import covered, repeated_starts
-from wardframe.llm.text import WordHashes, words_of
+from wardframe.llm.text import word_hashes, words_of
 from wardframe.sources.scratch import materialised
 
 WIDTH, GRAM = 50, 8
 _LAST = (1 << 63) - 1
 
 
-def word_symbols(text: str) -> np.ndarray:
-    return _hashes(words_of(text))
-
-
-_hashes = WordHashes()
-
-
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """key, n_words, n_removed, kept_sha256, kept (text), removed (word runs start, end)."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), body.alias("text"), F.sha2(body, 256).alias("uid"))
     once = materialised(rows.groupBy("uid").agg(F.first("text").alias("text"), F.min("doc").alias("doc")), "texts")
-    spans = repeated_starts(once, word_symbols, width, gram, first_stays=True)
+    spans = repeated_starts(once, word_hashes, width, gram, first_stays=True)
     schema = "uid string, n_words long, n_removed long, kept_sha256 string, kept string, removed array<struct<start:long,end:long>>"
 
     def cut(batches):

@@ -7,17 +7,14 @@ cuts at other white space, so it is used only on texts that hold none of it.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 import numpy as np
-import xxhash
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_CACHE_ROWS = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -36,24 +33,33 @@ def mixed(values: np.ndarray) -> np.ndarray:
         return v ^ (v >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words; frequent words are hashed once per task."""
-
-    def __init__(self) -> None:
-        self._known: dict[str, int] = {}
-
-    def __call__(self, words: Iterable[str]) -> np.ndarray:
-        known = self._known
-        if len(known) > _CACHE_ROWS:
-            known.clear()
-        try:
-            return np.array([known[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            words = list(words)
-            for w in set(words):
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-            return np.array([known[w] for w in words], dtype=np.uint64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
+
+
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word, in order; ``lower`` folds A-Z first.
+
+    White space is ASCII, so the bytes of a word are what lies between spaces.  A word's hash sums a random
+    number for each (byte, place in the word), over the whole text at once.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    if lower:
+        raw = _LOWER[raw]
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.empty(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    places = (np.arange(int(lengths.sum())) - np.repeat(first, lengths)).astype(np.uint64)
+    codes = mixed((places << np.uint64(8)) | raw[~space[1:-1]])
+    with np.errstate(over="ignore"):
+        return mixed(np.add.reduceat(codes, first) + lengths.astype(np.uint64) * _LENGTH)
 
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
