@@ -305,3 +305,16 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).columns == docs.columns, name
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_word_hashes_follow_words():
+    from wardframe.llm.neardup import shingle_set
+    from wardframe.llm.text import word_hashes, words_of
+
+    texts = [None, "", " \t\n", "a", "A b  a B", "x" * 200 + " y " + "x" * 200, "é\x85a \x1cb é\x85a", "ab a b ba", "\x0ba\x0c", "Ä ä Z z"]
+    for text in texts:
+        words, got = words_of(text), word_hashes(text).tolist()
+        assert len(got) == len(words)
+        assert [[a == b for b in got] for a in got] == [[a == b for b in words] for a in words]
+    assert word_hashes("A Ä", lower=True).tolist() == word_hashes("a Ä").tolist()
+    assert len(shingle_set("one two three")) == 1 and len(shingle_set("a b c d e f " * 50)) == 6

@@ -41,7 +41,8 @@ def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     words = word_hashes(text, lower=True)
     if not len(words):
         return np.empty(0, np.int64)
-    return np.unique(window_hashes(words, min(width, len(words))).view(np.int64))
+    found = np.sort(window_hashes(words, min(width, len(words))).view(np.int64))
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def _batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

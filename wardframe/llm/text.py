@@ -37,6 +37,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
+#: the random numbers of the first places of a word
+_PLACES = 64
+_CODES = mixed(np.arange(_PLACES * 256, dtype=np.uint64))
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -56,8 +59,8 @@ def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     if not len(lengths):
         return np.empty(0, np.uint64)
     first = np.cumsum(lengths) - lengths
-    places = (np.arange(int(lengths.sum())) - np.repeat(first, lengths)).astype(np.uint64)
-    codes = mixed((places << np.uint64(8)) | raw[~space[1:-1]])
+    index = (np.arange(int(lengths.sum())) - np.repeat(first, lengths)) * 256 + raw[~space[1:-1]]
+    codes = _CODES[index] if lengths.max() <= _PLACES else mixed(index.astype(np.uint64))
     with np.errstate(over="ignore"):
         return mixed(np.add.reduceat(codes, first) + lengths.astype(np.uint64) * _LENGTH)
 
