@@ -8,13 +8,16 @@ from wardframe.llm import chat, mixing, neardup, packing, pages, private, qualit
 from wardframe.llm.registry import QUERIES, SQL, query, table
 from wardframe.sources.scratch import materialised
 
+#: least similarity of near copies, of which the corpus keeps one
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs)
+    return neardup.one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -318,3 +318,54 @@ def test_word_hashes_follow_words():
         assert [[a == b for b in got] for a in got] == [[a == b for b in words] for a in words]
     assert word_hashes("A Ä", lower=True).tolist() == word_hashes("a Ä").tolist()
     assert len(shingle_set("one two three")) == 1 and len(shingle_set("a b c d e f " * 50)) == 6
+
+
+def with_edits(words, n, seed):
+    """The words with ``n`` of them replaced, far enough apart to cost five shingles each."""
+    edited = list(words)
+    for i in range(n):
+        edited[12 * i + 6] = f"edit{seed}x{i}"
+    return " ".join(edited)
+
+
+def near_classes(texts, percent):
+    """A label for each text, by all pairs of shingle sets; its own for an empty set."""
+    sets = []
+    for t in texts:
+        w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in WORD.findall(t or "")]
+        width = min(5, len(w))
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if w else set())
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    holding = defaultdict(set)
+    for i, s in enumerate(sets):
+        for x in s:
+            holding[x].add(i)
+    for i, s in enumerate(sets):
+        for j, both in Counter(j for x in s for j in holding[x] if j < i).items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(len(texts))]
+
+
+def test_pipeline_keeps_one_of_near_copies_at_80(spark):
+    base = [words_from(50 + i, 400) for i in range(6)]
+    texts = [t for i, b in enumerate(base) for t in (" ".join(b), with_edits(b, 8 + i, i), with_edits(b, 30, i))] + [None, "", "one two"]  # 0.73 to 0.82, and far
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    frames = [spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")]
+    if os.path.isdir("/root/testdata/sf0.01"):
+        frames.append(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for frame in frames:
+        held = [(r["doc_id"], r["text"]) for r in frame.collect()]
+        labels = near_classes([t for _, t in held], 80)
+        best = {}
+        for (doc, _), label in zip(held, labels, strict=True):
+            best[label] = min(best.get(label, (True, 0)), (doc is None, doc or 0))
+        want = sorted(Counter(doc if not none else None for none, doc in best.values()).items(), key=repr)
+        got = corpus_pipeline.near_dedup(spark, frame, FOLDER).collect()
+        assert sorted(Counter(r["doc_id"] for r in got).items(), key=repr) == want

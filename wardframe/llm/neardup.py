@@ -2,9 +2,10 @@
 
 One hash function orders the shingles; a document's sketch is its k least hashes.  Equal shingle sets are
 one class before anything else.  Inverted lists over the retained values give the candidates: two sets with
-a Jaccard similarity of 0.85 share at least half of their sketches (they miss that with a chance below
-1e-9 at k = 64), so they share ``SHARED`` values among the rarest half and the next ``SHARED`` values of each
-(all of half a smaller sketch), and only those are listed; what many documents share makes no long list
+a Jaccard similarity of ``percent`` share at least (``percent`` - ``SLACK``) % of their sketches, half at 85 and
+45 % at 80 (they miss that with a chance of 9e-12 and 3e-11 at k = 64, and below 1e-8 from 50 on), so they share
+``SHARED`` values among the rarest rest and the next ``SHARED`` values of each
+(all of that part of a smaller sketch), and only those are listed; what many documents share makes no long list
 unless the documents are alike, and a chance meeting of a few shingles makes no candidate.  The bottom-k sketch of the
 union estimates the similarity, and links are confirmed on the full sets.
 
@@ -30,7 +31,9 @@ from wardframe.llm.text import window_hashes, word_hashes
 from wardframe.sources.scratch import materialised
 
 SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
-#: values that a candidate pair shares in its lists; each sketch is listed that much beyond its rarest half
+#: points by which the shared part of two sketches may stay below the similarity
+SLACK = 35
+#: values that a candidate pair shares in its lists; each sketch is listed that much beyond what a pair need not share
 SHARED = 8
 #: rows of which a task holds the sets at a time
 BATCH = 256
@@ -86,21 +89,23 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles, component_id, kept: one row per document."""
+    """key, n_shingles, component_id, kept: one row per document; ``percent`` is the least similarity of a link."""
+    if not 50 <= percent <= 100:
+        raise ValueError("the sketch demand holds for 50 to 100 percent")
     body = docs.select(F.col(key).cast("long").alias("key"), F.md5(F.col(text)).alias("tkey"), F.col(text).alias("text"))
     rows = materialised(body.mapInPandas(_sketched, "key long, tkey string, n long, cls string, sketch array<long>"), "sketches")
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min("key").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = materialised(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    # values that one class holds are the rarest of its sketch: they count in its half, and only the others are listed
+    # values that one class holds are the rarest of its sketch: they count in what need not be shared, and only the others are listed
     values = classes.select("cid", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     shared = values.join(often, "value").groupBy("cid", "n", "k").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
-    half = "greatest(1, int(k / 2))"
-    need = f"least({SHARED}, {half})"
+    demand = f"greatest(1, k * {percent - SLACK} div 100)"
+    need = f"int(least({SHARED}, {demand}))"
     listed = materialised(shared.select(
-        "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, size(s) - {half} + {need}))")).alias("e")).select(
+        "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, int(size(s) - {demand} + {need})))")).alias("e")).select(
         F.col("e.value").alias("value"), "cid", "n", "need"), "lists")
 
     every_set: list[DataFrame] = []
@@ -119,8 +124,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         near = pairs.join(sk.toDF("a", "sa"), "a").join(sk.toDF("b", "sb"), "b")
         union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, F.greatest(F.lit(1), F.least(F.size("sa"), F.size("sb"))))
         both = F.array_intersect("sa", "sb")  # what the union's sketch shares is part of it
-        near = near.where(100 * F.size(both) >= (percent - 35) * F.least(F.size("sa"), F.size("sb")))
-        near = near.where(100 * F.size(F.array_intersect(union, both)) >= (percent - 35) * F.size(union)).select("a", "b")
+        near = near.where(100 * F.size(both) >= (percent - SLACK) * F.least(F.size("sa"), F.size("sb")))
+        near = near.where(100 * F.size(F.array_intersect(union, both)) >= (percent - SLACK) * F.size(union)).select("a", "b")
         joined = near.join(sets().toDF("a", "fa"), "a").join(sets().toDF("b", "fb"), "b")
         inter = F.size(F.array_intersect("fa", "fb"))
         return materialised(joined.where(100 * inter >= percent * (F.size("fa") + F.size("fb") - inter)).select("a", "b"), "confirmed")
@@ -162,10 +167,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows that stay: one per component, all rows with an empty set, with all their columns."""
     kept = materialised(docs.select("*", F.monotonically_increasing_id().alias("__row")), "docs")
-    judged = near_duplicates(kept.select(F.col("__row").alias("k"), F.col(text).alias("t")), "k", "t")
+    judged = near_duplicates(kept.select(F.col("__row").alias("k"), F.col(text).alias("t")), "k", "t", percent)
     members = judged.select("k", F.col("component_id").alias("c")).join(kept.select(F.col("__row").alias("k"), F.col(key).alias("key")), "k")
     first = members.groupBy("c").agg(F.min_by("k", F.struct(F.col("key").isNull(), F.col("key"), F.col("k"))).alias("__keep")).select("__keep")
     return kept.join(first, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
