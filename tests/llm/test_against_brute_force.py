@@ -369,3 +369,19 @@ def test_pipeline_keeps_one_of_near_copies_at_80(spark):
         want = sorted(Counter(doc if not none else None for none, doc in best.values()).items(), key=repr)
         got = corpus_pipeline.near_dedup(spark, frame, FOLDER).collect()
         assert sorted(Counter(r["doc_id"] for r in got).items(), key=repr) == want
+
+
+def test_packing_keeps_near_copies_apart(spark):
+    base = [words_from(70 + i, 100) for i in range(4)]
+    texts = [t for i, b in enumerate(base) for t in (" ".join(b), with_edits(b, 1, i), with_edits(b, 2, i), " ".join(b) + " É", " ".join(b) + " é")]
+    texts += ["ÉA " * 30, "éa " * 30, "x " * 9, None, ""]
+    rows = [(i, t, f"source{i}") for i, t in enumerate(texts)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    labels = near_classes([t.lower() if t else t for t in texts], 80)
+    assert labels[0] == labels[1] and labels[20] == labels[21] and len(set(labels)) == 8
+    bins = defaultdict(list)
+    for r in got:
+        if r["bin"] is not None:
+            bins[r["bin"]].append(labels[r["doc_id"]])
+    assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+    assert all(len(set(b)) == len(b) for b in bins.values()) and max(len(b) for b in bins.values()) > 1

@@ -88,8 +88,8 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles, component_id, kept: one row per document; ``percent`` is the least similarity of a link."""
+def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """key, tkey (digest of the text), n, component_id: one row per document."""
     if not 50 <= percent <= 100:
         raise ValueError("the sketch demand holds for 50 to 100 percent")
     body = docs.select(F.col(key).cast("long").alias("key"), F.md5(F.col(text)).alias("tkey"), F.col(text).alias("text"))
@@ -164,14 +164,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     grouped = classes.select("cls", "cid", "least").join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cls", "component_id")
     out = rows.join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")))
+    return out.select("key", "tkey", "n", "component_id")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """key, n_shingles, component_id, kept: one row per document; ``percent`` is the least similarity of a link."""
+    out = judged(docs, key, text, percent)
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows that stay: one per component, all rows with an empty set, with all their columns."""
     kept = materialised(docs.select("*", F.monotonically_increasing_id().alias("__row")), "docs")
-    judged = near_duplicates(kept.select(F.col("__row").alias("k"), F.col(text).alias("t")), "k", "t", percent)
-    members = judged.select("k", F.col("component_id").alias("c")).join(kept.select(F.col("__row").alias("k"), F.col(key).alias("key")), "k")
+    found = near_duplicates(kept.select(F.col("__row").alias("k"), F.col(text).alias("t")), "k", "t", percent)
+    members = found.select("k", F.col("component_id").alias("c")).join(kept.select(F.col("__row").alias("k"), F.col(key).alias("key")), "k")
     first = members.groupBy("c").agg(F.min_by("k", F.struct(F.col("key").isNull(), F.col("key"), F.col("k"))).alias("__keep")).select("__keep")
     return kept.join(first, F.col("__row") == F.col("__keep"), "left_semi").select(*docs.columns)
 

@@ -1,6 +1,7 @@
 """Best-fit packing of documents into bins under conflicts.
 
-A bin holds at most ``capacity`` words, one document of a source and one of a duplicate cluster.  Longer
+A bin holds at most ``capacity`` words, one document of a source and one of a duplicate cluster.  Texts equal
+up to case and white space are one cluster, and so are near copies (``neardup``, at ``NEAR_PERCENT``).  Longer
 documents are cut: full pieces fill bins of their own, the last piece is packed.  Pieces are dealt by hash
 into shards of about ``SHARD_PIECES`` rows (without texts), so copies and hot sources spread evenly; in a
 shard pieces come by falling size, bins are ordered by what is left and carry bitmaps of their sources and
@@ -19,11 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.llm.neardup import components, judged
 from wardframe.llm.registry import query, table
 from wardframe.llm.text import WORD_PATTERN
 from wardframe.sources.scratch import materialised
 
-CAPACITY, SHARD_PIECES = 2048, 4000
+CAPACITY, SHARD_PIECES, NEAR_PERCENT = 2048, 4000, 80
 
 
 def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity: int) -> list[tuple[int, int]]:
@@ -51,17 +53,33 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity
     return placed
 
 
+def near_clusters(docs: DataFrame, text: str, alike: Column) -> DataFrame:
+    """digest, near: the duplicate cluster of each text, ``alike`` texts and near copies linked together."""
+    found = judged(docs.select(F.monotonically_increasing_id().alias("k"), F.col(text).alias("t")), "k", "t", NEAR_PERCENT)
+    near = found.where("tkey IS NOT NULL").groupBy("tkey").agg(F.min("component_id").alias("c"))
+    classes = docs.where(F.col(text).isNotNull()).groupBy(F.md5(F.col(text)).alias("tkey")).agg(F.min(alike).alias("alike"))
+    labels = materialised(near.join(classes, "tkey"), "near")
+    least = labels.groupBy("alike").agg(F.min("c").alias("a"), F.max("c").alias("last")).where("a < last").select("alike", "a")
+    links = labels.join(least, "alike").select("a", F.col("c").alias("b"))  # case beyond ASCII is no shingle's matter
+    if not links.isEmpty():
+        labels = labels.join(components(links), F.col("c") == F.col("node"), "left").withColumn("c", F.coalesce("root", "c"))
+    return labels.select(F.col("tkey").alias("digest"), F.concat(F.lit("n"), F.col("c").cast("string")).alias("near"))
+
+
 def pack(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", capacity: int = CAPACITY, cluster: Column | None = None) -> DataFrame:
     """key, piece, first_word, n_words, bin, place (of the piece's first word in the bin).
 
-    ``cluster`` names the duplicate cluster of a row; by default equal texts up to case and white space.
+    ``cluster`` names the duplicate cluster of a row; by default equal texts up to case and white space and near copies.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     alike = F.md5(F.lower(F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " "))))
-    rows = materialised(docs.select(
+    rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
         (alike if cluster is None else cluster.cast("string")).alias("cluster"), F.md5(body).alias("digest"),
-        F.regexp_count(body, F.lit(WORD_PATTERN)).cast("long").alias("words")), "pack-rows")
+        F.regexp_count(body, F.lit(WORD_PATTERN)).cast("long").alias("words"))
+    if cluster is None:
+        rows = rows.join(near_clusters(docs, text, alike), "digest", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
+    rows = materialised(rows, "pack-rows")
     full = F.floor(F.col("words") / capacity)
     rows = rows.withColumn("full", full).withColumn("rest", F.col("words") - full * capacity)
     n = rows.where("rest > 0").count()
