@@ -385,3 +385,12 @@ def test_packing_keeps_near_copies_apart(spark):
             bins[r["bin"]].append(labels[r["doc_id"]])
     assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
     assert all(len(set(b)) == len(b) for b in bins.values()) and max(len(b) for b in bins.values()) > 1
+
+
+def test_noise_names_are_whole_tokens():
+    page = """<html class='header'><body class='no-sidebar header-fixed'><div class='content with-sidebar'><article class='social-post' id='promo'>
+    <h1 class='post-header header'>Head</h1><p class='related-work'>kept</p><div class='ad'>a</div><div id='ad-12'>b</div><div class='x Sidebar'>c</div>
+    <span class='share'>d</span><span class='share-price'>e</span></article></div></body></html>"""
+    assert pages.main_text(page) == "Head kept e"
+    assert pages.main_text("<body class='no-sidebar'><div class='content with-sidebar'>whole text</div></body>") == "whole text"
+    assert pages.main_text("<body class='menu'><main role='banner'>whole text</main><div class='menu'>m</div></body>") == "whole text"

@@ -3,7 +3,9 @@
 Pages of one host are merged into a tree of style nodes, a node being the path of block elements with
 their classes.  Over the pages that hold a node, the entropy of its child sequences (presentation) and
 of its texts (content) give its importance; branches of low importance are cut from each page.  Fixed
-element and class names mark what no main text is made of, so a host with one page is cleaned as well.
+element and class names mark what no main text is made of, so a host with one page is cleaned as well.  A name
+counts as a whole token (``with-sidebar`` is not ``sidebar``; a number at its end is dropped) and never marks the
+page, its article or a heading; about doubtful names the tree decides.
 
 The counts per (host, node, value) are pre-aggregated before any shuffle.  The list of cut nodes of a
 host holds only nodes on at least ``MIN_SHARE`` of its pages, so it has at most (mean nodes per page) /
@@ -32,6 +34,7 @@ from wardframe.sources.scratch import materialised
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
+_NUMBER = re.compile(r"[-_]*[0-9]+\Z")
 
 BLOCKS = frozenset(
     "address article aside blockquote body br button center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -47,6 +50,8 @@ NOISE_NAMES = frozenset(
     "modal nav navbar navigation newsletter notice notices popup promo related share sharing sidebar social sponsor sponsored "
     "subscribe toolbar widget".split())
 ROOTS = frozenset(("article", "main"))
+#: no name makes these noise
+NEVER_BY_NAME = ROOTS | frozenset("html body h1 h2 h3 h4 h5 h6".split())
 SAFE = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "br", "li", "td", "th"))
 CLOSES = {"p": ("p",), "li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 SCOPES = frozenset("article section div ul ol table dl main body html blockquote nav aside footer header form".split())
@@ -95,15 +100,18 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[list[Node], str]]]:
                 pieces.append((list(stack), " "))
             continue
         names: set[str] = set()
+        noisy = False
         for name in _NAMES.findall(found[3]):
-            names.update(_SPLIT.split("".join(name).lower()))
+            value = "".join(name).lower()
+            names.update(_SPLIT.split(value))
+            noisy = noisy or tag not in NEVER_BY_NAME and any(_NUMBER.sub("", token) in NOISE_NAMES for token in value.split())
         names.discard("")
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             pieces.append((list(stack), " "))
             continue
-        if tag not in BLOCKS and not names & NOISE_NAMES:
+        if tag not in BLOCKS and not noisy:
             continue
         if tag in VOID:
             pieces.append((list(stack), " "))
@@ -118,7 +126,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[list[Node], str]]]:
         above = stack[-1]
         style = tag + "".join(f".{n}" for n in sorted(names))
         above.children.append(style)
-        node = Node(tag, f"{above.path}/{style}", tag in NOISE_TAGS or bool(names & NOISE_NAMES), tag in ROOTS, tag in SAFE)
+        node = Node(tag, f"{above.path}/{style}", tag in NOISE_TAGS or noisy, tag in ROOTS, tag in SAFE)
         nodes.append(node)
         if tag in BLOCKS:
             pieces.append((list(stack), " "))
