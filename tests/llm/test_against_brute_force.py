@@ -394,3 +394,18 @@ def test_noise_names_are_whole_tokens():
     assert pages.main_text(page) == "Head kept e"
     assert pages.main_text("<body class='no-sidebar'><div class='content with-sidebar'>whole text</div></body>") == "whole text"
     assert pages.main_text("<body class='menu'><main role='banner'>whole text</main><div class='menu'>m</div></body>") == "whole text"
+
+
+def test_style_tree_cuts_repeats_in_any_tag_and_share(spark):
+    def own(i):
+        return f"the text of page {i} is its own and is longer than any notice"
+
+    rows = []
+    for i in range(400):  # the advert is on 3 % of the pages, the notices are on all
+        advert = "<div class='zone'>buy this</div>" if i < 12 else ""
+        rows.append((i, f"<body><article><h1>Title {i}</h1><p>{own(i)}</p><p class='legal'>same words</p>{advert}<table><tr><td class='c'>cell</td></tr></table></article></body>"))
+    copied = "<body><article><h2 class='t'>Copied</h2><p class='lead'>lead words</p><div class='story'>a copied article stays whole</div></article></body>"
+    rows += [(1000 + i, copied) for i in range(30)]
+    df = spark.createDataFrame([(i, "http://h.example/x", html) for i, html in rows], "page_id long, url string, html string").repartition(3)
+    out = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+    assert out == {i: f"Title {i} {own(i)}" for i in range(400)} | {1000 + i: "Copied lead words a copied article stays whole" for i in range(30)}

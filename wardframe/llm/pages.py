@@ -7,13 +7,14 @@ element and class names mark what no main text is made of, so a host with one pa
 counts as a whole token (``with-sidebar`` is not ``sidebar``; a number at its end is dropped) and never marks the
 page, its article or a heading; about doubtful names the tree decides.
 
-The counts per (host, node, value) are pre-aggregated before any shuffle.  The list of cut nodes of a
-host holds only nodes on at least ``MIN_SHARE`` of its pages, so it has at most (mean nodes per page) /
-MIN_SHARE entries whatever the number of pages; it joins the pages by host.
+The counts per (host, node, value) are pre-aggregated before any shuffle.  A node is cut if its importance is
+low while the pages around it differ: the longest text of a page outside the node has an entropy of at least
+``AROUND`` over the node's pages.  So a branch of a copied article stays, whatever its tags and the size of
+the host.  The cut nodes meet the distinct pages by (host, node), salted, and each page gets its own list.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of its own; repeated rows
-give repeated results; unclosed elements end with their parent; an article whose own texts repeat across
-the host (copies) is never cut, and headings and paragraphs in it never are; extra columns are not read.
+give repeated results; unclosed elements end with their parent; article and main are never cut; a node on
+fewer than ``MIN_PAGES`` pages is no evidence and stays; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -52,11 +53,10 @@ NOISE_NAMES = frozenset(
 ROOTS = frozenset(("article", "main"))
 #: no name makes these noise
 NEVER_BY_NAME = ROOTS | frozenset("html body h1 h2 h3 h4 h5 h6".split())
-SAFE = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "br", "li", "td", "th"))
 CLOSES = {"p": ("p",), "li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 SCOPES = frozenset("article section div ul ol table dl main body html blockquote nav aside footer header form".split())
 
-MIN_SHARE, MIN_PAGES, LOW, CONTENT_WEIGHT = 0.05, 10, 0.1, 0.9
+MIN_PAGES, LOW, AROUND, CONTENT_WEIGHT, SALTS = 10, 0.1, 0.5, 0.9, 16
 
 
 @dataclass
@@ -65,7 +65,6 @@ class Node:
     path: str
     noise: bool
     root: bool
-    safe: bool
     children: list[str] = field(default_factory=list)
 
 
@@ -76,7 +75,7 @@ def host_of(column) -> F.Column:
 def parse(html: str | None) -> tuple[list[Node], list[tuple[list[Node], str]]]:
     """The block nodes of a page, and its pieces of text with the chain of nodes that hold each."""
     html = html or ""
-    top = Node("", "", False, False, True)
+    top = Node("", "", False, False)
     nodes, stack, pieces, at = [top], [top], [], 0
 
     def text(upto: int) -> None:
@@ -126,7 +125,7 @@ def parse(html: str | None) -> tuple[list[Node], list[tuple[list[Node], str]]]:
         above = stack[-1]
         style = tag + "".join(f".{n}" for n in sorted(names))
         above.children.append(style)
-        node = Node(tag, f"{above.path}/{style}", tag in NOISE_TAGS or noisy, tag in ROOTS, tag in SAFE)
+        node = Node(tag, f"{above.path}/{style}", tag in NOISE_TAGS or noisy, tag in ROOTS)
         nodes.append(node)
         if tag in BLOCKS:
             pieces.append((list(stack), " "))
@@ -146,7 +145,7 @@ def main_text(html: str | None, cut: frozenset[str] = frozenset()) -> str:
     def kept(chain: list[Node], cut: frozenset[str]) -> bool:
         if any(n.noise for n in chain) or inside and not any(n.root for n in chain):
             return False
-        return not any(n.path in cut and not n.safe and not n.root for n in chain)
+        return not any(n.path in cut and not n.root for n in chain)
 
     out = " ".join("".join(t if kept(c, cut) else " " for c, t in pieces).split())
     if not out and cut:  # the whole page repeats across its site: only the fixed names count
@@ -154,6 +153,10 @@ def main_text(html: str | None, cut: frozenset[str] = frozenset()) -> str:
     return out
 
 
+def _hash(value: str) -> int:
+    return xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass")) >> 1
+
+
 def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -168,43 +171,55 @@ def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for node in chain:
                     if node.path in shape:
                         texts.setdefault(node.path, []).append(piece)
+            longest = sorted(((" ".join(t.split()), {n.path for n in c}) for c, t in pieces if not t.isspace() and not any(n.noise for n in c)), key=lambda x: (-len(x[0]), x[0]))
             for path, children in shape.items():
                 content = " ".join("".join(texts.get(path, ())).split())
-                for kind, value in ((0, "|".join(children)), (1, content)):
-                    rows.append((host, path, kind, xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass")) >> 1))
+                around = next((t for t, paths in longest if path not in paths), "")
+                for kind, value in ((0, "|".join(children)), (1, content), (2, around)):
+                    rows.append((host, path, kind, _hash(value)))
         yield pd.DataFrame(rows, columns=["host", "path", "kind", "value"])
 
 
+def _held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for host, page, html in zip(batch["host"], batch["page"], batch["html"], strict=True):
+            rows += [(host, page, _hash(path)) for path in {n.path for n in parse(html)[0] if not n.noise}]
+        yield pd.DataFrame(rows, columns=["host", "page", "node"])
+
+
 def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, path, pages, presentation, content, importance: the merged tree with its entropies in [0, 1]."""
+    """host, path, pages, presentation, content, around, importance: the merged tree with its entropies in [0, 1]."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).mapInPandas(_values, "host string, path string, kind int, value long")
     counted = rows.groupBy("host", "path", "kind", "value").agg(F.count("*").cast("double").alias("n"))
     entropy = counted.groupBy("host", "path", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("s")).select(
         "host", "path", "kind", "n", F.when(F.col("n") > 1, 1 - F.col("s") / (F.col("n") * F.log("n"))).otherwise(1.0).alias("h"))
     tree = entropy.groupBy("host", "path").agg(
-        F.max("n").alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("h"))).alias("presentation"), F.max(F.when(F.col("kind") == 1, F.col("h"))).alias("content"))
+        F.max("n").alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("h"))).alias("presentation"), F.max(F.when(F.col("kind") == 1, F.col("h"))).alias("content"),
+        F.max(F.when(F.col("kind") == 2, F.col("h"))).alias("around"))
     return tree.withColumn("importance", (1 - CONTENT_WEIGHT) * F.col("presentation") + CONTENT_WEIGHT * F.col("content"))
 
 
 def cut_nodes(tree: DataFrame) -> DataFrame:
-    """host, cut: the style nodes of low importance on a fair share of a host's pages."""
-    whole = tree.where("path = ''").select("host", F.col("pages").alias("all_pages"), F.col("importance").alias("all_importance"))
-    low = tree.join(whole, "host").where(
-        (F.col("path") != "") & (F.col("importance") < LOW) & (F.col("all_importance") >= 2 * LOW)
-        & (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("all_pages")))
-    return low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("cut"))
+    """host, path: the style nodes of low importance on pages that differ around them."""
+    return tree.where((F.col("path") != "") & (F.col("importance") < LOW) & (F.col("around") >= AROUND) & (F.col("pages") >= MIN_PAGES)).select("host", "path")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """key, url and the main text, one row per page."""
-    cut = materialised(cut_nodes(style_tree(pages, url, html)), "cut-nodes")  # its written size decides how it joins
+    node_id = F.udf(_hash, "long")
+    low = materialised(cut_nodes(style_tree(pages, url, html)).withColumn("node", node_id("path")), "cut-nodes")  # its written size decides how it joins
+    rows = pages.select(F.col(key).alias(key), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.md5(html).alias("page"), F.col(html).alias("html"))
+    held = rows.select("host", "page", "html").mapInPandas(_held, "host string, page string, node long").distinct()
+    salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    held = held.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
+    cut = held.join(salted, ["host", "node", "salt"]).groupBy("host", "page").agg(F.collect_list("path").alias("cut"))  # at most the nodes of one page
 
     @F.pandas_udf("string")
     def text_of(htmls: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([main_text(h, frozenset(c) if c is not None else frozenset()) for h, c in zip(htmls, cuts, strict=True)], dtype=object)
 
-    rows = pages.select(F.col(key).alias(key), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    return rows.join(cut, "host", "left").select(key, "url", text_of("html", "cut").alias("text"))
+    return rows.join(cut, ["host", "page"], "left").select(key, "url", text_of("html", "cut").alias("text"))
 
 
 @query("op1_site_style_tree")
