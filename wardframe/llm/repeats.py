@@ -3,7 +3,7 @@
 A text is an array of symbols (bytes or word hashes).  The anchor of a window is its gram with the least
 hash (the leftmost among equals); equal windows have equal anchors at equal places, and the windows of a
 text fall into runs with one anchor, so only about one record in half a window is needed.  Records are
-range-partitioned by sampled splitters on their leading gram, sorted inside the ranges, and compared with
+range-partitioned by sampled splitters on the 64-bit hash of their core, sorted by hashes inside the ranges, and compared with
 their neighbours; groups that reach over a boundary are settled from one row per boundary.  The row's own
 place ends the sort key, so a gram that millions of texts share is spread over many ranges.
 

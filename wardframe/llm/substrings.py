@@ -1,8 +1,8 @@
 """Removal of word passages that an earlier document holds, by seed and extend.
 
-Documents meet on winnowed anchors (the least of the word grams of each window).  Matches are extended from
-the anchor to both sides in steps of whole runs, 16 starts and single starts by comparing hashes of the
-extended passages (``repeats``), so a passage in thousands of documents is compared by sorting and never by
+Documents meet on winnowed anchors (the least of the word grams of each window).  No pair of documents is joined
+and no match extended word by word: passages around the anchor, in steps of whole runs, 16 starts and single
+starts, are grouped by their hashes (``repeats``), so a passage in thousands of documents is compared by sorting and never by
 pairs.  Every match of at least ``width`` words is kept.
 
 Equal texts are one text with the least id before any of this.  Defined cases: null or empty texts have no

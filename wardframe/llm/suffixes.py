@@ -1,7 +1,7 @@
-"""Removal of byte strings that occur more than once, by partial suffix sorting.
+"""Removal of byte strings that occur more than once, by grouping hashes of anchored passages.
 
-Suffixes that start at anchors are range-partitioned with sampled splitters on their leading bytes, sorted
-inside their ranges and compared with their neighbours, also across boundaries (``repeats``).  Sorting the
+No suffix is sorted: passages at anchors are range-partitioned by sampled splitters on the hash of their core
+(what all windows of a record share), sorted by hashes and grouped with equal neighbours, also across boundaries (``repeats``).  Sorting the
 suffixes of every byte would shuffle a prefix of hundreds of bytes per input byte; the anchors keep the
 result and cut the records to about one per 170 bytes, with hashes in place of the bytes compared.
 
