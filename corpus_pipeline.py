@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardframe.llm import chat, mixing, neardup, packing, pages, private, quality, substrings, suffixes, topk  # noqa: F401 - they register their queries
+from wardframe.llm import alignment, chat, mixing, neardup, packing, pages, private, quality, substrings, suffixes, topk, trie, vectors  # noqa: F401 - they register their queries
 from wardframe.llm.registry import QUERIES, SQL, query, table
 from wardframe.sources.scratch import materialised
 
