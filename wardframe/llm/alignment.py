@@ -25,6 +25,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ _NOT_ONE_SPACE = re.compile(r"\s[\x20]|^[\x20]|[\x20]$")
 _CUT = re.compile(r"(?<=\S)[\x20]")
 HOT_SHARE = 1 << 17
 #: characters of text that a task aligns at a time, and distinct pieces that it keeps
-CHARS, KEPT_PIECES = 2_000_000, 200_000
+CHARS, KEPT_PIECES = 1_500_000, 200_000
 _LOW = np.int64(0xFFFFFFFF)
 
 
@@ -71,6 +72,11 @@ class Tokenizers:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         self.in_pieces = not any("▁" in p.lstrip("▁") for p in names)
+        # bytes and printed forms of all tokens, to be taken by arrays of ids
+        self.a_raw, self.b_raw = np.array(self.a_bytes, object), np.array(self.b_bytes, object)
+        self.a_print, self.b_print = (np.array([[b"%d%s" % (i, mark) for mark in (b",", end)] for i in range(n)], object)
+                                      for n, end in ((len(self.a_bytes), b"|"), (len(self.b_bytes), b";")))
+        self.a_len, self.b_len = (np.array([len(b) for b in raw], np.int64) for raw in (self.a_bytes, self.b_bytes))
 
     def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of " " + piece on both sides."""
@@ -130,33 +136,30 @@ class Aligned:
             return
         tools = self.tools
         a_ids, b_ids = tools.encode(new)
-        raw = [(" " + p).encode() for p in new]
-        right = [b"".join([tools.a_bytes[i] for i in a]) == r == b"".join([tools.b_bytes[i] for i in b]) for a, b, r in zip(a_ids, b_ids, raw, strict=True)]
-        used = [i for i, ok in enumerate(right) if ok]
+        used = self._unchanged(new, a_ids, b_ids)
         sizes = np.zeros((len(new), 5), np.int64)
-        names = [b""] * len(new)
-        if used:
-            flat_a, flat_b = (np.array([t for i in used for t in ids[i]], np.int64) for ids in (a_ids, b_ids))
-            n_a, n_b = (np.array([len(ids[i]) for i in used], np.int64) for ids in (a_ids, b_ids))
-            a_ends = np.cumsum(np.array([len(tools.a_bytes[i]) for i in flat_a.tolist()], np.int64))
-            b_ends = np.cumsum(np.array([len(tools.b_bytes[i]) for i in flat_b.tolist()], np.int64))
+        names, flat = [b""] * len(new), np.empty(0, np.int64)
+        if len(used):
+            if len(used) < len(new):
+                a_ids, b_ids = ([ids[i] for i in used] for ids in (a_ids, b_ids))
+            flat_a, n_a = _flat(a_ids)
+            flat_b, n_b = _flat(b_ids)
+            a_ends, b_ends = np.cumsum(tools.a_len[flat_a]), np.cumsum(tools.b_len[flat_b])
             _, group = np.unique(terminals(a_ends, b_ends), return_inverse=True)
             group_a, group_b = group[:len(flat_a)], group[len(flat_a):]
             of_a, of_b = np.repeat(np.arange(len(used)), n_a), np.repeat(np.arange(len(used)), n_b)
-            left, right_of = links(a_ends, b_ends)
+            left, right = links(a_ends, b_ends)
             sizes[used, 0], sizes[used, 1], sizes[used, 2] = 1, n_a, n_b
             sizes[used, 3] = np.bincount(of_b[np.flatnonzero(np.diff(group_b, append=-1))], minlength=len(used))
             sizes[used, 4] = np.bincount(of_a[left], minlength=len(used))
-            for name, at in zip(_named(group_a, group_b, flat_a, flat_b, n_a, n_b), used, strict=True):
+            for name, at in zip(_named(tools, group_a, group_b, flat_a, flat_b, n_a, n_b), used.tolist(), strict=True):
                 names[at] = name
-            codes = (flat_a[left] << 32 | flat_b[right_of]).tolist()
-            for code in codes:
+            codes, inverse = np.unique(flat_a[left] << 32 | flat_b[right], return_inverse=True)
+            for code in codes.tolist():
                 if code not in self.pair_ids:
                     self.pair_ids[code] = len(self.pairs)
                     self.pairs.append(code)
-            flat = np.array([self.pair_ids[c] for c in codes], np.int64)
-        else:
-            flat = np.empty(0, np.int64)
+            flat = np.array([self.pair_ids[c] for c in codes.tolist()], np.int64)[inverse]
         for piece in new:
             self.known[piece] = len(self.known)
         self.groups += names
@@ -164,17 +167,34 @@ class Aligned:
         self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
 
 
-def _named(group_a, group_b, flat_a, flat_b, n_a, n_b) -> Iterator[bytes]:
+    def _unchanged(self, pieces: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> np.ndarray:
+        """Positions of the pieces whose bytes both sides keep."""
+        tools, raw = self.tools, [(" " + p).encode() for p in pieces]
+        right, lengths, whole = np.ones(len(pieces), bool), np.array([len(r) for r in raw]), b"".join(raw)
+        for ids, of, length in ((a_ids, tools.a_raw, tools.a_len), (b_ids, tools.b_raw, tools.b_len)):
+            flat, n = _flat(ids)
+            total = np.concatenate([[0], np.cumsum(length[flat])])
+            last = np.cumsum(n)
+            if not np.array_equal(total[last] - total[last - n], lengths) or b"".join(of[flat].tolist()) != whole:
+                right &= [b"".join(of[i].tolist()) == r for i, r in zip(ids, raw, strict=True)]
+        return np.flatnonzero(right)
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and how many each piece has."""
+    n = np.array([len(i) for i in ids], np.int64)
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
+
+
+def _named(tools: Tokenizers, group_a, group_b, flat_a, flat_b, n_a, n_b) -> Iterator[bytes]:
     """``a1,a2|b1;a3|b2,b3`` of each piece."""
     last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
-    parts_a = [b"%d%s" % (i, b"|" if e else b",") for i, e in zip(flat_a.tolist(), last_a.tolist(), strict=True)]
-    parts_b = [b"%d%s" % (i, b";" if e else b",") for i, e in zip(flat_b.tolist(), last_b.tolist(), strict=True)]
     # a group's tokens of A stand before its tokens of B
-    order = np.lexsort((np.concatenate([np.zeros(len(group_a)), np.ones(len(group_b))]), np.concatenate([group_a, group_b])))
-    parts, ends = parts_a + parts_b, np.cumsum(n_a + n_b).tolist()
-    order, begin = order.tolist(), 0
-    for end in ends:
-        yield b"".join([parts[i] for i in order[begin:end]])[:-1]
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+    parts = np.concatenate([tools.a_print[flat_a, last_a.astype(int)], tools.b_print[flat_b, last_b.astype(int)]])[order].tolist()
+    begin = 0
+    for end in np.cumsum(n_a + n_b).tolist():
+        yield b"".join(parts[begin:end])[:-1]
         begin = end
 
 
