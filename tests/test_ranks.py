@@ -1,4 +1,4 @@
-"""The distributed paths (tiny ``small_rows``) agree with plain numpy."""
+"""Refined histograms (``leaf`` 0: down to single values) and running counts agree with plain numpy."""
 
 import numpy as np
 import pytest
@@ -13,14 +13,43 @@ def long_frame(spark, values):
     return spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(values)], "k int, x double")
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
+@pytest.mark.parametrize("leaf", [0, 10, 10**6])
 @pytest.mark.parametrize("values", [[1, 2, 3, 4], [5], [2] * 30 + [1, 9, 9, None], list(range(101)) + [50] * 60])
-def test_quantiles(spark, values, small_rows):
-    got = ranks.exact_quantiles(long_frame(spark, values), ["x"], [0, 0.25, 1 / 3, 0.5, 0.9, 1], small_rows)["x"]
+def test_quantiles(spark, values, leaf):
+    got = ranks.exact_quantiles(long_frame(spark, values), ["x"], [0, 0.25, 1 / 3, 0.5, 0.9, 1], leaf)["x"]
     want = np.quantile([v for v in values if v is not None], [0, 0.25, 1 / 3, 0.5, 0.9, 1])
     assert got == pytest.approx(list(want))
 
 
+@pytest.mark.parametrize("leaf", [0, 50])
+def test_quantiles_of_uneven_values(spark, leaf):
+    """Outliers, both signs, subnormal numbers, a hot value and millions apart by one bit."""
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.lognormal(0, 40, 400), -rng.lognormal(0, 40, 300), np.full(250, 1e16), 1e16 + 2.0 * np.arange(60), [0.0, -0.0, 5e-324, 1e300, -1e300]])
+    got = ranks.exact_quantiles(long_frame(spark, values), ["x"], [0, 0.01, 0.3, 0.5, 0.77, 0.99, 1], leaf)["x"]
+    assert got == pytest.approx(list(np.quantile(values, [0, 0.01, 0.3, 0.5, 0.77, 0.99, 1])), rel=1e-12)
+
+
+def test_a_histogram_exchanges_bins_not_rows(spark):
+    rows = spark.range(200_000).select(F.lit("x").alias("g"), (F.rand(3) * 1000 - 300).alias("v"))
+    assert ranks.first_histogram(rows, ["g"], "v").count() < 1000
+
+
+@pytest.mark.parametrize("leaf", [0, 4])
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "timestamp", "decimal(30,2)"])
+def test_values_at_ranks_of_any_type(spark, leaf, kind):
+    base = spark.range(60).withColumn("g", F.when(F.col("id") % 3 > 0, F.col("id") % 3))  # a null group too
+    made = {"bigint": "9007199254740992 + id * id % 50", "string": "concat('common prefix ', repeat('x', int(id % 4)), char(int(97 + id % 5)), id div 20)",
+            "date": "date_add(date'2020-01-01', int(id * 7 % 90))", "timestamp": "timestamp'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 60 / 1000)",
+            "decimal(30,2)": "cast(12345678901234567890123456 + id % 7 as decimal(30,2))"}[kind]
+    rows = base.select("g", F.expr(made).alias("v")).cache()
+    _, got = ranks.values_at(rows, "g", "v", lambda g, n: range(1, n + 1), leaf)
+    for g in (None, 1, 2):
+        values = sorted(r.v for r in rows.where(F.col("g").eqNullSafe(F.lit(g))).collect())
+        for rank, v in enumerate(values, 1):
+            assert got[g, rank] == (v, values.index(v), values.count(v))
+
+
 def test_quantiles_of_an_empty_column(spark):
     assert ranks.exact_quantiles(long_frame(spark, [None, None]), ["x"], [0.5])["x"] == [None]
 
@@ -45,14 +74,13 @@ def test_spearman_of_a_constant_is_null(spark):
     assert ranks.spearman(df, "x", "y").first().spearman is None
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_two_sample_statistic(spark, small_rows):
+def test_two_sample_statistic(spark):
     rng = np.random.default_rng(2)
     a, b = rng.normal(0, 1, 150).round(1), rng.normal(0.4, 1, 90).round(1)
     df = spark.createDataFrame([(float(v), False) for v in a] + [(float(v), True) for v in b], "x double, t boolean")
     grid = np.unique(np.r_[a, b])
     want = max(abs((a <= g).mean() - (b <= g).mean()) for g in grid)
-    got = ranks.kolmogorov_smirnov(df, ["x"], F.col("t"), small_rows).first().statistic
+    got = ranks.kolmogorov_smirnov(df, ["x"], F.col("t")).first().statistic
     assert got == pytest.approx(want)
 
 

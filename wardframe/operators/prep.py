@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe.functions.cleaning import clipped, to_double
-from wardframe.operators.ranks import exact_quantiles, long_numbers, running_counts, values_at_ranks
+from wardframe.operators.ranks import exact_quantiles, long_numbers, values_at
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -98,18 +98,15 @@ def rescale(df: DataFrame, scales: Mapping[str, tuple[float, float]]) -> DataFra
 def quantile_edges(train: DataFrame, column: str, bins: int = 4) -> list[float]:
     """Bin edges by the averaged inverted distribution function of the median-filled column."""
     filled = impute(train.select(F.col(column).cast("double").alias(column)), medians(train, [column]))
-    counts = long_numbers(filled, [column]).where("value is not null").groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    cumulated = running_counts(counts, ["column"], "value", ["cnt"])
-    n = cumulated.agg(F.sum("cnt")).first()[0]
 
-    def around(j: int) -> tuple[int, int]:
+    def around(j: int, n: int) -> tuple[int, int]:
         # the averaged inverse takes two neighbours exactly where n*j/bins is whole
         low = max(1, -(-n * j // bins))
         return low, min(n, max(1, n * j // bins + 1))
 
-    wanted = [r for j in range(bins + 1) for r in around(j)]
-    at = values_at_ranks(cumulated, "column", "value", {column: wanted})
-    return [(at[column, around(j)[0]][0] + at[column, around(j)[1]][0]) / 2 for j in range(bins + 1)]
+    sizes, at = values_at(long_numbers(filled, [column]), "column", "value", lambda c, n: sorted({r for j in range(bins + 1) for r in around(j, n)}))
+    n = sizes[column]
+    return [(at[column, around(j, n)[0]][0] + at[column, around(j, n)[1]][0]) / 2 for j in range(bins + 1)]
 
 
 def bin_number(column: Column, edges: Sequence[float]) -> Column:

@@ -1,10 +1,14 @@
-"""Exact order statistics, ranks and rank cuts without a single-task sort.
+"""Exact order statistics, ranks and rank cuts without a sort of the rows.
 
-Everything starts from *value counts*: equal values collapse to one row before any shuffle, so a
-value that holds a third of the table is one row here.  Running totals over the ordered values
-then give quantiles, average ranks and distribution functions.  When the number of distinct
-values passes ``SMALL_TABLE_ROWS`` the running totals are computed per range partition and
-shifted by the totals of the earlier partitions.
+Single ranks (quantiles, cuts) come from *histograms that are refined*: one aggregation counts the
+rows of each group in coarse, order-preserving bins, together with the least and greatest value of
+each bin.  Bins add up across tasks, so an exchange carries bins and never the rows.  Only the
+bins that hold a wanted rank are read again, each cut into ``BINS`` finer ones between its own
+extremes, until a bin is one value or has so few rows (``LEAF``) that its values are counted one by one.
+
+Whole distribution functions (average ranks, two-sample statistics) start from *value counts*:
+equal values are one row before any shuffle.  Running totals over the ordered values are computed
+per range partition and shifted by the totals of the earlier partitions.
 """
 
 from __future__ import annotations
@@ -18,8 +22,12 @@ from pyspark.sql import functions as F
 from wardframe.functions.hashing import HASH_BITS, hash60
 from wardframe.sources.scratch import materialised
 
-# A group with up to this many distinct values is sorted by one task.
-SMALL_TABLE_ROWS = 1_000_000
+# Bins that an interval is cut into, and the rows up to which its values are counted one by one.
+BINS = 4096
+LEAF = 4096
+
+# Coarse bins per doubling of the value.
+PER_OCTAVE = 16
 
 # A lookup table up to this many rows is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -36,124 +44,181 @@ def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] =
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group of a written table."""
-    return df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
-def running_counts(
-    counts: DataFrame,
-    group: Sequence[str],
-    value: str,
-    totals: Sequence[str],
-    small_rows: int | None = None,
-) -> DataFrame:
+def running_counts(counts: DataFrame, group: Sequence[str], value: str, totals: Sequence[str]) -> DataFrame:
     """Add ``cum_<total>``, the total over rows of the group whose value is not larger, and
     ``all_<total>``, the total of the group.
 
     ``counts`` has one row per (group, value).
     """
-    small_rows = SMALL_TABLE_ROWS if small_rows is None else small_rows
-    counts = materialised(counts, "counts")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    if largest_group(counts, group) <= small_rows:
-        window = Window.partitionBy(*group).orderBy(value).rowsBetween(*so_far)
-        everything = Window.partitionBy(*group)
-        return counts.select(
-            "*", *[F.sum(t).over(window).alias(f"cum_{t}") for t in totals], *[F.sum(t).over(everything).alias(f"all_{t}") for t in totals]
-        )
-
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialised(
         counts.repartitionByRange(parts, *group, value).withColumn("_part", F.spark_partition_id()),
         "ranges",
     )
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # at most one row per partition and group boundary, so this side is small by construction
+    # at most one row per partition and group boundary
     shifts = placed.groupBy(*group, "_part").agg(*[F.sum(t).alias(f"_t_{t}") for t in totals]).select(
-        *group, "_part", *[F.coalesce(F.sum(f"_t_{t}").over(before), F.lit(0)).alias(f"_s_{t}") for t in totals]
+        *group, "_part",
+        *[F.coalesce(F.sum(f"_t_{t}").over(before), F.lit(0)).alias(f"_s_{t}") for t in totals],
+        *[F.sum(f"_t_{t}").over(Window.partitionBy(*group)).alias(f"all_{t}") for t in totals],
     )
-    within = Window.partitionBy("_part", *group).orderBy(value).rowsBetween(*so_far)
-    whole = placed.groupBy(*group).agg(*[F.sum(t).alias(f"all_{t}") for t in totals])
+    within = Window.partitionBy("_part", *group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         placed.select("*", *[F.sum(t).over(within).alias(f"_w_{t}") for t in totals])
-        .join(F.broadcast(shifts), [*group, "_part"])
+        .join(shifts, [*group, "_part"])
         .select(
             *counts.columns,
             *[(F.col(f"_w_{t}") + F.col(f"_s_{t}")).alias(f"cum_{t}") for t in totals],
+            *[f"all_{t}" for t in totals],
         )
-        .join(whole, list(group))
     )
 
 
-def values_at_ranks(
-    cumulated: DataFrame, group: str, value: str, ranks: Mapping[object, Sequence[int]]
-) -> dict[tuple[object, int], tuple[object, int, int]]:
-    """{(group, rank): (value, rows before it, rows of it)} for 1-based ranks.
+# --- single ranks by refined histograms ----------------------------------------------------
+
+
+def _prefix_code(value: Column, skip: Column, width: int) -> Column:
+    """The ``width`` bytes of a text after the first ``skip`` as a number; keeps the order of texts that agree before."""
+    part = F.hex(F.substring(value.cast("binary"), skip + 1, F.lit(width)))
+    return F.conv(F.rpad(part, 2 * width, "0"), 16, 10).cast("double")
+
+
+def _code(value: Column, data_type: str) -> Column:
+    """A number in the order of the values; neighbours may share one."""
+    if data_type in ("date", "timestamp", "timestamp_ntz"):
+        instant = value.cast("timestamp")
+        return F.unix_micros(instant).cast("double")
+    return value.cast("double")
+
+
+def _coarse(value: Column, data_type: str) -> Column:
+    """The first bin: two leading bytes of a text, or sign and 1/16 octave of a number (at most some 70,000 bins)."""
+    if data_type in ("string", "binary"):
+        return _prefix_code(value, F.lit(0), 2)
+    number = _code(value, data_type)
+    size = F.floor(F.log2(F.abs(number)) * PER_OCTAVE).cast("double") + 1075 * PER_OCTAVE + 1
+    top = F.lit(2100.0 * PER_OCTAVE)
+    placed = F.when(F.abs(number) == float("inf"), top).otherwise(size)
+    return F.when(F.isnan(number), top + 1).when(number == 0, F.lit(0.0)).when(number > 0, placed).otherwise(-placed)
+
+
+def _fine(value: Column, low: Column, high: Column, data_type: str) -> Column:
+    """The bin of a value between two different extremes; NULL when their codes cannot tell them apart."""
+    if data_type in ("string", "binary"):
+        skip = F.col("_skip")
+        code = lambda v: _prefix_code(v, skip, 6)
+    else:
+        code = lambda v: _code(v, data_type)
+    share = F.try_divide(code(value) - code(low), code(high) - code(low))
+    return F.when(code(low) < code(high), F.least(F.lit(BINS - 1.0), F.floor(share * BINS).cast("double")))
+
+
+def _common_prefix(low: Column, high: Column) -> Column:
+    """Bytes that two texts share in front; computed once per interval."""
+    a, b = F.hex(low.cast("binary")), F.hex(high.cast("binary"))
+    lengths = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)), F.lit(2))
+    return (F.size(F.filter(lengths, lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i))) - 1).cast("int")
 
-    ``cumulated`` comes from ``running_counts`` with total ``cnt``.  The result is bounded by the
-    number of ranks asked for.
+
+def first_histogram(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """(group..., _bin, cnt, lo, hi): one scan, no row is exchanged.  NULL values are left out."""
+    kind = dict(rows.dtypes)[value]
+    known = rows.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
+    counted = known.groupBy(*group, _coarse(F.col("_v"), kind).alias("_bin")).agg(F.count("*").alias("cnt"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    return materialised(counted, "histogram")
+
+
+def at_ranks(
+    rows: DataFrame, histogram: DataFrame, group: Sequence[str], value: str, ranks: Callable[[Column], Column], leaf: int | None = None
+) -> DataFrame:
+    """(group..., n, rank, value, before, cnt): the value at each wanted rank (from 1), with the rows before
+    it and the rows that equal it.
+
+    ``ranks`` turns the number of rows of a group into an array of ranks.  ``histogram`` is the
+    ``first_histogram`` of the same rows; every further round reads only what lies in the hit bins.
     """
-    wanted = [(g, r) for g, rs in ranks.items() for r in sorted(set(rs))]
-    if not wanted:
-        return {}
-    cum, before = F.col("cum_cnt"), F.col("cum_cnt") - F.col("cnt")
-    hit = F.lit(False)
-    for g, r in wanted:
-        hit = hit | ((F.col(group) == F.lit(g)) & (before < r) & (cum >= r))
-    rows = cumulated.where(hit).select(group, value, before.alias("before"), "cnt").collect()
-    found = {}
-    for g, r in wanted:
-        for row in rows:
-            if row[0] == g and row[2] < r <= row[2] + row[3]:
-                found[g, r] = (row[1], row[2], row[3])
-    return found
+    leaf = LEAF if leaf is None else leaf
+    kind = dict(rows.dtypes)[value]
+    text = kind in ("string", "binary")
+    keys = [F.col(g) for g in group]
+
+    def hit(bins: DataFrame, inside: Sequence[str], order: Sequence[str]) -> DataFrame:
+        """The bins that hold a wanted rank, one row per rank."""
+        upto = Window.partitionBy(*group, *inside).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = bins.withColumn("_upto", F.col("_base") + F.sum("cnt").over(upto))
+        held = F.filter("_ranks", lambda r: (r > F.col("_upto") - F.col("cnt")) & (r <= F.col("_upto")))
+        return placed.withColumn("_ranks", held).where(F.size("_ranks") > 0).select(
+            *keys, "n", "_ranks", "lo", "hi", "cnt", (F.col("_upto") - F.col("cnt")).alias("_base"))
+
+    everything = Window.partitionBy(*group)
+    start = histogram.withColumn("n", F.sum("cnt").over(everything)).withColumn("_base", F.lit(0).cast("long"))
+    state = materialised(hit(start.withColumn("_ranks", F.array_distinct(ranks(F.col("n")))), [], ["_bin"]), "bins")
+    found = []
+    while True:
+        single = F.col("lo").eqNullSafe(F.col("hi"))
+        found.append(state.where(single))
+        if not state.where(~single).limit(1).count():
+            break
+        held = state.where(~single).select(
+            *[F.col(g).alias(f"_g_{g}") for g in group], "n", "_ranks", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), (F.col("cnt") <= leaf).alias("_few"), "_base",
+            *([_common_prefix(F.col("lo"), F.col("hi")).alias("_skip")] if text else []))
+        of_group = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+        inside = rows.select(*keys, F.col(value).alias("_v")).join(held, [*of_group, F.col("_v").between(F.col("_lo"), F.col("_hi"))])
+        fine = _fine(F.col("_v"), F.col("_lo"), F.col("_hi"), kind)
+        bins = inside.groupBy(*keys, "n", "_ranks", "_lo", "_base", F.when(~F.col("_few"), fine).alias("_bin"),
+                              F.when(F.col("_few") | fine.isNull(), F.col("_v")).alias("_one")).agg(
+            F.count("*").alias("cnt"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        state = materialised(hit(bins, ["_lo"], ["_bin", "_one"]), "bins")
+    answer = found[0]
+    for part in found[1:]:
+        answer = answer.unionByName(part)
+    return answer.select(*keys, "n", F.explode("_ranks").alias("rank"), F.col("lo").alias("value"), F.col("_base").alias("before"), "cnt")
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    small_rows: int | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], leaf: int | None = None
 ) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of the non-null values of each column."""
-    return quantiles_of(long_numbers(df, columns), columns, probabilities, small_rows)
+    return quantiles_of(long_numbers(df, columns), columns, probabilities, leaf)
 
 
 def quantiles_of(
-    long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small_rows: int | None = None
+    long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], leaf: int | None = None
 ) -> dict[str, list[float | None]]:
     """Quantiles of a (column, value) frame; one small row per column reaches the driver."""
     named = {f"q{i}": p for i, p in enumerate(probabilities)}
-    rows = grouped_quantiles(long, "column", "value", named, small_rows).collect()
+    rows = grouped_quantiles(long, "column", "value", named, leaf).collect()
     found = {r["column"]: [r[n] for n in named] for r in rows}
     return {c: found.get(c, [None] * len(probabilities)) for c in columns}
 
 
 def grouped_quantiles(
-    long: DataFrame, group: str, value: str, probabilities: Mapping[str, float],
-    small_rows: int | None = None, mode: str | None = None,
+    long: DataFrame, group: str, value: str, probabilities: Mapping[str, float], leaf: int | None = None, mode: str | None = None,
 ) -> DataFrame:
     """(group, <name>...): exact interpolated quantiles per group, for any number of groups.
 
-    ``mode`` names an extra column with the most frequent value, the smallest on ties.
+    ``mode`` names an extra column with the most frequent value, the smallest on ties; it needs the
+    count of every value, so it is the one figure here that exchanges distinct values.
     """
-    counts = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("cnt"))
-    cumulated = running_counts(counts, [group], value, ["cnt"], small_rows)
-    positioned = cumulated.withColumnRenamed("all_cnt", "_n")
-    aggregates = [F.min_by(value, F.struct(-F.col("cnt"), F.col(value))).alias(mode)] if mode else []
-    for name, p in probabilities.items():
-        low = F.floor((F.col("_n") - 1) * F.lit(p)) + 1
-        aggregates += [
-            F.min(F.when(F.col("cum_cnt") >= low, F.col(value))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("cum_cnt") >= F.least(low + 1, F.col("_n")), F.col(value))).alias(f"_hi_{name}"),
-        ]
-    table = positioned.groupBy(group, "_n").agg(*aggregates)
-    return table.select(group, *([mode] if mode else []), *[
-        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-         * ((F.col("_n") - 1) * F.lit(p) - F.floor((F.col("_n") - 1) * F.lit(p)))).alias(name)
+    def low(n: Column, p: float) -> Column:
+        return (F.floor((n - 1) * F.lit(p)) + 1).cast("long")
+
+    def wanted(n: Column) -> Column:
+        return F.flatten(F.array(*[F.array(low(n, p), F.least(low(n, p) + 1, n)) for p in probabilities.values()]))
+
+    found = at_ranks(long, first_histogram(long, [group], value), [group], value, wanted, leaf)
+    n, at, v = F.col("n"), F.col("rank"), F.col("value")
+    ends = [part for name, p in probabilities.items() for part in (
+        F.min(F.when(at == low(n, p), v)).alias(f"_lo_{name}"), F.min(F.when(at == F.least(low(n, p) + 1, n), v)).alias(f"_hi_{name}"))]
+    table = found.groupBy(group, "n").agg(*ends).select(group, *[
+        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * ((n - 1) * F.lit(p) - F.floor((n - 1) * F.lit(p)))).alias(name)
         for name, p in probabilities.items()
     ])
+    if not mode:
+        return table
+    counts = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("cnt"))
+    modes = counts.groupBy(group).agg(F.min_by(value, F.struct(-F.col("cnt"), F.col(value))).alias(mode))
+    return modes.join(table, group).select(group, mode, *probabilities)
 
 
 @dataclass(frozen=True)
@@ -171,39 +236,55 @@ class Cut:
         return later | ((value == F.lit(self.value)) & (tie > F.lit(self.tie)))
 
 
+def _by_group(group: str, wanted: Mapping[object, Sequence[int]]) -> Callable[[Column], Column]:
+    """Ranks that are known for each of a few groups."""
+    def ranks(n: Column) -> Column:
+        chosen = F.array().cast("array<bigint>")
+        for g, rs in wanted.items():
+            chosen = F.when(F.col(group).eqNullSafe(F.lit(g)), F.array(*[F.lit(r).cast("long") for r in rs]).cast("array<bigint>")).otherwise(chosen)
+        return chosen
+    return ranks
+
+
+def values_at(
+    rows: DataFrame, group: str, value: str, ranks: Callable[[object, int], Sequence[int]], leaf: int | None = None
+) -> tuple[dict[object, int], dict[tuple[object, int], tuple[object, int, int]]]:
+    """Rows of each of a few groups, and {(group, rank): (value, rows before it, rows of it)}."""
+    histogram = first_histogram(rows, [group], value)
+    sizes = {r[0]: r[1] for r in histogram.groupBy(group).agg(F.sum("cnt")).collect()}
+    wanted = {g: [r for r in ranks(g, n) if 0 < r <= n] for g, n in sizes.items()}
+    if not any(wanted.values()):
+        return sizes, {}
+    found = at_ranks(rows, histogram, [group], value, _by_group(group, wanted), leaf).collect()
+    return sizes, {(r[group], r["rank"]): (r["value"], r["before"], r["cnt"]) for r in found}
+
+
 def rank_cuts(
-    rows: DataFrame, group: str, value: str, tie: str, ranks: Callable[[int], Sequence[int]],
-    small_rows: int | None = None,
+    rows: DataFrame, group: str, value: str, tie: str, ranks: Callable[[int], Sequence[int]], leaf: int | None = None,
 ) -> dict[object, list[Cut]]:
-    """Where the first-come ranks ``ranks(n)`` of each group fall.
+    """Where the first-come ranks ``ranks(n)`` of each group fall; NULL values are left out.
 
     First-come order is (value, tie); ``tie`` must be unique.  Only the rows whose value sits
     exactly on a cut are looked at twice, and no row-level rank is ever produced.
     """
-    counts = rows.groupBy(group, value).agg(F.count("*").alias("cnt"))
-    cumulated = running_counts(counts, [group], value, ["cnt"], small_rows)
-    sizes = {r[0]: r[1] for r in cumulated.groupBy(group).agg(F.sum("cnt")).collect()}
-    wanted = {g: [r for r in ranks(n) if 0 < r <= n] for g, n in sizes.items()}
-    at = values_at_ranks(cumulated, group, value, wanted)
-
+    sizes, at = values_at(rows, group, value, lambda g, n: ranks(n), leaf)
     split = {(g, v): b for (g, r), (v, b, c) in at.items() if r - b < c}
     ties: dict[tuple[object, int], tuple[object, int, int]] = {}
     if split:
         names = {pair: i for i, pair in enumerate(sorted(split, key=repr))}
         label = F.lit(None).cast("int")
         for (g, v), i in names.items():
-            label = F.when((F.col(group) == F.lit(g)) & (F.col(value) == F.lit(v)), F.lit(i)).otherwise(label)
+            label = F.when(F.col(group).eqNullSafe(F.lit(g)) & (F.col(value) == F.lit(v)), F.lit(i)).otherwise(label)
         tied = rows.select(label.alias("_set"), F.col(tie).alias("_tie")).where("_set is not null")
-        tied = tied.groupBy("_set", "_tie").agg(F.count("*").alias("cnt"))
         needed: dict[object, list[int]] = {}
         for (g, r), (v, b, c) in at.items():
             if r - b < c:
                 needed.setdefault(names[g, v], []).append(r - b)
-        ties = values_at_ranks(running_counts(tied, ["_set"], "_tie", ["cnt"], small_rows), "_set", "_tie", needed)
+        _, ties = values_at(tied, "_set", "_tie", lambda i, n: needed[i], leaf)
     result: dict[object, list[Cut]] = {}
-    for g, rs in wanted.items():
+    for g, n in sizes.items():
         cuts = []
-        for r in rs:
+        for r in (r for r in ranks(n) if 0 < r <= n):
             v, b, c = at[g, r]
             cuts.append(Cut(v, ties[names[g, v], r - b][0] if r - b < c else None))
         result[g] = cuts
@@ -223,33 +304,10 @@ def group_number(cuts: Sequence[Cut], value: Column, tie: Column) -> Column:
     return number
 
 
-def hash_cuts(
-    rows: DataFrame, group: str, hashed: str, ranks: Callable[[int], Sequence[int]]
-) -> dict[object, list[int]]:
-    """Hash value at each rank of each group.
-
-    A histogram over the leading bits finds the slice that holds each rank; only those slices
-    (1/65536 of the rows each) are ordered.
-    """
-    bucket = F.shiftright(F.col(hashed), HASH_BITS - BUCKET_BITS)
-    histogram = rows.groupBy(group, bucket.alias("_bucket")).agg(F.count("*").alias("cnt"))
-    order = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cumulated = materialised(histogram.select("*", F.sum("cnt").over(order).alias("cum_cnt")), "histogram")
-    sizes = {r[0]: r[1] for r in cumulated.groupBy(group).agg(F.sum("cnt")).collect()}
-    wanted = {g: [r for r in ranks(n) if 0 < r <= n] for g, n in sizes.items()}
-    at = values_at_ranks(cumulated, group, "_bucket", wanted)
-
-    inside: dict[object, list[int]] = {}
-    for (g, r), (b, before, _) in at.items():
-        inside.setdefault(f"{g}|{b}", []).append(r - before)
-    name = F.concat_ws("|", F.col(group).cast("string"), bucket.cast("string"))
-    pairs = {(g, b) for (g, _), (b, _, _) in at.items()}
-    keep = F.lit(False)
-    for g, b in pairs:
-        keep = keep | ((F.col(group) == F.lit(g)) & (bucket == F.lit(b)))
-    slices = rows.where(keep).groupBy(name.alias("_slice"), hashed).agg(F.count("*").alias("cnt"))
-    found = values_at_ranks(running_counts(slices, ["_slice"], hashed, ["cnt"]), "_slice", hashed, inside)
-    return {g: [found[f"{g}|{at[g, r][0]}", r - at[g, r][1]][0] for r in rs] for g, rs in wanted.items()}
+def hash_cuts(rows: DataFrame, group: str, hashed: str, ranks: Callable[[int], Sequence[int]]) -> dict[object, list[int]]:
+    """Hash value at each rank of each group."""
+    sizes, at = values_at(rows, group, hashed, lambda g, n: ranks(n))
+    return {g: [at[g, r][0] for r in ranks(n) if 0 < r <= n] for g, n in sizes.items()}
 
 
 def hash_indexed(df: DataFrame, key: str, salt: str = "", name: str = "_index") -> DataFrame:
@@ -300,8 +358,8 @@ def rank_pairs(
     """(by..., _x, _y, cnt, _n, _mx, _rx, _ry): distinct pairs with their count, the size and mean x of
     their group and the average ranks of both values within the group.
 
-    The pairs are written once.  Groups of moderate size are ranked by windows; beyond that the
-    ranks come from running counts and are looked up again without a hot key ever being shuffled.
+    The pairs are written once.  The ranks come from running counts of either side and are looked up
+    again without a hot key ever being shuffled.
     """
     keys = list(by) or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(1))
@@ -310,22 +368,11 @@ def rank_pairs(
         .where("_x is not null and _y is not null").groupBy(*keys, "_x", "_y").agg(F.count("*").alias("cnt")),
         "pairs",
     )
-    if largest_group(pairs, keys) <= (SMALL_TABLE_ROWS if small_rows is None else small_rows):
-        def rank(side: str) -> Column:
-            upto = Window.partitionBy(*keys).orderBy(side).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            ties = Window.partitionBy(*keys, side)
-            return F.sum("cnt").over(upto) - (F.sum("cnt").over(ties) - 1) / 2
-        group = Window.partitionBy(*keys)
-        return pairs.select(
-            "*", F.sum("cnt").over(group).alias("_n"), (F.sum(F.col("cnt") * F.col("_x")).over(group) / F.sum("cnt").over(group)).alias("_mx"),
-            rank("_x").alias("_rx"), rank("_y").alias("_ry"),
-        )
-
     total, ranked = pairs.count(), pairs
     for side, name in (("_x", "_rx"), ("_y", "_ry")):
         counts = pairs.groupBy(*keys, side).agg(F.sum("cnt").alias("cnt"), F.count("*").alias("_weight"))
         table = materialised(
-            running_counts(counts, keys, side, ["cnt"], small_rows).select(
+            running_counts(counts, keys, side, ["cnt"]).select(
                 *keys, side, "_weight", (F.col("cum_cnt") - (F.col("cnt") - 1) / 2).alias(name)
             ),
             "ranks",
@@ -355,7 +402,7 @@ def spearman(
 
 
 def kolmogorov_smirnov(
-    df: DataFrame, columns: Sequence[str], is_test: Column, small_rows: int | None = None
+    df: DataFrame, columns: Sequence[str], is_test: Column
 ) -> DataFrame:
     """(column, n_train, n_test, statistic): largest gap between the two distribution functions.
 
@@ -367,7 +414,7 @@ def kolmogorov_smirnov(
         .groupBy("column", "value")
         .agg(F.count_if(~F.col("_test")).alias("tr"), F.count_if(F.col("_test")).alias("te"))
     )
-    cumulated = running_counts(counts, ["column"], "value", ["tr", "te"], small_rows)
+    cumulated = running_counts(counts, ["column"], "value", ["tr", "te"])
     gap = F.abs(F.col("cum_tr") / F.col("all_tr") - F.col("cum_te") / F.col("all_te"))
     return (
         cumulated.where("all_tr > 0 and all_te > 0")

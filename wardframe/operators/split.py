@@ -90,7 +90,7 @@ def stratified_kfold(
     fold, h = F.lit(None).cast("int"), hash60(F.col(key), salt)
     for g, values in limits.items():
         place = reduce(lambda u, v: u + (h > F.lit(v)).cast("int"), values, F.lit(0))
-        fold = F.when(F.col("grupo") == g, place).otherwise(fold)
+        fold = F.when(F.col("grupo").eqNullSafe(F.lit(g)), place).otherwise(fold)  # rows without a target are a group of their own
     return grouped.withColumn("fold", fold)
 
 
