@@ -175,7 +175,7 @@ _CV_COLS = ("entrenamiento", "validacion_cruzada", "desviacion_cv", "brecha_trai
 
 def heuristic_cv(spark, sf, repeats=2):
     train, _ = sides(spark, sf)
-    folds = evaluate.line_fold_predictions(train, "key", TARGET, score_column(), 5, repeats)
+    folds = evaluate.line_fold_predictions(train, "key", TARGET, score_column(), 5, repeats, clip=True)
     return evaluate.summarise_folds(evaluate.fold_scores(folds.withColumn("prediction", F.round("prediction", 9))), "repetido", 5, repeats)
 
 
@@ -187,7 +187,7 @@ def i7(spark, sf):
 @query("i7_cross_validate_mean", rsql(cv_sql(None), *_M))
 def i7m(spark, sf):
     train, _ = sides(spark, sf)
-    scores = evaluate.fold_scores(evaluate.line_fold_predictions(train, "key", TARGET, None, 5, 2).withColumn("prediction", F.round("prediction", 9))).withColumn("fold", F.col("fold").cast("bigint"))
+    scores = evaluate.fold_scores(evaluate.line_fold_predictions(train, "key", TARGET, None, 5, 2, clip=True).withColumn("prediction", F.round("prediction", 9))).withColumn("fold", F.col("fold").cast("bigint"))
     return rounded(scores)
 
 
@@ -244,13 +244,13 @@ _CURVE_COLS = ("MAE_entrenamiento", "MAE_validacion", "desviacion_validacion")
 @query("i10_learning_curve", rsql(curve_sql(SCORE), *_CURVE_COLS))
 def i10(spark, sf):
     train, _ = sides(spark, sf)
-    return rounded(evaluate.line_learning_curve(train, "key", TARGET, score_column()))
+    return rounded(evaluate.line_learning_curve(train, "key", TARGET, score_column(), clip=True))
 
 
 @query("i10_learning_curve_mean", rsql(curve_sql(None), *_CURVE_COLS))
 def i10m(spark, sf):
     train, _ = sides(spark, sf)
-    return rounded(evaluate.line_learning_curve(train, "key", TARGET, None))
+    return rounded(evaluate.line_learning_curve(train, "key", TARGET, None, clip=True))
 
 
 def _segment_sql(c: str) -> str:

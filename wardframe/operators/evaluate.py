@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from wardframe import vocabulary as words
 from wardframe.functions.hashing import HASH_RANGE, hash60, hash_fold
-from wardframe.operators.models import Fit
+from wardframe.operators.foldmoments import FoldMoments
+from wardframe.operators.models import Fit, LinearFit
 from wardframe.operators.ranks import (
     exact_quantiles,
     group_number,
@@ -102,6 +103,18 @@ def fold_rows(
     raise ValueError(f"unknown scheme {scheme}; available: {list(SCHEMES)}")
 
 
+def fold_moments(
+    df: DataFrame, fits: Mapping[str, LinearFit], scheme: str, key: str, target: str, folds: int = 5, repeats: int = 5, seed: int = 42,
+    time: str | None = None, shares: Sequence[float] = (1.0,),
+) -> FoldMoments:
+    """The moments of linear fits over the folds of a scheme."""
+    if scheme == "series_temporales" and time is None:
+        raise ValueError("series_temporales needs the column that orders the rows")
+    return FoldMoments(
+        df, fits, lambda base: fold_rows(base, scheme, "_key", "_y", folds, repeats, seed, "_time"), repeats if scheme == "repetido" else 1, folds,
+        target, key, scheme == "series_temporales", time, shares, seed)
+
+
 def fit_each(fit: Fit, trains: Sequence[DataFrame]) -> list[Model]:
     """Fit on every training set; the fits are independent jobs, so a few run at a time."""
     return run_together(trains[0].sparkSession, [lambda train=train: fit(train) for train in trains]) if trains else []
@@ -111,7 +124,12 @@ def fold_predictions(
     df: DataFrame, fit: Fit, scheme: str, key: str, target: str, folds: int = 5, repeats: int = 5, seed: int = 42,
     time: str | None = None,
 ) -> DataFrame:
-    """(repeticion, fold, rol, y, prediction) with the whole pipeline refitted for every fold."""
+    """(repeticion, fold, rol, y, prediction) with the whole pipeline refitted for every fold.
+
+    A linear fit is not refitted: all its training sets are solved from one pass of moments.
+    """
+    if isinstance(fit, LinearFit):
+        return fold_moments(df, {"": fit}, scheme, key, target, folds, repeats, seed, time).predictions().drop("variante", "talla")
     rows = fold_rows(df, scheme, key, target, folds, repeats, seed, time)
     past_only = scheme == "series_temporales"
     labels = [(r, f) for r in range(1, (repeats if scheme == "repetido" else 1) + 1) for f in range(folds)]
@@ -173,7 +191,7 @@ def cross_validate(
 
 def line_fold_predictions(
     df: DataFrame, key: str, target: str, score: Column | None, folds: int = 5, repeats: int = 5, seed: int = 42,
-    clip: bool = True,
+    clip: bool = False,
 ) -> DataFrame:
     """``fold_predictions`` for y = a + b * score (or y = mean when ``score`` is None).
 
@@ -211,7 +229,7 @@ def line_fold_predictions(
 
 def line_learning_curve(
     df: DataFrame, key: str, target: str, score: Column | None, folds: int = 5, seed: int = 42,
-    shares: Sequence[float] = CURVE_SHARES, clip: bool = True,
+    shares: Sequence[float] = CURVE_SHARES, clip: bool = False,
 ) -> DataFrame:
     """Learning curve of a straight line (or of the mean) in one aggregation and one scoring pass.
 
@@ -222,9 +240,12 @@ def line_learning_curve(
     draw = hash60(F.col(key), f"curve{seed}")
     for i in reversed(range(len(shares))):
         fine = F.when(draw < F.lit(int(shares[i] * HASH_RANGE)), F.lit(i)).otherwise(fine)
+    base = df.select(F.col(key).alias("_k"), F.col(target).cast("double").alias("y"), x.alias("x")).where("y is not null and x is not null")
+    centre = base.agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    cx, cy = centre.select("cx").scalar(), centre.select("cy").scalar()
     rows = df.select(
         hash_fold(F.col(key), folds, f"fold{seed}r1").alias("fold"), fine.alias("paso"),
-        F.col(target).cast("double").alias("y"), x.alias("x"),
+        (F.col(target).cast("double") - cy).alias("y"), (x - cx).alias("x"),
     ).where("y is not null and x is not null")
     sums = rows.groupBy("fold", "paso").agg(
         F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
@@ -244,7 +265,7 @@ def line_learning_curve(
     packed = lines.agg(F.collect_list(F.struct("modelo_fold", "talla", "a", "b")))  # folds x shares entries
     value = F.col("a") + F.col("b") * F.col("x")
     scored = rows.select("*", F.inline(packed.scalar())).withColumn(
-        "error", F.abs(F.col("y") - (F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)) if clip else value))
+        "error", F.abs(F.col("y") - (F.greatest(F.lit(0.0), F.least(F.lit(1.0), cy + value)) - cy if clip else value))
     )
     in_train = (F.col("fold") != F.col("modelo_fold")) & (F.col("paso") <= F.col("talla"))
     in_valid = F.col("fold") == F.col("modelo_fold")
@@ -263,12 +284,25 @@ def _curve(per_fold: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 
 def learning_curve(
-    df: DataFrame, fit: Fit, target: str, key: str, folds: int = 5, seed: int = 42, shares: Sequence[float] = CURVE_SHARES
+    df: DataFrame, fit: Fit, target: str, key: str, folds: int = 5, seed: int = 42, shares: Sequence[float] = CURVE_SHARES,
+    scheme: str = "kfold", time: str | None = None,
 ) -> DataFrame:
-    """Learning curve of any model, with non-repeated folds and nested training sets."""
-    rows = df.withColumn("fold", hash_fold(F.col(key), folds, f"fold{seed}r1")).withColumn("_draw", hash60(F.col(key), f"curve{seed}"))
+    """Learning curve of any model, with the folds of the scheme (not repeated) and nested training sets.
+
+    Under ``series_temporales`` every training set lies before its validation block.
+    """
+    scheme = "kfold" if scheme == "repetido" else scheme
+    if isinstance(fit, LinearFit):
+        scored = fold_moments(df, {"": fit}, scheme, key, target, folds, 1, seed, time, shares).predictions().where("y is not null")
+        error, valid = F.abs(F.col("y") - F.col("prediction")), F.col("rol") == "validacion"
+        return _curve(scored.groupBy(F.col("fold").alias("modelo_fold"), "talla").agg(
+            F.count_if(~valid).alias("n"), F.avg(F.when(~valid, error)).alias("tr"), F.avg(F.when(valid, error)).alias("va")), shares)
+    if scheme == "series_temporales" and time is None:
+        raise ValueError("series_temporales needs the column that orders the rows")
+    rows = fold_rows(df, scheme, key, target, folds, 1, seed, time).drop("repeticion").withColumn("_draw", hash60(F.col(key), f"curve{seed}"))
     labels = [(f, i) for f in range(folds) for i in range(len(shares))]
-    chosen = {(f, i): (F.col("fold") != f) & (F.col("_draw") < int(shares[i] * HASH_RANGE)) for f, i in labels}
+    seen = (lambda f: F.col("fold") < f) if scheme == "series_temporales" else (lambda f: F.col("fold") != f)
+    chosen = {(f, i): seen(f) & (F.col("_draw") < int(shares[i] * HASH_RANGE)) for f, i in labels}
     fitted = fit_each(fit, [rows.where(chosen[label]).drop("fold", "_draw") for label in labels])
     error, frames = F.abs(F.col(target) - F.col("prediction")), []
     for (f, i), model in zip(labels, fitted, strict=True):
@@ -494,10 +528,16 @@ def indicator_summary(indicators: Mapping[str, DataFrame]) -> DataFrame:
 def compare_variants(
     fits: Mapping[str, Fit], df: DataFrame, target: str, key: str, folds: int = 5, repeats: int = 5, seed: int = 42
 ) -> DataFrame:
-    """(variante, MAE, desviacion): validation MAE of each variant on the same repeated folds, ascending."""
+    """(variante, MAE, desviacion): validation MAE of each variant on the same repeated folds, ascending.
+
+    All linear variants share one pass of moments and one scoring pass.
+    """
+    linear = {name: fit for name, fit in fits.items() if isinstance(fit, LinearFit)}
     parts = [
         fold_predictions(df, fit, "repetido", key, target, folds, repeats, seed).where("rol = 'validacion'").withColumn("variante", F.lit(name))
-        for name, fit in fits.items()
+        for name, fit in fits.items() if name not in linear
     ]
-    scores = regression_metrics(reduce(DataFrame.unionAll, parts), "y", by=["variante", "repeticion", "fold"], ranks=False)
+    if linear:
+        parts.append(fold_moments(df, linear, "repetido", key, target, folds, repeats, seed).predictions(validation_only=True).drop("talla"))
+    scores = regression_metrics(reduce(DataFrame.unionByName, parts), "y", by=["variante", "repeticion", "fold"], ranks=False)
     return scores.groupBy("variante").agg(F.avg("MAE").alias("MAE"), F.stddev_pop("MAE").alias("desviacion")).orderBy("MAE")

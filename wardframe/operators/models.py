@@ -121,6 +121,18 @@ def fit_linear(df: DataFrame, target: str, plan: PrepPlan, alpha: float = 0.0) -
     return PipelineModel([prep, ExpressionModel(expression=line.sql())])
 
 
+@dataclass(frozen=True)
+class LinearFit:
+    """``fit_linear`` as a value: validation knows its plan and works from moments instead of refitting."""
+
+    target: str
+    plan: PrepPlan
+    alpha: float = 0.0
+
+    def __call__(self, df: DataFrame) -> PipelineModel:
+        return fit_linear(df, self.target, self.plan, self.alpha)
+
+
 def fit_trees(df: DataFrame, target: str, plan: PrepPlan, learner) -> PipelineModel:
     prep = ColumnPrep.of(plan).fit(df)
     assembler = VectorAssembler(inputCols=[PREFIX + f for f in prep.feature_names()], outputCol="features")
@@ -140,14 +152,8 @@ def forest(trees: int = 100, seed: int = 42, depth: int = 10) -> RandomForestReg
     )
 
 
-# Models by name: (needs preprocessing, description).
-CATALOGUE: dict[str, tuple[bool, str]] = {
-    "dummy": (True, "mean of the target"),
-    "heuristica": (False, "recalibrated mean of domain-scaled columns"),
-    "ridge": (True, "ridge regression, alpha 1"),
-    "extra_trees": (True, "randomised tree ensemble"),
-    "automl": (True, "search over model families"),
-}
+# Models by name.
+MODELS = ("dummy", "heuristica", "ridge", "extra_trees", "automl")
 
 
 def model_fit(
@@ -160,18 +166,18 @@ def model_fit(
     if name == "heuristica":
         return lambda df: PipelineModel([fit_heuristic(df, target, domains)])
     if name == "ridge":
-        return lambda df: fit_linear(df, target, plan, alpha=1.0)
+        return LinearFit(target, plan, 1.0)
     if name == "extra_trees":
         return lambda df: fit_trees(df, target, plan, forest(trees, seed))
     if name == "automl":
         return lambda df: search(df, target, plan, seed=seed, budget=budget)[0]
-    raise ValueError(f"unknown model {name}; available: {sorted(CATALOGUE)}")
+    raise ValueError(f"unknown model {name}; available: {sorted(MODELS)}")
 
 
 def candidates(target: str, plan: PrepPlan, seed: int = 42) -> dict[str, list[tuple[str, Fit]]]:
     """Candidate settings by family, cheapest first."""
     return {
-        "ridge": [(f"alpha={a}", lambda df, a=a: fit_linear(df, target, plan, a)) for a in (0.1, 1.0, 10.0)],
+        "ridge": [(f"alpha={a}", LinearFit(target, plan, a)) for a in (0.1, 1.0, 10.0)],
         "random_forest": [
             (f"trees={n},depth={d}", lambda df, n=n, d=d: fit_trees(df, target, plan, forest(n, seed, d)))
             for n, d in ((20, 5), (50, 8))

@@ -149,7 +149,7 @@ class PrepPlan:
 PREFIX = "prep_"
 
 
-def _input_columns(plan: PrepPlan, types: Mapping[str, str]) -> dict[str, Column]:
+def input_columns(plan: PrepPlan, types: Mapping[str, str]) -> dict[str, Column]:
     """Coerced, clipped and derived inputs, keyed by output name."""
     def base(c: str) -> Column:
         number = to_double(F.col(c), types[c])
@@ -171,7 +171,7 @@ def _numeric_levels(levels: Sequence[object]) -> bool:
 
 def fit_prep(df: DataFrame, plan: PrepPlan) -> dict:
     """Everything the plan learns, as a small dictionary (bounded by the number of columns)."""
-    columns = _input_columns(plan, dict(df.dtypes))
+    columns = input_columns(plan, dict(df.dtypes))
     frame = df.select(*[v.alias(k) for k, v in columns.items()])
     numeric = [c for c in columns if c not in plan.ordinal and c not in plan.boolean]
     fill: dict[str, object] = dict(medians(frame, numeric)) if numeric else {}
@@ -195,7 +195,7 @@ def fit_prep(df: DataFrame, plan: PrepPlan) -> dict:
 
 def prep_columns(plan: PrepPlan, learned: Mapping, types: Mapping[str, str]) -> dict[str, Column]:
     """Output feature name -> expression over the raw columns."""
-    columns, out = _input_columns(plan, types), {}
+    columns, out = input_columns(plan, types), {}
     for c, raw in columns.items():
         value = F.coalesce(raw, F.lit(learned["fill"][c])) if c in learned["fill"] else raw
         if c in plan.ordinal:

@@ -129,13 +129,16 @@ def first_histogram(rows: DataFrame, group: Sequence[str], value: str) -> DataFr
 
 
 def at_ranks(
-    rows: DataFrame, histogram: DataFrame, group: Sequence[str], value: str, ranks: Callable[[Column], Column], leaf: int | None = None
+    rows: DataFrame, histogram: DataFrame, group: Sequence[str], value: str, ranks: Callable[[Column], Column], leaf: int | None = None,
+    belongs: Callable[[], Column] | None = None,
 ) -> DataFrame:
     """(group..., n, rank, value, before, cnt): the value at each wanted rank (from 1), with the rows before
     it and the rows that equal it.
 
     ``ranks`` turns the number of rows of a group into an array of ranks.  ``histogram`` is the
     ``first_histogram`` of the same rows; every further round reads only what lies in the hit bins.
+    Groups that overlap (training sets) have a histogram summed from blocks of rows, and ``belongs`` says
+    when a row is part of the group in the columns ``_g_<group>``.
     """
     leaf = LEAF if leaf is None else leaf
     kind = dict(rows.dtypes)[value]
@@ -162,10 +165,14 @@ def at_ranks(
         held = state.where(~single).select(
             *[F.col(g).alias(f"_g_{g}") for g in group], "n", "_ranks", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), (F.col("cnt") <= leaf).alias("_few"), "_base",
             *([_common_prefix(F.col("lo"), F.col("hi")).alias("_skip")] if text else []))
-        of_group = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
-        inside = rows.select(*keys, F.col(value).alias("_v")).join(held, [*of_group, F.col("_v").between(F.col("_lo"), F.col("_hi"))])
+        within = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+        if belongs is None:
+            of_group = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+            inside = rows.select(*keys, F.col(value).alias("_v")).join(held, [*of_group, within])
+        else:
+            inside = rows.withColumnRenamed(value, "_v").join(held, belongs() & within)
         fine = _fine(F.col("_v"), F.col("_lo"), F.col("_hi"), kind)
-        bins = inside.groupBy(*keys, "n", "_ranks", "_lo", "_base", F.when(~F.col("_few"), fine).alias("_bin"),
+        bins = inside.groupBy(*[F.col(f"_g_{g}").alias(g) for g in group], "n", "_ranks", "_lo", "_base", F.when(~F.col("_few"), fine).alias("_bin"),
                               F.when(F.col("_few") | fine.isNull(), F.col("_v")).alias("_one")).agg(
             F.count("*").alias("cnt"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
         state = materialised(hit(bins, ["_lo"], ["_bin", "_one"]), "bins")

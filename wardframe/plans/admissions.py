@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,23 +113,22 @@ PREP = PrepPlan(
     numeric=NUMERIC, ordinal={"university_rating": RATING_CODES}, boolean=("research",), domains=DOMAINS,
 )
 
+def _without(*columns: str) -> PrepPlan:
+    return replace(PREP, numeric=tuple(c for c in PREP.numeric if c not in columns))
+
+
 # The seven preparation variants that are compared with each other.
 VARIANTS = {
-    "base": PREP,
-    "derivados": PrepPlan(
-        numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS,
-        derived={
-            "indice_academico": "(cgpa/10 + (gre_score-260)/80 + toefl_score/120)/3",
-            "sop_lor_media": "(sop+lor)/2", "rating_x_research": "double(university_rating)*double(research)",
-        },
-    ),
-    "no_lineales": PrepPlan(
-        numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS, log=("cgpa",), root=("sop",), square=("gre_score",),
-    ),
-    "onehot": PrepPlan(numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS, onehot=True),
-    "indicador": PrepPlan(numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS, indicator=True),
-    "minmax": PrepPlan(numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS, min_max=True),
-    "sin_escalar": PrepPlan(numeric=NUMERIC, ordinal=PREP.ordinal, boolean=PREP.boolean, domains=DOMAINS, scale=False),
+    "1_base": PREP,
+    "2_onehot": replace(PREP, onehot=True),
+    "3_derivados": replace(PREP, derived={
+        "indice_academico": "(cgpa/10 + (gre_score-260)/80 + toefl_score/120)/3",
+        "sop_lor_media": "(sop+lor)/2", "rating_x_research": "double(university_rating)*double(research)",
+    }),
+    "4_no_lineales": replace(PREP, log=("cgpa",), root=("sop",), square=("gre_score",)),
+    "5_sin_toefl": _without("toefl_score"),
+    "6_minimo": _without("gre_score", "toefl_score", "sop"),
+    "7_indicador": replace(PREP, indicator=True),
 }
 
 # In a batch the target, when present, is context: it keeps its original text.

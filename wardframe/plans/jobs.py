@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardframe.functions.hashing import hash60
 from wardframe.operators import clean, evaluate, score, split
 from wardframe.operators.contracts import compare_gate, gate
 from wardframe.operators.models import model_fit
@@ -51,9 +50,9 @@ def feature_job(spark: SparkSession, raw_path: str, out_path: str, derived: bool
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
-    """A key from the content of a row; rows are unique under the feature contract."""
+    """A key of 128 bits from the content of a row; rows are unique under the feature contract."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
-    return df.withColumn(ROW_KEY, hash60(text))
+    return df.withColumn(ROW_KEY, F.md5(text.cast("binary")))
 
 
 @dataclass(frozen=True)
@@ -71,10 +70,19 @@ def training_job(
     spark: SparkSession, feature_path: str, model_path: str, report_folder: str, model: str = "extra_trees",
     seed: int = split.SEED, share: float = split.TEST_SHARE, strict: bool = False, scheme: str = "repetido",
     folds: int = 5, repeats: int = 5, references: bool = True, curve: bool = True, trees: int = 100, budget: float = 180.0,
+    time: str | None = None,
 ) -> TrainingResult:
-    features = with_row_key(tabular.read_contracted(spark, feature_path, adm.FEATURE_CONTRACT))
+    """Split, check, fit, validate, report, save.
+
+    Under ``series_temporales`` the column ``time`` orders the rows: validation and learning curve train
+    on what lies before the validated block only, and the column is no predictor.
+    """
+    if scheme == "series_temporales" and time is None:
+        raise ValueError("series_temporales needs the column that orders the rows")
+    contract = replace(adm.FEATURE_CONTRACT, allow_extra=True) if time else adm.FEATURE_CONTRACT
+    features = with_row_key(tabular.read_contracted(spark, feature_path, contract))
     parted = materialised(split.seeded_split(features, ROW_KEY, share, seed, exact=True), "split")
-    predictors = [c for c in features.columns if c not in (adm.TARGET, ROW_KEY)]
+    predictors = [c for c in features.columns if c not in (adm.TARGET, ROW_KEY, time)]
     checks = materialised(split.split_report(
         parted, ROW_KEY, adm.TARGET, predictors, ["university_rating", "research"], share, seed=seed
     ), "checks")
@@ -92,12 +100,12 @@ def training_job(
         F.lit(n).alias("modelo"), F.col(adm.TARGET).alias("y"), "prediction", ROW_KEY) for n in names]
     metrics = evaluate.regression_metrics(reduce(DataFrame.unionAll, scored), "y", by=["modelo"])
     own = metrics.where(F.col("modelo") == model)
-    cv = materialised(evaluate.cross_validate(train, fit_of(model), adm.TARGET, ROW_KEY, scheme, folds, repeats, seed), "cv")
+    cv = materialised(evaluate.cross_validate(train, fit_of(model), adm.TARGET, ROW_KEY, scheme, folds, repeats, seed, time), "cv")
     comparison = materialised(evaluate.compare_scenarios(cv, evaluate.long_metrics(own)), "comparison")
     diagnosis = evaluate.diagnose(comparison)
     summary = evaluate.validation_summary(comparison).withColumn("modelo", F.lit(model))
     report = evaluate.metric_report(metrics.join(F.broadcast(summary), "modelo", "left"))
-    lines = evaluate.learning_curve(train, fit_of(model), adm.TARGET, ROW_KEY, folds, seed) if curve else None
+    lines = evaluate.learning_curve(train, fit_of(model), adm.TARGET, ROW_KEY, folds, seed, scheme=scheme, time=time) if curve else None
     segments = evaluate.weak_segments(fitted.transform(test), predictors, adm.TARGET, ROW_KEY)
 
     tabular.save_model(fitted, model_path, test)
