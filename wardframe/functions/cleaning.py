@@ -37,9 +37,10 @@ def text_to_double(text: Column) -> Column:
 
 
 def text_to_long(text: Column) -> Column:
-    """Integral text such as '337' or '337.0'; '316.5' is not convertible."""
-    number = text_to_double(text)
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Integral text such as '337', '337.0' or '1e3', exact beyond 2^53; '316.5' is not convertible."""
+    number, digits = text_to_double(text), text.try_cast("decimal(38,10)")
+    whole = F.when((number == F.floor(number)) & (digits == F.floor(digits)), digits.try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(whole)
 
 
 def text_to_boolean(text: Column, mapping: Mapping[str, bool]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardframe.functions.pvalues import chi_square_p, student_p
 from wardframe.operators.moments import covariances
+from wardframe.functions.cleaning import to_double
 from wardframe.operators.ranks import grouped_quantiles, spearman
 
 # Fixed values: |r| from which two predictors count as redundant.
@@ -44,8 +45,9 @@ def pearson_test(df: DataFrame, columns: Sequence[str], target: str) -> DataFram
 
 def spearman_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(columna, n, spearman) for all columns together."""
+    types = dict(df.dtypes)
     long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("columna"), F.col(c).cast("double").alias("x"), F.col(target).cast("double").alias("y"))
+        F.struct(F.lit(c).alias("columna"), to_double(F.col(c), types[c]).alias("x"), to_double(F.col(target), types[target]).alias("y"))
         for c in columns
     ])))
     return spearman(long, "x", "y", by=["columna"])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe import vocabulary as words
+from wardframe.functions.cleaning import to_double
 from wardframe.functions.hashing import HASH_RANGE, hash60, hash_fold
 from wardframe.operators.foldmoments import FoldMoments
 from wardframe.operators.models import Fit, LinearFit
@@ -401,20 +402,21 @@ def weak_segments(
     df: DataFrame, columns: Sequence[str], target: str, key: str, prediction: str = "prediction", groups: int = 3
 ) -> DataFrame:
     """MAE per tercile of first-come rank of each attribute, against the global MAE."""
-    error = F.abs(F.col(target) - F.col(prediction))
+    error, types = F.abs(F.col(target) - F.col(prediction)), dict(df.dtypes)
+    values = {c: to_double(F.col(c), types[c]) for c in columns}
     cells = F.array(*[
-        F.struct(F.lit(c).alias("atributo"), F.col(c).cast("double").alias("value"), F.col(key).alias("tie")) for c in columns
+        F.struct(F.lit(c).alias("atributo"), values[c].alias("value"), F.col(key).alias("tie")) for c in columns
     ])
     long = df.select(F.inline(cells)).where("value is not null")
     cuts = rank_cuts(long, "atributo", "value", "tie", quantile_group_ranks(groups))
-    ranges = df.agg(*[(F.min(F.col(c)) < F.max(F.col(c))).alias(c) for c in columns]).first()
+    ranges = df.agg(*[(F.min(values[c]) < F.max(values[c])).alias(c) for c in columns]).first()
     usable = [c for c in columns if ranges[c]]
     schema = "atributo string, segmento string, n bigint, MAE double, MAE_global double, razon_vs_global double, debil boolean"
     if not usable:
         return df.sparkSession.createDataFrame([], schema)
     entries = F.array(*[
         F.struct(F.lit(c).alias("atributo"), F.when(
-            F.col(c).isNotNull(), group_number(cuts[c], F.col(c).cast("double"), F.col(key)) + 1
+            values[c].isNotNull(), group_number(cuts[c], values[c], F.col(key)) + 1
         ).alias("g")) for c in usable
     ])
     overall = df.agg(F.avg(error)).scalar()

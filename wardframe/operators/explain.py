@@ -11,10 +11,11 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardframe.functions.hashing import hash60
-from wardframe.operators.models import Line
+from wardframe.operators.evaluate import fold_moments
+from wardframe.operators.models import Line, LinearFit
+from wardframe.operators.prep import PrepPlan
 from wardframe.operators.profile import seeded_sample
-from wardframe.operators.ranks import hash_indexed, long_numbers, running_counts
+from wardframe.operators.ranks import hash_indexed
 from wardframe.sources.scratch import materialised
 
 # Repeats of the permutation, ICE sample size, neighbours of the local dispersion.
@@ -322,54 +323,13 @@ def single_predictor_ranking(
 ) -> DataFrame:
     """(columna, MAE, desviacion): a one-variable line per column under repeated folds.
 
-    Missing cells take the median (numeric) or mode (discrete) of their training set.  The fill
-    values of all training sets come from one table of value counts, the lines from one
-    aggregation, the errors from one scoring pass.
+    Missing cells take the median (numeric) or mode (discrete) of their training set.  All lines of all
+    training sets come from the moments of one pass, the errors from one scoring pass.
     """
-    columns = [*numeric, *discrete]
-    labels = [(r, f) for r in range(1, repeats + 1) for f in range(folds)]
-    fold_of = {r: F.pmod(hash60(F.col(key), f"fold{seed}r{r}"), F.lit(folds)).cast("int") for r in range(1, repeats + 1)}
-    long = long_numbers(
-        df.where(F.col(target).isNotNull()), columns,
-        [F.col(target).cast("double").alias("y"), F.array(*[fold_of[r] for r in range(1, repeats + 1)]).alias("fs")],
-    )
-    # value counts of every training set: all rows minus the validation fold
-    train_counts = [
-        F.count_if(F.element_at("fs", r) != f).alias(f"t{r}_{f}") for r, f in labels
-    ]
-    counts = materialised(long.where("value is not null").groupBy("column", "value").agg(*train_counts), "foldcounts")
-    names = [f"t{r}_{f}" for r, f in labels]
-    numeric_cum = running_counts(counts.where(F.col("column").isin(list(numeric))), ["column"], "value", names)
-    medians = numeric_cum.groupBy("column").agg(*[
-        ((F.min(F.when(F.col(f"cum_{c}") >= F.floor((F.col(f"all_{c}") - 1) / 2) + 1, F.col("value")))
-          + F.min(F.when(F.col(f"cum_{c}") >= F.floor(F.col(f"all_{c}") / 2) + 1, F.col("value")))) / 2).alias(c)
-        for c in names
-    ])
-    tops = counts.where(F.col("column").isin(list(discrete))).groupBy("column").agg(*[
-        F.min_by("value", F.struct(-F.col(c), F.col("value"))).alias(c) for c in names
-    ])
-    fills = medians.unionByName(tops).select("column", F.inline(F.array(*[
-        F.struct(F.lit(r).alias("r"), F.lit(f).alias("m"), F.col(f"t{r}_{f}").alias("fill")) for r, f in labels
-    ])))  # columns x repeats x folds rows
-    per_row = long.select("column", "value", "y", F.posexplode("fs").alias("_p", "f")).withColumn("r", F.col("_p") + 1)
-    known, missing = F.col("value").isNotNull(), F.col("value").isNull()
-    sums = per_row.groupBy("column", "r", "f").agg(
-        F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum("value").alias("sx"), F.sum(F.col("value") * F.col("value")).alias("sxx"),
-        F.sum(F.col("value") * F.col("y")).alias("sxy"), F.count_if(missing).alias("z"), F.sum(F.when(missing, F.col("y"))).alias("zy"),
-    ).na.fill(0)
-    rest = Window.partitionBy("column", "r")
-    others = sums.select("column", "r", F.col("f").alias("m"), *[
-        (F.sum(c).over(rest) - F.col(c)).alias(c) for c in ("n", "sy", "sx", "sxx", "sxy", "z", "zy")
-    ]).join(F.broadcast(fills), ["column", "r", "m"])
-    sx = F.col("sx") + F.col("z") * F.col("fill")
-    sxx = F.col("sxx") + F.col("z") * F.col("fill") * F.col("fill")
-    sxy = F.col("sxy") + F.col("zy") * F.col("fill")
-    slope = F.coalesce(F.try_divide(F.col("n") * sxy - sx * F.col("sy"), F.col("n") * sxx - sx * sx), F.lit(0.0))
-    lines = others.select("column", "r", F.col("m").alias("f"), "fill", slope.alias("b"), ((F.col("sy") - slope * sx) / F.col("n")).alias("a"))
-    x = F.when(known, F.col("value")).otherwise(F.col("fill"))
-    maes = per_row.join(F.broadcast(lines), ["column", "r", "f"]).groupBy("column", "r", "f").agg(
-        F.avg(F.abs(F.col("y") - F.col("a") - F.col("b") * x)).alias("mae")
-    )
-    return maes.groupBy("column").agg(F.avg("mae").alias("MAE"), F.stddev_pop("mae").alias("desviacion")).withColumnRenamed(
-        "column", "columna"
-    ).orderBy("MAE")
+    fits = {c: LinearFit(target, PrepPlan(numeric=(c,), scale=False)) for c in numeric}
+    fits |= {c: LinearFit(target, PrepPlan(boolean=(c,))) for c in discrete}
+    known = df.where(F.col(target).isNotNull())
+    scored = fold_moments(known, fits, "repetido", key, target, folds, repeats, seed).predictions(validation_only=True)
+    maes = scored.groupBy("variante", "repeticion", "fold").agg(F.avg(F.abs(F.col("y") - F.col("prediction"))).alias("mae"))
+    return maes.groupBy(F.col("variante").alias("columna")).agg(
+        F.avg("mae").alias("MAE"), F.stddev_pop("mae").alias("desviacion")).orderBy("MAE")

@@ -21,6 +21,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.functions.cleaning import NUMBER_PATTERN
 from wardframe.operators.moments import covariances
 from wardframe.operators.prep import PREFIX, ColumnPrep, PrepPlan, medians
 
@@ -62,14 +63,23 @@ def fit_constant(df: DataFrame, target: str, strategy: str = "mean", value: floa
     return ExpressionModel(expression=number(centre))
 
 
-def heuristic_sql(domains: Mapping[str, tuple[float, float]], present: Sequence[str], cast: str = "double") -> str:
+def number_sql(column: str, data_type: str) -> str:
+    """The number in a column; NULL for NaN and for text that is no number."""
+    value = f"try_cast(`{column}` as double)"
+    if data_type == "string":
+        return f"(case when `{column}` rlike r'{NUMBER_PATTERN}' then {value} end)"
+    return f"nanvl({value}, cast(null as double))" if data_type in ("double", "float") else value
+
+
+def heuristic_sql(domains: Mapping[str, tuple[float, float]], types: Mapping[str, str] | Sequence[str]) -> str:
     """Mean of the known domain-scaled columns; NULL when none is known.  Inputs are not clipped."""
-    columns = [c for c in domains if c in present]
+    types = types if isinstance(types, Mapping) else dict.fromkeys(types, "")
+    columns = {c: number_sql(c, types[c]) for c in domains if c in types}
     if not columns:
         raise ValueError("no known column is present")
-    parts = [f"((cast(`{c}` as {cast}) - {number(domains[c][0])}) / {number(domains[c][1] - domains[c][0])})" for c in columns]
+    parts = [f"(({v} - {number(domains[c][0])}) / {number(domains[c][1] - domains[c][0])})" for c, v in columns.items()]
     total = " + ".join(f"coalesce({p}, 0D)" for p in parts)
-    known = " + ".join(f"cast(`{c}` is not null as int)" for c in columns)
+    known = " + ".join(f"cast({v} is not null as int)" for v in columns.values())
     return f"(({total}) / nullif({known}, 0))"
 
 
@@ -77,7 +87,7 @@ def fit_heuristic(
     df: DataFrame, target: str, domains: Mapping[str, tuple[float, float]], recalibrate: bool = True
 ) -> ExpressionModel:
     """clip(a + b * score, 0, 1), with a and b by least squares on the training rows."""
-    score = heuristic_sql(domains, df.columns)
+    score = heuristic_sql(domains, dict(df.dtypes))
     a, b = 0.0, 1.0
     if recalibrate:
         row = df.select(F.expr(score).alias("s"), F.col(target).alias("y")).agg(

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardframe.functions.cleaning import to_double
 from wardframe.functions.hashing import HASH_BITS, hash60
 from wardframe.sources.scratch import materialised
 
@@ -39,8 +40,10 @@ BUCKET_BITS = 16
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:
-    """(keep..., column, value) with one row per cell, values as double.  Names may not repeat."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    """(keep..., column, value) with one row per cell, values as double; NULL for NaN and for text that is
+    no number.  Names may not repeat."""
+    types = dict(df.dtypes)
+    cells = [F.struct(F.lit(c).alias("column"), to_double(F.col(c), types[c]).alias("value")) for c in columns]
     return df.select(*keep, F.inline(F.array(*cells)))
 
 

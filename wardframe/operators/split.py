@@ -187,7 +187,8 @@ def _column_drift(table: DataFrame) -> DataFrame:
 
 
 def check_target_drift(df: DataFrame, target: str, split: str = "split") -> DataFrame:
-    """Nulls are not dropped silently: the number of null targets is part of the detail."""
+    """A null target cannot be compared: with any, the statistic is NULL, the verdict a warning, and the
+    detail gives their number."""
     return _target_drift(df, kolmogorov_smirnov(df, [target], is_test(split)), target, split)
 
 
@@ -200,6 +201,7 @@ def _target_drift(df: DataFrame, ks: DataFrame, target: str, split: str) -> Data
     together = means.withColumn("statistic", F.lit(None).cast("double")).unionByName(
         ks.select("statistic"), allowMissingColumns=True
     ).groupBy().agg(*[F.max(c).alias(c) for c in ("tr", "te", "nulls", "statistic")])
+    together = together.withColumn("statistic", F.when(F.col("nulls") == 0, F.col("statistic")))
     return together.select(*_check(
         words.CHECK_TARGET_DRIFT, target,
         _warn(F.coalesce(F.col("statistic") > MAX_KS, F.lit(True))), F.col("statistic"), MAX_KS,
