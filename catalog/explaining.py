@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from catalog.base import DOMAINS, LEVELS, SCORE, SCORE_DOMAINS, TARGET, heuristic_scored, query, rounded, rsql, scored_cte, sql_hash, table, written
@@ -13,6 +14,7 @@ from wardframe.operators.clean import Typing
 from wardframe.operators.contracts import ColumnRule, Contract, ContractError, Relation
 from wardframe.operators.evaluate import regression_metrics
 from wardframe.operators.prep import PREFIX, PrepPlan
+from wardframe.operators.treepaths import tree_contributions
 
 FEATURES = ["quantity", "discount", "tax", "level", "open"]
 REPEATS = 3
@@ -42,21 +44,21 @@ def j1(spark, sf):
     return rounded(explain.permuted_scores(test, model, FEATURES, TARGET, "key", REPEATS))
 
 
-def small_forest(train):
+def fitted_forest(train):
     plan = PrepPlan(numeric=("quantity", "discount", "tax"), ordinal={"level": LEVELS}, boolean=("open",), domains=DOMAINS)
-    return models.fit_trees(train, TARGET, plan, models.forest(10, depth=5))
+    return models.fit_trees(train, TARGET, plan, models.forest())
 
 
 @query("j1_permutation_importance_trees")
 def j1t(spark, sf):
     train, test = sides(spark, sf)
-    return explain.permutation_importance(test, small_forest(train), FEATURES, TARGET, "key", 5)
+    return explain.permutation_importance(test, fitted_forest(train), FEATURES, TARGET, "key")
 
 
 @query("j2_impurity_importance")
 def j2(spark, sf):
     train, _ = sides(spark, sf)
-    model = small_forest(train)
+    model = fitted_forest(train)
     return explain.impurity_importance(model, model.stages[0].feature_names(), spark)
 
 
@@ -72,27 +74,37 @@ def j3(spark, sf):
 @query("j3_tree_contributions")
 def j3t(spark, sf):
     train, test = sides(spark, sf)
-    return explain.shapley_contributions(*_tree_inputs(train, test))
+    return tree_contributions(*_tree_inputs(train, test))
+
+
+@query("j3_tree_additivity", f"SELECT count(*) AS n, 5 * count(*) AS aportes, count(*) AS aditivas FROM {_E} AS e")
+def j3a(spark, sf):
+    """Base and contributions of every row sum to what the model itself predicts."""
+    train, test = sides(spark, sf)
+    ready, model, names, base, key = _tree_inputs(train, test)
+    own = VectorAssembler(inputCols=names, outputCol="features").transform(ready)
+    scored = model.transform(own).select(key, "prediction")
+    parts = tree_contributions(ready, model, names, base, key).groupBy(key).agg((F.first("base") + F.sum("aporte")).alias("sum"), F.count("*").alias("k"))
+    return parts.join(scored, key).agg(
+        F.count("*").alias("n"), F.sum("k").alias("aportes"), F.count_if(F.abs(F.col("sum") - F.col("prediction")) < 1e-9).alias("aditivas"))
 
 
 def _tree_inputs(train, test):
-    model = small_forest(train)
+    model = fitted_forest(train)
     ready_train, ready_test = model.stages[0].transform(train), model.stages[0].transform(test)
     names = [PREFIX + f for f in model.stages[0].feature_names()]
     row = ready_train.agg(*[F.avg(c).alias(c) for c in names]).first()
-    from pyspark.ml import PipelineModel
-
-    return ready_test, PipelineModel(model.stages[1:]), names, row.asDict(), "key"
+    return ready_test, model.stages[-1], names, row.asDict(), "key"
 
 
 @query("j4_importance_comparison")
 def j4(spark, sf):
     train, test = sides(spark, sf)
-    model = small_forest(train)
+    model = fitted_forest(train)
     names = model.stages[0].feature_names()
     impurity = explain.impurity_importance(model, names, spark)
-    permutation = explain.permutation_importance(test, model, FEATURES, TARGET, "key", 3)
-    contributions = explain.shapley_contributions(*_tree_inputs(train, test)).withColumn("atributo", F.regexp_replace("atributo", f"^{PREFIX}", ""))
+    permutation = explain.permutation_importance(test, model, FEATURES, TARGET, "key")
+    contributions = tree_contributions(*_tree_inputs(train, test)).withColumn("atributo", F.regexp_replace("atributo", f"^{PREFIX}", ""))
     return explain.compare_importances(impurity, permutation, contributions)
 
 

@@ -71,19 +71,14 @@ def h5m(spark, sf):
 @query("h6_tree_ensemble")
 def h6(spark, sf):
     train, test = sides(spark, sf)
-    scored = models.fit_trees(train, TARGET, PLAN, models.forest(20, depth=6)).transform(test)
+    scored = models.fit_trees(train, TARGET, PLAN, models.forest()).transform(test)
     return evaluate.regression_metrics(scored, TARGET)
 
 
 @query("h7_model_search")
 def h7(spark, sf):
     train, _ = sides(spark, sf)
-    grid = {
-        "ridge": [(f"alpha={a}", lambda df, a=a: models.fit_linear(df, TARGET, PLAN, a)) for a in (0.1, 10.0)],
-        "random_forest": [("trees=10,depth=4", lambda df: models.fit_trees(df, TARGET, PLAN, models.forest(10, depth=4)))],
-        "gradient_boosting": [("iterations=5,depth=3", lambda df: models.fit_trees(df, TARGET, PLAN, models.GBTRegressor(maxIter=5, maxDepth=3, seed=42)))],
-    }
-    return models.search(train, TARGET, PLAN, "key", folds=2, grid=grid, budget=120)[1]
+    return models.search(train, TARGET, PLAN, "key", budget=None)[1]
 
 
 # --- I ------------------------------------------------------------------------------------
@@ -152,7 +147,7 @@ def i6(spark, sf):
     return blocks.groupBy("bloque").agg(F.count("*").alias("n"), F.min("ts").alias("desde"), F.max("ts").alias("hasta"))
 
 
-def cv_sql(score: str | None, repeats: int = 2) -> str:
+def cv_sql(score: str | None, repeats: int = 5) -> str:
     """Per-fold metrics of a straight line on the train rows."""
     union = " UNION ALL ".join(f"SELECT key, target, score, {r} AS repeticion, {sql_hash('key', f'fold42r{r}')} % 5 AS fold FROM base" for r in range(1, repeats + 1))
     a = "regr_intercept(r.target, r.score)" if score else "avg(r.target)"
@@ -163,7 +158,7 @@ p AS MATERIALIZED (SELECT m.repeticion, m.fold, CASE WHEN r.fold = m.fold THEN '
 {metrics_sql('p', 'repeticion, fold, rol')}"""
 
 
-def summary_sql(scores: str, repeats: int = 2) -> str:
+def summary_sql(scores: str, repeats: int = 5) -> str:
     parts = " UNION ALL ".join(f"""SELECT '{m}' AS metrica, avg({m}) FILTER (rol = 'entrenamiento') AS entrenamiento, avg({m}) FILTER (rol = 'validacion') AS validacion_cruzada,
 stddev_pop({m}) FILTER (rol = 'validacion') AS desviacion_cv, avg({m}) FILTER (rol = 'validacion') - avg({m}) FILTER (rol = 'entrenamiento') AS brecha_train_cv,
 'repetido' AS validador, 5 AS pliegues, {repeats} AS repeticiones, 42 AS semilla FROM sc""" for m in _M)
@@ -173,7 +168,7 @@ stddev_pop({m}) FILTER (rol = 'validacion') AS desviacion_cv, avg({m}) FILTER (r
 _CV_COLS = ("entrenamiento", "validacion_cruzada", "desviacion_cv", "brecha_train_cv")
 
 
-def heuristic_cv(spark, sf, repeats=2):
+def heuristic_cv(spark, sf, repeats=5):
     train, _ = sides(spark, sf)
     folds = evaluate.line_fold_predictions(train, "key", TARGET, score_column(), 5, repeats, clip=True)
     return evaluate.summarise_folds(evaluate.fold_scores(folds.withColumn("prediction", F.round("prediction", 9))), "repetido", 5, repeats)
@@ -187,14 +182,51 @@ def i7(spark, sf):
 @query("i7_cross_validate_mean", rsql(cv_sql(None), *_M))
 def i7m(spark, sf):
     train, _ = sides(spark, sf)
-    scores = evaluate.fold_scores(evaluate.line_fold_predictions(train, "key", TARGET, None, 5, 2, clip=True).withColumn("prediction", F.round("prediction", 9))).withColumn("fold", F.col("fold").cast("bigint"))
+    scores = evaluate.fold_scores(evaluate.line_fold_predictions(train, "key", TARGET, None, 5, 5, clip=True).withColumn("prediction", F.round("prediction", 9))).withColumn("fold", F.col("fold").cast("bigint"))
     return rounded(scores)
 
 
+# one predictor and no penalty: a straight line over median-filled values, learned anew in every fold
+_LINE_CV = f"""WITH base AS MATERIALIZED (SELECT key, target + 100 AS y, quantity, {sql_hash('key', 'fold42r1')} % 5 AS fold FROM {_T} AS t),
+fills AS (SELECT f.fold, median(r.quantity) AS m FROM (SELECT DISTINCT fold FROM base) AS f JOIN base AS r ON r.fold <> f.fold GROUP BY 1),
+lines AS (SELECT f.fold, m, regr_slope(y, coalesce(quantity, m)) AS b, regr_intercept(y, coalesce(quantity, m)) AS a FROM fills AS f JOIN base AS r ON r.fold <> f.fold GROUP BY 1, 2)
+SELECT l.fold, CASE WHEN r.fold = l.fold THEN 'validacion' ELSE 'entrenamiento' END AS rol, count(*) AS n, avg(abs(y - a - b * coalesce(quantity, m))) AS mae,
+sqrt(avg((y - a - b * coalesce(quantity, m)) ** 2)) AS rmse FROM lines AS l, base AS r GROUP BY 1, 2"""
+
+
+@query("i7_cross_validate_line", rsql(_LINE_CV, "mae", "rmse", digits=7))
+def i7l(spark, sf):
+    """A target far from [0, 1], so nothing may be clipped."""
+    train = sides(spark, sf)[0].withColumn("y100", F.col(TARGET) + 100)
+    scored = evaluate.fold_predictions(train, models.LinearFit("y100", PrepPlan(numeric=("quantity",))), "kfold", "key", "y100")
+    error = F.col("y") - F.col("prediction")
+    return rounded(scored.groupBy(F.col("fold").cast("bigint").alias("fold"), "rol").agg(
+        F.count("*").alias("n"), F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse")), 7)
+
+
+_PAST = """WITH e AS (SELECT value AS y, CAST(user_id AS DOUBLE) AS x, row_number() OVER (ORDER BY ts, event_id) AS r, count(*) OVER () AS n, count(*) OVER () // 6 AS t FROM events),
+b AS MATERIALIZED (SELECT y, x, CASE WHEN r <= n - 5 * t THEN -1 ELSE (r - (n - 5 * t) - 1) // t END AS fold FROM e),
+lines AS (SELECT f.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT DISTINCT fold FROM b WHERE fold >= 0) AS f JOIN b AS p ON p.fold < f.fold GROUP BY 1)
+SELECT CAST(l.fold AS BIGINT) AS fold, CASE WHEN b.fold = l.fold THEN 'validacion' ELSE 'entrenamiento' END AS rol, count(*) AS n, avg(abs(y - a - l.b * x)) AS mae
+FROM lines AS l JOIN b ON b.fold <= l.fold GROUP BY 1, 2"""
+
+
+def _ordered_events(spark, sf):
+    return table(spark, sf, "events").select("event_id", "ts", F.col("user_id").cast("double").alias("x"), F.col("value").alias("y"))
+
+
+@query("i7_cross_validate_in_time", rsql(_PAST, "mae", digits=7))
+def i7t(spark, sf):
+    """Expanding windows: every block is validated by a line that saw earlier events only."""
+    scored = evaluate.fold_predictions(_ordered_events(spark, sf), models.LinearFit("y", PrepPlan(numeric=("x",))), "series_temporales", "event_id", "y", time="ts")
+    return rounded(scored.groupBy(F.col("fold").cast("bigint").alias("fold"), "rol").agg(
+        F.count("*").alias("n"), F.avg(F.abs(F.col("y") - F.col("prediction"))).alias("mae")), 7)
+
+
 @query("i7_cross_validate_ridge")
 def i7r(spark, sf):
     train, _ = sides(spark, sf)
-    return evaluate.cross_validate(train, lambda df: models.fit_linear(df, TARGET, PLAN, 1.0), TARGET, "key", "kfold")
+    return evaluate.cross_validate(train, models.LinearFit(TARGET, PLAN, 1.0), TARGET, "key")
 
 
 _TEST_LONG = " UNION ALL ".join(f"SELECT '{m}' AS metrica, {m} AS prueba FROM tm" for m in _M)

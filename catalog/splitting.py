@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from catalog.base import (
@@ -9,7 +11,7 @@ from catalog.base import (
 )
 from wardframe.operators import evaluate, prep, split
 from wardframe.operators.contracts import ContractError
-from wardframe.operators.models import fit_linear
+from wardframe.operators.models import LinearFit
 
 SPLIT_FRAME = f"(SELECT *, {SPLIT} AS split FROM {FRAME} AS raw_frame)"
 
@@ -244,15 +246,17 @@ def g9(spark, sf):
 
 
 VARIANTS = {
-    "base": PLAN,
-    "onehot": prep.PrepPlan(numeric=PLAN.numeric, ordinal=PLAN.ordinal, boolean=PLAN.boolean, domains=DOMAINS, onehot=True),
-    "indicador": prep.PrepPlan(numeric=PLAN.numeric, ordinal=PLAN.ordinal, boolean=PLAN.boolean, domains=DOMAINS, indicator=True),
-    "no_lineal": prep.PrepPlan(numeric=PLAN.numeric, ordinal=PLAN.ordinal, boolean=PLAN.boolean, domains=DOMAINS, log=("quantity",), square=("discount",)),
-    "minmax": prep.PrepPlan(numeric=PLAN.numeric, ordinal=PLAN.ordinal, boolean=PLAN.boolean, domains=DOMAINS, min_max=True),
+    "1_base": PLAN,
+    "2_onehot": replace(PLAN, onehot=True),
+    "3_derivados": replace(PLAN, derived={"descuento_neto": "discount - tax", "nivel_por_cantidad": "quantity * double(level)"}),
+    "4_no_lineales": replace(PLAN, log=("quantity",), root=("discount",), square=("tax",)),
+    "5_sin_impuesto": replace(PLAN, numeric=("quantity", "discount")),
+    "6_minimo": replace(PLAN, numeric=("quantity",)),
+    "7_indicador": replace(PLAN, indicator=True),
 }
 
 
 @query("g10_variant_comparison")
 def g10(spark, sf):
     train = sides(spark, sf)[0]
-    return evaluate.compare_variants({n: (lambda df, p=p: fit_linear(df, TARGET, p, 1.0)) for n, p in VARIANTS.items()}, train, TARGET, "key", folds=3, repeats=1)
+    return evaluate.compare_variants({n: LinearFit(TARGET, p, 1.0) for n, p in VARIANTS.items()}, train, TARGET, "key")

@@ -4,7 +4,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tests.frames import COLUMNS, frame
-from wardframe.operators import evaluate, explain, models, prep
+from wardframe.operators import evaluate, explain, models, prep, treepaths
 from wardframe.plans import admissions as adm
 from wardframe.sources import tabular
 
@@ -116,7 +116,7 @@ def test_trees_beat_the_constant_and_contributions_add_up(spark, data):
     ready = model.stages[0].transform(data)
     names = [prep.PREFIX + c for c in model.stages[0].feature_names()]
     base = ready.agg(*[F.avg(c).alias(c) for c in names]).first().asDict()
-    parts = explain.shapley_contributions(ready.where("id < 10"), PipelineModel(model.stages[1:]), names, base, "id")
+    parts = treepaths.tree_contributions(ready.where("id < 10"), model.stages[-1], names, base, "id")
     sums = parts.groupBy("id").agg((F.first("base") + F.sum("aporte")).alias("s"), F.first("prediction").alias("p")).collect()
     assert len(sums) == 10 and all(r.s == pytest.approx(r.p, abs=1e-9) for r in sums)
     weights = explain.impurity_importance(model, model.stages[0].feature_names(), spark).collect()

@@ -9,10 +9,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardframe.functions.cleaning import to_double
 from wardframe.functions.pvalues import chi_square_p, student_p
 from wardframe.operators.moments import covariances
-from wardframe.functions.cleaning import to_double
 from wardframe.operators.ranks import grouped_quantiles, spearman
+from wardframe.sources.scratch import materialised
 
 # Fixed values: |r| from which two predictors count as redundant.
 REDUNDANT = 0.8
@@ -118,31 +119,50 @@ def redundant_pairs(df: DataFrame, columns: Sequence[str], limit: float = REDUND
     return correlation_matrix(df, columns).where(F.abs("pearson") > limit).withColumn("pearson", F.round("pearson", 3))
 
 
-def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, n, pct_fila): long form over rows where both are known, empty cells included."""
-    counts = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(
+def cell_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, n): the cells that hold rows, over rows where both are known."""
+    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(
         F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")
     ).agg(F.count("*").alias("n"))
-    levels = counts.agg(F.array_sort(F.collect_set("b")).alias("bs"))  # levels, not rows
-    grid = counts.groupBy("a").agg(F.sum("n").alias("fila")).select("a", "fila", F.explode(levels.scalar()).alias("b"))
+
+
+def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, n, pct_fila): long form over rows where both are known, empty cells included.
+
+    The table is a report of a x b lines.  Levels meet through joins, so none of them is gathered.
+    """
+    counts = materialised(cell_counts(df, a, b), "cells")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counts.groupBy("a").agg(F.sum("n").alias("fila")).withColumn("_part", F.pmod(F.xxhash64("a"), F.lit(parts).cast("long")))
+    columns = counts.select("b").distinct().select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"))
+    grid = rows.join(columns, "_part").drop("_part")
     return grid.join(counts, ["a", "b"], "left").select(
         "a", "b", F.coalesce("n", F.lit(0)).alias("n"), (100 * F.coalesce("n", F.lit(0)) / F.col("fila")).alias("pct_fila")
     )
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(n, filas, columnas, chi2, gl, v_cramer); Yates' correction only with one degree of freedom."""
-    cells = contingency(df, a, b)
-    rows, cols = Window.partitionBy("a"), Window.partitionBy("b")
-    total = cells.agg(F.sum("n")).scalar()
-    margins = cells.select("n", "a", "b", (F.sum("n").over(rows) * F.sum("n").over(cols) / total).alias("e"))
-    gap = F.abs(F.col("n") - F.col("e"))
-    sums = margins.agg(
-        F.sum("n").alias("n"), F.count_distinct("a").alias("filas"), F.count_distinct("b").alias("columnas"),
-        F.sum(gap * gap / F.col("e")).alias("_plain"),
-        F.sum(F.pow(gap - F.least(gap, F.lit(0.5)), 2) / F.col("e")).alias("_yates"),
-    ).withColumn("gl", (F.col("filas") - 1) * (F.col("columnas") - 1))
-    return sums.withColumn("chi2", F.when(F.col("gl") == 1, F.col("_yates")).otherwise(F.col("_plain"))).select(
+    """(n, filas, columnas, chi2, gl, v_cramer); Yates' correction only with one degree of freedom.
+
+    Only cells that hold rows are looked at: with o rows in a cell of margins r and c, the statistic is
+    n (sum o^2 / (r c) - 1), taken as a sum of deviations.  Margins come by join, so levels may be many.
+    """
+    counts = materialised(cell_counts(df, a, b), "cells")
+    of_a, of_b = counts.groupBy("a").agg(F.sum("n").alias("r")), counts.groupBy("b").agg(F.sum("n").alias("c"))
+    total = counts.agg(F.sum("n")).scalar()
+    cells = counts.join(of_a, "a").join(of_b, "b").select("n", (F.col("r") * F.col("c") / total).alias("e"))
+    # cells without rows deviate by their expectation: n less what the others expect
+    gap = F.col("n") - F.col("e")
+    sums = cells.agg(
+        F.sum("n").alias("n"), (F.sum(gap * gap / F.col("e")) + F.sum("n") - F.sum("e")).alias("_plain"),
+        # of four cells with the same deviation, one that holds rows gives it, and all expectations follow from margins
+        F.first(F.abs(gap)).alias("_gap"))
+    shape = of_a.agg(F.count("*").alias("filas"), F.sum(1 / F.col("r")).alias("_ir")).select("*", F.lit(1).alias("_k")).join(
+        of_b.agg(F.count("*").alias("columnas"), F.sum(1 / F.col("c")).alias("_ic")).withColumn("_k", F.lit(1)), "_k").join(
+        sums.withColumn("_k", F.lit(1)), "_k")
+    yates = F.pow(F.col("_gap") - F.least("_gap", F.lit(0.5)), 2) * F.col("n") * F.col("_ir") * F.col("_ic")
+    return shape.withColumn("gl", (F.col("filas") - 1) * (F.col("columnas") - 1)).withColumn(
+        "chi2", F.when(F.col("gl") == 1, yates).otherwise(F.greatest(F.lit(0.0), F.col("_plain")))).select(
         "n", "filas", "columnas", "chi2", "gl",
         F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.least("filas", "columnas") - 1))).alias("v_cramer"),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -97,40 +96,6 @@ def ordered_contributions(contributions: DataFrame, keep: Sequence[str]) -> Data
     return contributions.withColumn("orden", F.row_number().over(order))
 
 
-def shapley_contributions(
-    df: DataFrame, model: Model, features: Sequence[str], baseline: Mapping[str, float], key: str
-) -> DataFrame:
-    """(key, base, prediction, atributo, aporte) for any model with few features.
-
-    Every row is scored on all 2^k mixtures of its own values and the baseline; the weights give
-    the exact Shapley values against that baseline, so base + sum of contributions = prediction.
-    The mixtures are partially summed where they are made, before the shuffle by key.
-    """
-    k = len(features)
-    if k > 12:
-        raise ValueError("exact contributions need at most 12 features")
-    mixed = df.select(key, *features, F.explode(F.sequence(F.lit(0), F.lit((1 << k) - 1))).alias("_mask"))
-    ready = mixed.select(key, "_mask", *[
-        F.when(F.getbit(F.col("_mask"), F.lit(i)) == 1, F.col(c).cast("double")).otherwise(F.lit(float(baseline[c]))).alias(c)
-        for i, c in enumerate(features)
-    ])
-    scored = model.transform(ready)
-    size = F.bit_count(F.col("_mask"))
-    weight_in = F.element_at(F.array(*[F.lit(math.factorial(s - 1) * math.factorial(k - s) / math.factorial(k)) if s else F.lit(0.0) for s in range(k + 1)]), size + 1)
-    weight_out = F.element_at(F.array(*[F.lit(math.factorial(s) * math.factorial(k - s - 1) / math.factorial(k)) if s < k else F.lit(0.0) for s in range(k + 1)]), size + 1)
-    sums = [
-        F.sum(F.when(F.getbit(F.col("_mask"), F.lit(i)) == 1, weight_in).otherwise(-weight_out) * F.col("prediction")).alias(f"_c{i}")
-        for i in range(k)
-    ]
-    per_row = scored.groupBy(key).agg(
-        F.max(F.when(F.col("_mask") == 0, F.col("prediction"))).alias("base"),
-        F.max(F.when(F.col("_mask") == (1 << k) - 1, F.col("prediction"))).alias("prediction"), *sums,
-    )
-    return per_row.select(key, "base", "prediction", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("atributo"), F.col(f"_c{i}").alias("aporte")) for i, c in enumerate(features)
-    ])))
-
-
 def compare_importances(impurity: DataFrame, permutation: DataFrame, contributions: DataFrame) -> DataFrame:
     """(atributo, impureza_pct, permutacion_pct, contribucion_pct); negative permutation counts as 0."""
     positive = permutation.select("atributo", F.greatest(F.col("importancia"), F.lit(0.0)).alias("v"))

@@ -201,18 +201,21 @@ def candidates(target: str, plan: PrepPlan, seed: int = 42) -> dict[str, list[tu
 
 def search(
     df: DataFrame, target: str, plan: PrepPlan, key: str | None = None, folds: int = 5, seed: int = 42,
-    budget: float = 180.0, grid: Mapping[str, Sequence[tuple[str, Fit]]] | None = None,
+    budget: float | None = None, grid: Mapping[str, Sequence[tuple[str, Fit]]] | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Best model by cross-validated MAE within a time budget, and (familia, configuracion, MAE)
-    with the best setting of every family tried.  At least one candidate is always tried."""
+    """Best model by cross-validated MAE, and (familia, configuracion, MAE): the best setting of every family,
+    and with a time ``budget`` in seconds each setting that it left untried, without a MAE.  At least
+    one candidate is always tried."""
     from wardframe.operators.evaluate import cross_validated_mae
 
     grid = grid or candidates(target, plan, seed)
     started, tried, best = time.monotonic(), [], None
     queue = sorted(((i, family, setting, fit) for family, options in grid.items() for i, (setting, fit) in enumerate(options)), key=lambda q: q[0])
+    untried = []
     for _, family, setting, fit in queue:
-        if tried and time.monotonic() - started > budget:
-            break
+        if tried and budget is not None and time.monotonic() - started > budget:
+            untried.append((family, setting, None))
+            continue
         mae = cross_validated_mae(df, fit, target, key, folds, seed)
         tried.append((family, setting, mae))
         if best is None or mae < best[0]:
@@ -221,5 +224,5 @@ def search(
     for family, setting, mae in tried:
         if family not in winners or mae < winners[family][2]:
             winners[family] = (family, setting, mae)
-    table = df.sparkSession.createDataFrame(sorted(winners.values(), key=lambda w: w[2]), "familia string, configuracion string, MAE double")
+    table = df.sparkSession.createDataFrame([*sorted(winners.values(), key=lambda w: w[2]), *untried], "familia string, configuracion string, MAE double")
     return best[1](df), table
