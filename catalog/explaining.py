@@ -276,7 +276,7 @@ def k7(spark, sf):
     return spark.read.parquet(path).select(F.round(F.lit(values[0]), 6).alias("servida"), F.lit(values[1]).alias("sin_columna"), F.lit(values[2]).alias("sin_informe"))
 
 
-@query("k8_batch_rejection")
+@query("k8_batch_rejection", f"SELECT 'fuera_de_rango' AS regla, 'quantity' AS columna, count(*) AS filas_afectadas FROM {_E} AS e WHERE key % 5 = 0")
 def k8(spark, sf):
     _, _, test = heuristic(spark, sf)
     wrong = raw_batch(test.withColumn("quantity", F.when(F.col("key") % 5 == 0, F.lit(5000.0)).otherwise(F.col("quantity"))))

@@ -54,6 +54,15 @@ def h4(spark, sf):
 _Q = "coalesce(quantity, m)"
 
 
+# scaled to unit deviation, a penalty of 1 divides the slope by 1 + 1/n
+@query("h4_ridge_one_predictor", rsql(f"""WITH m AS (SELECT median(quantity) AS m FROM {_T} AS a),
+l AS (SELECT regr_slope(target, {_Q}) * count(*) / (count(*) + 1.0) AS b, avg({_Q}) AS x, avg(target) AS y FROM {_T} AS t, m)
+SELECT key, y + b * ({_Q} - x) AS prediction FROM {_E} AS e, m, l""", "prediction", digits=8))
+def h4one(spark, sf):
+    train, test = sides(spark, sf)
+    return rounded(models.fit_linear(train, TARGET, PrepPlan(numeric=("quantity",)), 1.0).transform(test).select("key", "prediction"), 8)
+
+
 @query("h5_linear_single", rsql(f"""WITH m AS (SELECT median(quantity) AS m FROM {_T} AS a), l AS (SELECT regr_intercept(target, {_Q}) AS a, regr_slope(target, {_Q}) AS b FROM {_T} AS t, m)
 SELECT key, a + b * {_Q} AS prediction FROM {_E} AS e, m, l""", "prediction"))
 def h5(spark, sf):

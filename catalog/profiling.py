@@ -49,9 +49,20 @@ def e4(spark, sf):
     return profile.flag_outliers(order_frame(spark, sf), ["quantity", "target"]).groupBy("atipico").agg(F.count("*").alias("n"))
 
 
-@query("e5_normality")
+_POWERS = " UNION ALL ".join(f"""SELECT '{c}' AS columna, count({c})::DOUBLE AS n, avg(({c} - m) ** 2) AS m2, avg(({c} - m) ** 3) AS m3, avg(({c} - m) ** 4) AS m4
+FROM (SELECT {c}, avg({c}) OVER () AS m FROM {FRAME} AS f) AS s""" for c in ("quantity", "discount", "target"))
+_K2 = f"""WITH p AS ({_POWERS}), g AS (SELECT columna, n, m3 / m2 ** 1.5 AS g, m4 / m2 ** 2 AS b FROM p),
+a AS (SELECT *, g * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y, -1 + sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) AS w,
+(b - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))) AS x,
+6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS s FROM g),
+z AS (SELECT columna, n, y / sqrt(2 / (w - 1)) AS t, 1 / sqrt(0.5 * ln(w)) AS d, x, 6 + 8 / s * (2 / s + sqrt(1 + 4 / (s * s))) AS h FROM a),
+k AS (SELECT columna, n, (d * ln(t + sqrt(t * t + 1))) ** 2 + (((1 - 2 / (9 * h)) - cbrt((1 - 2 / h) / (1 + x * sqrt(2 / (h - 4))))) / sqrt(2 / (9 * h))) ** 2 AS k2 FROM z)
+SELECT columna, CAST(n AS BIGINT) AS n, k2, exp(-k2 / 2) AS p_valor, exp(-k2 / 2) <= 0.05 AS rechaza FROM k"""
+
+
+@query("e5_normality", rsql(_K2, "k2", "p_valor", digits=5))
 def e5(spark, sf):
-    return profile.normality_test(order_frame(spark, sf), ["quantity", "discount", "target"])
+    return rounded(profile.normality_test(order_frame(spark, sf), ["quantity", "discount", "target"]), 5)
 
 
 @query("e6_frequency_table", rsql(f"SELECT level AS nivel, count(*) AS n, CASE WHEN level IS NOT NULL THEN 100.0 * count(*) / (SELECT count(level) FROM {FRAME} AS g) END AS pct FROM {FRAME} AS f GROUP BY level", "pct"))
@@ -188,9 +199,15 @@ def f9(spark, sf):
     return rounded(asso.chi_square(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus"))
 
 
-@query("f9_chi_square_p")
+# with 8 degrees of freedom the tail is a finite sum
+_CHI_P = f"""SELECT chi2, gl, exp(-chi2 / 2) * (1 + chi2 / 2 + (chi2 / 2) ** 2 / 2 + (chi2 / 2) ** 3 / 6) AS p_valor FROM (
+SELECT sum((n - e) * (n - e) / e) AS chi2, 8::BIGINT AS gl FROM (
+SELECT n, sum(n) OVER (PARTITION BY a) * sum(n) OVER (PARTITION BY b)::DOUBLE / sum(n) OVER () AS e FROM {_CELLS} AS c) AS m) AS t"""
+
+
+@query("f9_chi_square_p", rsql(_CHI_P, "chi2", "p_valor"))
 def f9p(spark, sf):
-    return asso.chi_square_test(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    return rounded(asso.chi_square_test(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus").select("chi2", "gl", "p_valor"))
 
 
 @query("f10_means_by_level", rsql(f"SELECT level, avg(quantity) AS quantity, avg(discount) AS discount, avg(target) AS target FROM {FRAME} AS f WHERE level IS NOT NULL GROUP BY level", "quantity", "discount", "target", digits=2))
@@ -198,6 +215,12 @@ def f10(spark, sf):
     return asso.means_by_level(order_frame(spark, sf), "level", ["quantity", "discount", "target"])
 
 
+@query("f11_vif_of_two", rsql(f"""WITH r AS (SELECT corr(quantity, tax) ** 2 AS r2 FROM {FRAME} AS f WHERE quantity IS NOT NULL)
+SELECT v AS variable, r2 AS r2_contra_las_demas, 1 / (1 - r2) AS vif FROM r, (VALUES ('quantity'), ('tax')) AS n(v)""", "r2_contra_las_demas", "vif", digits=4))
+def f11two(spark, sf):
+    return rounded(asso.variance_inflation(order_frame(spark, sf), ["quantity", "tax"], decimals=9), 4)
+
+
 @query("f11_vif")
 def f11(spark, sf):
     rows = order_frame(spark, sf).withColumn("mezcla", F.col("quantity") + 300 * F.col("tax") + 10 * F.col("target"))

@@ -110,6 +110,21 @@ def d8(spark, sf):
     return rounded(split.check_null_drift(drifted(spark, sf), PREDICTORS).drop("detalle"))
 
 
+_AUC = f"""WITH f AS (SELECT key, CAST(split = 'test' AS INTEGER) AS label, coalesce(quantity, (SELECT median(quantity) FROM {DRIFTED} AS m)) AS x FROM {DRIFTED} AS d),
+o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql_hash('key', 'domain42')}) AS i, count(*) OVER (PARTITION BY label) AS n FROM f),
+k AS (SELECT label, x, (i > ceil(n / 3.0))::INTEGER + (i > ceil(n * 2 / 3.0))::INTEGER AS fold FROM o),
+r AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY x) + (count(*) OVER (PARTITION BY fold, x) - 1) / 2.0 AS rk FROM k),
+a AS (SELECT fold, sum(rk) FILTER (label = 1) AS s, CAST(sum(label) AS DOUBLE) AS p, CAST(count(*) - sum(label) AS DOUBLE) AS q FROM r GROUP BY fold)
+SELECT avg((s - p * (p + 1) / 2) / (p * q)) AS auc FROM a"""
+
+
+@query("d9_domain_one_predictor", rsql(_AUC, "auc", digits=9))
+def d9one(spark, sf):
+    """With one predictor the classifier ranks rows as the predictor does."""
+    frame = written(drifted(spark, sf))
+    return rounded(spark.createDataFrame([(split.domain_auc(frame, ["quantity"], "key"),)], "auc double"), 9)
+
+
 @query("d9_domain_classifier")
 def d9(spark, sf):
     clean_side = split.check_domain(written(split_frame(spark, sf)), ["quantity", "discount", "tax"], "key")
@@ -131,9 +146,11 @@ def d10(spark, sf):
     return rounded(split.split_report(written(drifted(spark, sf)), "key", TARGET, PREDICTORS, ["level", "open"], domain=False).drop("detalle"))
 
 
-@query("d11_split_gate")
+@query("d11_split_gate", f"""WITH r AS ({_REPORT}), c AS (SELECT count(*) FILTER (severidad = 'error') AS e, count(*) FILTER (severidad <> 'ok') AS w FROM r)
+SELECT severidad, count(*) AS n, CASE WHEN any_value(e) = 0 THEN 'pasa' ELSE 'detenida: ' || any_value(e) END AS normal,
+CASE WHEN any_value(w) = 0 THEN 'pasa' ELSE 'detenida: ' || any_value(w) END AS estricta FROM r, c GROUP BY severidad""")
 def d11(spark, sf):
-    report = split.split_report(written(drifted(spark, sf)), "key", TARGET, ["quantity", "discount", "tax"], ["level"], domain=False)
+    report = split.split_report(written(drifted(spark, sf)), "key", TARGET, PREDICTORS, ["level", "open"], domain=False)
     outcomes = []
     for strict in (False, True):
         try:
