@@ -9,7 +9,7 @@ from catalog.base import (
 )
 from wardframe.functions.cleaning import NULL_SENTINELS
 from wardframe.operators import clean
-from wardframe.operators.contracts import ColumnRule, Contract, ContractError, gate
+from wardframe.operators.contracts import Contract, ContractError, column, gate
 from wardframe.operators.models import fit_linear
 from wardframe.operators.prep import PrepPlan
 from wardframe.sources import tabular
@@ -80,9 +80,8 @@ def a1(spark, sf):
 
 @query("a2_contracted_scan", "SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_returnflag")
 def a2(spark, sf):
-    contract = Contract(columns={
-        "l_discount": ColumnRule(types=("double",), value_range=(0, 1), max_nulls=0.0), "l_quantity": ColumnRule(types=("double",), value_range=(1, 50)),
-    }, allow_extra=True)
+    contract = Contract(
+        column("l_discount", types=("double",), within=(0, 1), nulls=0.0), column("l_quantity", types=("double",), within=(1, 50)), open_schema=True)
     rows = tabular.read_contracted(spark, f"{sf}/lineitem.parquet", contract)
     return rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
@@ -104,7 +103,7 @@ UNION ALL SELECT 'rechazada', count(*), sum(CAST(round(o_totalprice*100) AS BIGI
 def a4(spark, sf):
     orders, path = table(spark, sf, "orders"), f"{scratch_path(spark, 'gated')}.parquet"
     tabular.write_gated(orders, path)
-    wrong = Contract(columns={"o_totalprice": ColumnRule(value_range=(0, 1))}, allow_extra=True)
+    wrong = Contract(column("o_totalprice", within=(0, 1)), open_schema=True)
     outcome = "aceptada"
     try:
         tabular.write_gated(orders.limit(0).union(orders), path, [lambda df: gate(df, wrong)])
@@ -217,6 +216,21 @@ def b7(spark, sf):
     return clean.lost_in_typing(unified(spark, sf), TYPING)
 
 
+_LARGE = "(9007199254740993 + o_orderkey)"
+
+
+@query("b7_large_integers", f"""SELECT count(*) AS n, CAST(sum({_LARGE} % 1000003) AS BIGINT) AS resto, count(*) FILTER (o_orderkey % 5 <> 4) AS validos FROM orders WHERE o_orderkey % 5 <> 4
+UNION ALL SELECT count(*), NULL, 0 FROM orders WHERE o_orderkey % 5 = 4""")
+def b7large(spark, sf):
+    """Whole numbers beyond 2^53 keep every digit, with and without a zero fraction; halves are refused."""
+    key = F.lit(9007199254740993) + F.col("o_orderkey")
+    step = F.col("o_orderkey") % 5
+    text = F.when(step == 4, F.concat(key.cast("string"), F.lit(".5"))).when(step == 3, F.concat(key.cast("string"), F.lit(".0"))).otherwise(key.cast("string"))
+    typed = clean.typed_columns(table(spark, sf, "orders").select(step.alias("step"), text.alias("v")), clean.Typing(integers=("v",)))
+    return typed.groupBy((F.col("step") == 4).alias("g")).agg(
+        F.count("*").alias("n"), F.sum(F.col("v") % 1000003).alias("resto"), F.count("v").alias("validos")).drop("g")
+
+
 @query("b7_typed_columns", rsql(f"""SELECT flag, CASE WHEN open = '1' THEN true WHEN open = '0' THEN false END AS open, count(*) AS n,
 CAST(sum(CASE WHEN supplier <> '12.5' THEN CAST(supplier AS BIGINT) END) AS BIGINT) AS supplier, sum(CASE WHEN quantity <> '1d' THEN CAST(quantity AS DOUBLE) END) AS quantity
 FROM (SELECT * REPLACE (CASE WHEN flag IN ('A','N') THEN flag END AS flag) FROM {UNIFIED} AS u) AS t GROUP BY 1, 2""", "quantity"))

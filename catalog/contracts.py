@@ -27,17 +27,14 @@ FAULTY = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN l
  CASE WHEN l_linenumber <> 1 THEN l_tax END AS tax, l_returnflag AS flag FROM lineitem)"""
 
 CONTRACT = co.Contract(
-    columns={
-        "quantity": co.ColumnRule(types=("double",), value_range=(1, 45), max_nulls=0.10),
-        "discount": co.ColumnRule(types=("double",), value_range=(0, 0.1), max_nulls=0.0),
-        "level": co.ColumnRule(types=("double",), categories=(0, 1, 2)),
-        "tax": co.ColumnRule(types=("double",), max_nulls=0.05),
-    },
-    allow_extra=True, min_known_per_row=6,
-    relations=(
-        co.Relation("impuesto_menor", "tax is below discount plus 0.05", ("tax", "discount"), lambda: F.col("tax") < F.col("discount") + 0.05),
-        co.Relation("ausente", "needs a column that is not here", ("nope",), lambda: F.col("nope") > 0),
-    ),
+    co.column("quantity", types=("double",), within=(1, 45), nulls=0.10),
+    co.column("discount", types=("double",), within=(0, 0.1), nulls=0.0),
+    co.column("level", types=("double",), among=(0, 1, 2)),
+    co.column("tax", types=("double",), nulls=0.05),
+    co.enough_known(6),
+    co.holds("impuesto_menor", "tax is below discount plus 0.05", ("tax", "discount"), lambda: F.col("tax") < F.col("discount") + 0.05),
+    co.holds("ausente", "needs a column that is not here", ("nope",), lambda: F.col("nope") > 0),
+    open_schema=True,
 )
 
 COUNTS = f"""SELECT 'exceso_de_nulos' AS regla, 'quantity' AS columna, count(*) AS filas, count(*) FILTER (quantity IS NULL) AS filas_afectadas, avg((quantity IS NULL)::INTEGER) <= 0.10 AS cumple FROM {FAULTY} AS t
@@ -65,7 +62,7 @@ def c11r(spark, sf):
 (VALUES ('columna_faltante', 'falta'), ('columna_inesperada', '')) AS v(regla, columna) GROUP BY regla, columna""")
 def c1(spark, sf):
     orders = table(spark, sf, "orders")
-    contract = co.Contract(columns={**{c: co.ColumnRule(max_nulls=1.0) for c in orders.columns[1:]}, "falta": co.ColumnRule(), "opcional": co.ColumnRule(required=False)})
+    contract = co.Contract(*(co.column(c, nulls=1.0) for c in orders.columns[1:]), co.column("falta"), co.column("opcional", optional=True))
     n = orders.agg(F.count("*")).scalar()
     return co.review(orders, contract).select("regla", "columna", (n > 0).alias("leido"))
 
@@ -73,42 +70,42 @@ def c1(spark, sf):
 @query("c2_type_check", "SELECT 'tipo_inesperado' AS regla, 'o_orderkey' AS columna, count(*) > 0 AS leido FROM orders")
 def c2(spark, sf):
     orders = table(spark, sf, "orders")
-    contract = co.Contract(columns={"o_orderkey": co.ColumnRule(types=("int", "string")), "o_totalprice": co.ColumnRule(types=("double",))}, allow_extra=True)
+    contract = co.Contract(co.column("o_orderkey", types=("int", "string")), co.column("o_totalprice", types=("double",)), open_schema=True)
     n = orders.agg(F.count("*")).scalar()
     return co.review(orders, contract).select("regla", "columna", (n > 0).alias("leido"))
 
 
 @query("c3_null_share", f"SELECT 'tax' AS columna, count(*) FILTER (tax IS NULL) AS filas_afectadas FROM {FAULTY} AS t HAVING avg((tax IS NULL)::INTEGER) > 0.1")
 def c3(spark, sf):
-    contract = co.Contract(columns={"tax": co.ColumnRule(max_nulls=0.1), "quantity": co.ColumnRule(max_nulls=0.9), "discount": co.ColumnRule(max_nulls=0.0)}, allow_extra=True)
+    contract = co.Contract(co.column("tax", nulls=0.1), co.column("quantity", nulls=0.9), co.column("discount", nulls=0.0), open_schema=True)
     return co.review(faulty_lines(spark, sf), contract).select("columna", "filas_afectadas")
 
 
 @query("c4_range_examples", f"""SELECT 'quantity' AS columna, string_agg(CAST(quantity AS VARCHAR), ', ' ORDER BY quantity) AS ejemplos
 FROM (SELECT DISTINCT quantity FROM {FAULTY} AS t WHERE quantity > 40 ORDER BY quantity LIMIT 5) AS d""")
 def c4(spark, sf):
-    contract = co.Contract(columns={"quantity": co.ColumnRule(value_range=(1, 40))}, allow_extra=True)
+    contract = co.Contract(co.column("quantity", within=(1, 40)), open_schema=True)
     return co.rule_examples(faulty_lines(spark, sf), contract).select("columna", "ejemplos")
 
 
 @query("c5_closed_set", f"SELECT 'level' AS columna, '9.0' AS ejemplos, count(*) AS filas_afectadas FROM {FAULTY} AS t WHERE level = 9")
 def c5(spark, sf):
-    contract = co.Contract(columns={"level": co.ColumnRule(categories=(0, 1, 2), max_nulls=1.0)}, allow_extra=True)
+    contract = co.Contract(co.column("level", among=(0, 1, 2), nulls=1.0), open_schema=True)
     rows = faulty_lines(spark, sf)
     return co.rule_examples(rows, contract).join(co.review(rows, contract, examples=False).select("columna", "filas_afectadas"), "columna").select("columna", "ejemplos", "filas_afectadas")
 
 
 _DATES = """(SELECT CASE WHEN event_id % 10 = 0 THEN '2024-13-45' WHEN event_id % 10 = 1 THEN strftime(ts, '%d/%m/%Y')
- WHEN event_id % 10 = 2 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS fecha FROM events)"""
+ WHEN event_id % 10 = 2 THEN NULL WHEN event_id % 10 = 3 THEN year(ts) || '-' || month(ts) || '-' || day(ts) ELSE strftime(ts, '%Y-%m-%d') END AS fecha FROM events)"""
 
 
 @query("c6_date_format", f"SELECT 'formato_de_fecha_invalido' AS regla, 'fecha' AS columna, count(*) AS filas_afectadas FROM {_DATES} AS d WHERE fecha IS NOT NULL AND try_strptime(fecha, '%Y-%m-%d') IS NULL")
 def c6(spark, sf):
     step = F.col("event_id") % 10
     dates = table(spark, sf, "events").select(
-        F.when(step == 0, F.lit("2024-13-45")).when(step == 1, F.date_format("ts", "dd/MM/yyyy")).when(step == 2, F.lit(None)).otherwise(
+        F.when(step == 0, F.lit("2024-13-45")).when(step == 1, F.date_format("ts", "dd/MM/yyyy")).when(step == 2, F.lit(None)).when(step == 3, F.date_format("ts", "yyyy-M-d")).otherwise(
             F.date_format("ts", "yyyy-MM-dd")).alias("fecha"))
-    contract = co.Contract(columns={"fecha": co.ColumnRule(date_format="%Y-%m-%d", max_nulls=0.5)})
+    contract = co.Contract(co.column("fecha", dates="%Y-%m-%d", nulls=0.5))
     return co.review(dates, contract).drop("detalle")
 
 
@@ -125,7 +122,7 @@ def c8(spark, sf):
 
 @query("c9_min_known", f"SELECT 'fila_sin_informacion' AS regla, count(*) AS filas_afectadas FROM {FAULTY} AS t WHERE quantity IS NULL OR tax IS NULL")
 def c9(spark, sf):
-    return co.review(faulty_lines(spark, sf), co.Contract(columns={}, allow_extra=True, min_known_per_row=7)).select("regla", "filas_afectadas")
+    return co.review(faulty_lines(spark, sf), co.Contract(co.enough_known(7), open_schema=True)).select("regla", "filas_afectadas")
 
 
 _NEAR = "abs(discount + tax - total) <= 1e-9 OR discount IS NULL OR tax IS NULL"
@@ -137,16 +134,16 @@ UNION ALL SELECT 'relacion_incumplida', 'quantity, tax', count(*) FROM {FAULTY}
 def c10(spark, sf):
     rows = faulty_lines(spark, sf).withColumn("total", F.col("discount") + F.col("tax") + F.when(F.col("l_linenumber") == 2, 0.5).otherwise(0.0))
     agree = lambda: (F.abs(F.col("discount") + F.col("tax") - F.col("total")) <= 1e-9) | F.col("discount").isNull() | F.col("tax").isNull()
-    contract = co.Contract(columns={}, allow_extra=True, relations=(
-        co.Relation("total", "total adds up", ("discount", "tax", "total"), agree),
-        co.Relation("orden", "null is a failure", ("quantity", "tax"), lambda: F.col("quantity") > F.col("tax"))))
+    contract = co.Contract(
+        co.holds("total", "total adds up", ("discount", "tax", "total"), agree),
+        co.holds("orden", "null is a failure", ("quantity", "tax"), lambda: F.col("quantity") > F.col("tax")), open_schema=True)
     return co.review(rows, contract).drop("detalle")
 
 
 @query("c12_gate", f"SELECT max(filas) AS filas, count(*) FILTER (NOT cumple) AS reglas FROM ({COUNTS}) AS c")
 def c12(spark, sf):
     rows = faulty_lines(spark, sf)
-    passed = co.gate(rows, co.Contract(columns={"discount": co.ColumnRule(max_nulls=0.0)}, allow_extra=True))
+    passed = co.gate(rows, co.Contract(co.column("discount", nulls=0.0), open_schema=True))
     try:
         co.gate(rows, CONTRACT)
         broken = 0

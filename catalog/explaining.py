@@ -11,7 +11,7 @@ from catalog.splitting import sides
 from wardframe.functions.cleaning import NULL_SENTINELS
 from wardframe.operators import explain, models, prep, score
 from wardframe.operators.clean import Typing
-from wardframe.operators.contracts import ColumnRule, Contract, ContractError, Relation
+from wardframe.operators.contracts import Contract, ContractError, column, holds
 from wardframe.operators.evaluate import regression_metrics
 from wardframe.operators.prep import PREFIX, PrepPlan
 from wardframe.operators.treepaths import tree_contributions
@@ -195,6 +195,13 @@ def j8(spark, sf):
     return rounded(explain.single_predictor_ranking(numbers, ["quantity", "discount", "tax"], ["level", "open"], TARGET, "key"))
 
 
+@query("j8_far_from_zero", f"SELECT 'x' AS columna, 0.0 AS MAE, 0.0 AS desviacion FROM {_T} AS t WHERE quantity IS NOT NULL HAVING count(*) > 0")
+def j8far(spark, sf):
+    """A predictor near 1e8 that explains the target fully leaves no error."""
+    train = sides(spark, sf)[0].where("quantity is not null").select("key", (F.lit(1e8) + F.col("quantity")).alias("x"), F.col("quantity").alias("y"))
+    return rounded(explain.single_predictor_ranking(train, ["x"], [], "y", "key"))
+
+
 # --- K ------------------------------------------------------------------------------------
 
 _INTERPRETED = """SELECT key, prediction AS prediccion, CASE WHEN prediction < 0.67 THEN 'ambiciosa' WHEN prediction < 0.79 THEN 'probable' ELSE 'segura' END AS cesta,
@@ -203,12 +210,10 @@ _OUT = ("prediccion", "limite_inferior", "limite_superior")
 
 BATCH_TYPING = Typing(integers=("quantity",), decimals=("discount", "tax"), booleans=("open",), ordinals={"level": LEVELS})
 BATCH_CONTRACT = Contract(
-    columns={
-        "quantity": ColumnRule(types=("bigint",), value_range=(0, 1000), max_nulls=0.5), "discount": ColumnRule(types=("double",), value_range=(0, 1)),
-        "tax": ColumnRule(types=("double",), value_range=(0, 1)), "level": ColumnRule(types=("string",), categories=(1, 2, 3, 4, 5), max_nulls=0.5),
-        "open": ColumnRule(types=("boolean",), categories=(0, 1), max_nulls=0.5),
-    },
-    relations=(Relation("registro_utilizable", "two fields known", ("discount", "tax"), lambda: F.col("discount").isNotNull() | F.col("tax").isNotNull()),),
+        column("quantity", types=("bigint",), within=(0, 1000), nulls=0.5), column("discount", types=("double",), within=(0, 1)),
+        column("tax", types=("double",), within=(0, 1)), column("level", types=("string",), among=(1, 2, 3, 4, 5), nulls=0.5),
+        column("open", types=("boolean",), among=(0, 1), nulls=0.5),
+    holds("registro_utilizable", "two fields known", ("discount", "tax"), lambda: F.col("discount").isNotNull() | F.col("tax").isNotNull()),
 )
 
 

@@ -39,6 +39,13 @@ def h2(spark, sf):
     return rounded(order_frame(spark, sf).select("key", score_column().alias("score")), 8)
 
 
+@query("h2_unreadable_text", rsql(f"""SELECT key, {SCORE.replace("(CAST(level AS DOUBLE)", "(CAST(CASE WHEN key % 7 <> 0 THEN level END AS DOUBLE)").replace("(level IS NOT NULL)", "(level IS NOT NULL AND key % 7 <> 0)")} AS score FROM {FRAME} AS f""", "score", digits=8))
+def h2text(spark, sf):
+    """A level that is no number counts as unknown."""
+    rows = order_frame(spark, sf).withColumn("level", F.when(F.col("key") % 7 != 0, F.col("level")).otherwise(F.lit("nuevo")))
+    return rounded(rows.select("key", F.expr(models.heuristic_sql(SCORE_DOMAINS, dict(rows.dtypes))).alias("score")), 8)
+
+
 @query("h3_recalibrated_heuristic", rsql(scored_cte() + "SELECT key, prediction FROM s", "prediction", digits=9))
 def h3(spark, sf):
     return rounded(heuristic_scored(spark, sf).select("key", "prediction"), 9)

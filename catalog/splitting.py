@@ -118,6 +118,23 @@ a AS (SELECT fold, sum(rk) FILTER (label = 1) AS s, CAST(sum(label) AS DOUBLE) A
 SELECT avg((s - p * (p + 1) / 2) / (p * q)) AS auc FROM a"""
 
 
+@query("d6_null_targets", f"""SELECT 'deriva_del_objetivo' AS chequeo, 'target' AS columna, 'advertencia' AS severidad, count(*) FILTER (key % 4 = 0) AS nulos, CAST(NULL AS DOUBLE) AS estadistico FROM {SPLIT_FRAME} AS f""")
+def d6nulls(spark, sf):
+    """With null targets there is nothing to compare: a warning that says how many."""
+    rows = written(split_frame(spark, sf).withColumn(TARGET, F.when(F.col("key") % 4 != 0, F.col(TARGET))))
+    return split.check_target_drift(rows, TARGET).select(
+        "chequeo", "columna", "severidad", F.regexp_extract("detalle", r"null targets (\d+)", 1).cast("bigint").alias("nulos"), "estadistico")
+
+
+@query("i5_null_targets", f"""SELECT key % 4 = 0 AS sin_objetivo, count(*) AS n FROM {FRAME} AS f GROUP BY 1""")
+def i5nulls(spark, sf):
+    """Rows without a target are a stratum of their own: every row gets a fold, and each fold its share of them."""
+    rows = written(order_frame(spark, sf).withColumn(TARGET, F.when(F.col("key") % 4 != 0, F.col(TARGET))))
+    folds = split.stratified_kfold(rows, "key", TARGET).where("fold is not null").groupBy(F.col(TARGET).isNull().alias("sin_objetivo"), "fold").agg(F.count("*").alias("n"))
+    even = folds.groupBy("sin_objetivo").agg(F.sum("n").alias("n"), (F.max("n") - F.min("n")).alias("gap")).where("not sin_objetivo or gap <= 1")
+    return even.select("sin_objetivo", "n")
+
+
 @query("d9_domain_one_predictor", rsql(_AUC, "auc", digits=9))
 def d9one(spark, sf):
     """With one predictor the classifier ranks rows as the predictor does."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Model
@@ -324,11 +326,8 @@ def long_metrics(metrics: DataFrame) -> DataFrame:
 
 def compare_scenarios(validation: DataFrame, test_metrics: DataFrame) -> DataFrame:
     """Train, cross-validation and test side by side; ``test_metrics`` is (metrica, valor)."""
-    joined = validation.join(F.broadcast(test_metrics.select("metrica", F.col("valor").alias("prueba"))), "metrica", "left")
-    with_gap = joined.withColumn("diferencia_cv_prueba", F.col("prueba") - F.col("validacion_cruzada"))
-    order = ["metrica", "entrenamiento", "validacion_cruzada", "desviacion_cv", "prueba", "brecha_train_cv",
-             "diferencia_cv_prueba", "validador", "pliegues", "repeticiones", "semilla"]
-    return with_gap.select(*[c for c in order if c in with_gap.columns])
+    held_out = F.broadcast(test_metrics.select("metrica", F.col("valor").alias("prueba")))  # one row per metric
+    return validation.join(held_out, "metrica", "left").withColumn("diferencia_cv_prueba", F.col("prueba") - F.col("validacion_cruzada"))
 
 
 def validation_summary(comparison: DataFrame) -> DataFrame:
@@ -339,60 +338,50 @@ def validation_summary(comparison: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Aspect:
+    """One question about a model: a figure and what it means from each limit on, worst first."""
+
+    name: str
+    figure: Callable[[Mapping[str, Column]], Column]
+    limits: tuple[tuple[float, str, str], ...]  # at least, verdict, advice
+    otherwise: str
+    shown: tuple[str, ...]
+
+
+def _above(limit: float) -> float:
+    """The least figure over a limit that is itself allowed."""
+    return math.nextafter(limit, math.inf)
+
+
+# Aspects and verdicts.
+ASPECTS = (
+    Aspect("sobreajuste", lambda f: F.try_divide(f["cv"] - f["train"], f["cv"]), (
+        (OVERFIT, "sobreajuste", "training error says little here: simplify the model before using it"),
+        (OVERFIT_MILD, "sobreajuste leve", "usable if validation still beats the reference by far; look again after each change")),
+        "ajuste adecuado", ("train", "cv")),
+    Aspect("subajuste", lambda f: UNDERFIT_R2 - f["r2"], ((_above(0.0), "subajuste", "most of the target is unexplained: add information or let the model bend"),), "capacidad suficiente", ("r2",)),
+    Aspect("estabilidad", lambda f: F.try_divide(f["spread"], f["cv"]), ((_above(UNSTABLE), "inestable", "the folds disagree: a single figure is no basis for a choice"),), "estable", ("spread", "cv")),
+    Aspect("degradacion_cv_prueba", lambda f: F.try_divide(F.abs(f["test"] - f["cv"]), f["cv"]), (
+        (_above(DEGRADED), "la prueba no confirma la validacion", "trust the validation figure and redraw the split to see whether it lasts"),), "coherente", ("cv", "test")),
+)
+_FIGURES = {"train": ("MAE", "entrenamiento"), "cv": ("MAE", "validacion_cruzada"), "test": ("MAE", "prueba"), "spread": ("MAE", "desviacion_cv"), "r2": ("R2", "validacion_cruzada")}
+
+
 def diagnose(comparison: DataFrame) -> DataFrame:
     """(aspecto, veredicto, evidencia, accion_recomendada): does it memorise, learn, hold steady and
     does the test confirm it?  Missing or zero figures never produce an alarm."""
-    def pick(metric: str, column: str) -> Column:
-        value = F.max(F.when(F.col("metrica") == metric, F.col(column)))
-        return F.nanvl(value, F.lit(None))
+    line = comparison.agg(*[F.nanvl(F.max(F.when(F.col("metrica") == metric, F.col(c))), F.lit(None)).alias(name) for name, (metric, c) in _FIGURES.items()])
+    figures = {name: F.col(name) for name in _FIGURES}
 
-    line = comparison.agg(
-        pick("MAE", "entrenamiento").alias("tr"), pick("MAE", "validacion_cruzada").alias("cv"),
-        pick("MAE", "prueba").alias("te"), pick("MAE", "desviacion_cv").alias("sd"), pick("R2", "validacion_cruzada").alias("r2"),
-    )
-    tr, cv, te, sd, r2 = (F.col(c) for c in ("tr", "cv", "te", "sd", "r2"))
-    gap = F.coalesce(F.try_divide(cv - tr, cv), F.lit(0.0))
-    noise = F.coalesce(F.try_divide(sd, cv), F.lit(0.0))
-    drop = F.coalesce(F.try_divide(F.abs(te - cv), cv), F.lit(0.0))
-    under = F.coalesce(r2 < UNDERFIT_R2, F.lit(False))
-
-    def show(value: Column) -> Column:
-        return F.coalesce(F.format_number(value, 4), F.lit("n/a"))
-
-    def entry(aspect: str, verdict: Column, evidence: Column, action: Column) -> Column:
-        return F.struct(F.lit(aspect).alias("aspecto"), verdict.alias("veredicto"), evidence.alias("evidencia"), action.alias("accion_recomendada"))
-
-    def choose(*options: tuple[Column, str], default: str) -> Column:
-        result = F.lit(default)
-        for condition, text in reversed(options):
-            result = F.when(condition, F.lit(text)).otherwise(result)
-        return result
-
-    # Aspects and verdicts.
-    return line.select(F.inline(F.array(
-        entry(
-            "sobreajuste",
-            choose((gap >= OVERFIT, "sobreajuste"), (gap >= OVERFIT_MILD, "sobreajuste leve"), default="ajuste adecuado"),
-            F.concat(F.lit("MAE train "), show(tr), F.lit(", cv "), show(cv), F.lit(", relative gap "), show(gap)),
-            choose((gap >= OVERFIT, "limit the capacity, regularise or get more data"),
-                   (gap >= OVERFIT_MILD, "watch it; acceptable when cross-validation clearly beats the reference"), default="none"),
-        ),
-        entry(
-            "subajuste", choose((under, "subajuste"), default="capacidad suficiente"),
-            F.concat(F.lit("R2 cv "), show(r2), F.lit(f", limit {UNDERFIT_R2}")),
-            choose((under, "more capacity, better features or another preparation"), default="none"),
-        ),
-        entry(
-            "estabilidad", choose((noise > UNSTABLE, "inestable"), default="estable"),
-            F.concat(F.lit("deviation "), show(sd), F.lit(", relative "), show(noise)),
-            choose((noise > UNSTABLE, "repeat cross-validation more often and get more data"), default="none"),
-        ),
-        entry(
-            "degradacion_cv_prueba", choose((drop > DEGRADED, "la prueba no confirma la validacion"), default="coherente"),
-            F.concat(F.lit("MAE cv "), show(cv), F.lit(", test "), show(te), F.lit(", relative "), show(drop)),
-            choose((drop > DEGRADED, "report the cross-validation figure and try other split seeds"), default="none"),
-        ),
-    )))
+    def entry(aspect: Aspect) -> Column:
+        value, verdict, advice = aspect.figure(figures), F.lit(aspect.otherwise), F.lit("none")
+        for limit, name, text in reversed(aspect.limits):
+            verdict, advice = F.when(value >= limit, F.lit(name)).otherwise(verdict), F.when(value >= limit, F.lit(text)).otherwise(advice)
+        evidence = F.concat_ws(", ", *[F.concat(F.lit(f"{n} "), F.coalesce(F.format_number(figures[n], 4), F.lit("unknown"))) for n in aspect.shown])
+        return F.struct(F.lit(aspect.name).alias("aspecto"), verdict.alias("veredicto"), evidence.alias("evidencia"), advice.alias("accion_recomendada"))
+
+    return line.select(F.inline(F.array(*map(entry, ASPECTS))))
 
 
 # --- error breakdowns ---------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardframe.functions.cleaning import known_count
 from wardframe.operators.clean import Typing, mean_of_scaled, mean_of_two, product
-from wardframe.operators.contracts import ColumnRule, Contract, Relation
+from wardframe.operators.contracts import Contract, Rule, column, distinct_rows, holds
 from wardframe.operators.prep import PrepPlan
 
 # --- Fixed values: columns, domains and levels of the admissions tables -------------------
@@ -59,16 +59,16 @@ def derived_columns() -> dict[str, Column]:
     }
 
 
-USABLE_RECORD = Relation(
+USABLE_RECORD = holds(
     "registro_utilizable", f"at least {MIN_KNOWN_PREDICTORS} of {len(PREDICTORS)} predictors are known", PREDICTORS,
     lambda: _known(PREDICTORS, MIN_KNOWN_PREDICTORS),
 )
-ACADEMIC_PROFILE = Relation(
+ACADEMIC_PROFILE = holds(
     "perfil_academico_minimo", "one of gre_score, toefl_score and cgpa is known", ("gre_score", "toefl_score", "cgpa"),
     lambda: _known(("gre_score", "toefl_score", "cgpa"), 1),
 )
 COHERENT = tuple(
-    Relation(f"{name}_coherente", f"{name} follows its formula", (*inputs, name), lambda name=name: _agrees(derived_columns()[name], name))
+    holds(f"{name}_coherente", f"{name} follows its formula", (*inputs, name), lambda name=name: _agrees(derived_columns()[name], name))
     for name, inputs in (
         ("sop_lor_media", ("sop", "lor")),
         ("rating_x_research", ("university_rating", "research")),
@@ -77,19 +77,10 @@ COHERENT = tuple(
 )
 
 
-def _rules(number_type: dict[str, str], with_target: bool) -> dict[str, ColumnRule]:
-    rules = {}
-    for c in PREDICTORS:
-        kind = (number_type[c],)
-        if c == "university_rating":
-            rules[c] = ColumnRule(types=kind, categories=RATING_CODES)
-        elif c == "research":
-            rules[c] = ColumnRule(types=kind, categories=(0.0, 1.0))
-        else:
-            rules[c] = ColumnRule(types=kind, value_range=RANGES[c])
-    if with_target:
-        rules[TARGET] = ColumnRule(types=("double",), value_range=RANGES[TARGET], max_nulls=0.0)
-    return rules
+def _rules(number_type: dict[str, str], with_target: bool) -> list[Rule]:
+    codes = {"university_rating": RATING_CODES, "research": (0.0, 1.0)}
+    rules = [rule for c in PREDICTORS for rule in column(c, types=(number_type[c],), among=codes.get(c), within=None if c in codes else RANGES[c])]
+    return rules + (column(TARGET, types=("double",), within=RANGES[TARGET], nulls=0.0) if with_target else [])
 
 
 _TYPED = {
@@ -97,16 +88,14 @@ _TYPED = {
     "cgpa": "double", "research": "boolean",
 }
 
-SOURCE_CONTRACT = Contract(columns=_rules(_TYPED, True), unique_rows=True, relations=(USABLE_RECORD, ACADEMIC_PROFILE))
-ENTRY_CONTRACT = Contract(columns=_rules(_TYPED, False), relations=(USABLE_RECORD,))
+SOURCE_CONTRACT = Contract(_rules(_TYPED, True), distinct_rows(), USABLE_RECORD, ACADEMIC_PROFILE)
+ENTRY_CONTRACT = Contract(_rules(_TYPED, False), USABLE_RECORD)
 FEATURE_CONTRACT = Contract(
-    columns={
-        **_rules(dict.fromkeys(PREDICTORS, "double"), True),
-        "indice_academico": ColumnRule(types=("double",), required=False),
-        "sop_lor_media": ColumnRule(types=("double",), value_range=(1, 5), required=False),
-        "rating_x_research": ColumnRule(types=("double",), value_range=(0, 5), required=False),
-    },
-    unique_rows=True, relations=(USABLE_RECORD, ACADEMIC_PROFILE, *COHERENT),
+    _rules(dict.fromkeys(PREDICTORS, "double"), True),
+    column("indice_academico", types=("double",), optional=True),
+    column("sop_lor_media", types=("double",), within=(1, 5), optional=True),
+    column("rating_x_research", types=("double",), within=(0, 5), optional=True),
+    distinct_rows(), USABLE_RECORD, ACADEMIC_PROFILE, *COHERENT,
 )
 
 PREP = PrepPlan(

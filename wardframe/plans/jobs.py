@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -79,7 +79,7 @@ def training_job(
     """
     if scheme == "series_temporales" and time is None:
         raise ValueError("series_temporales needs the column that orders the rows")
-    contract = replace(adm.FEATURE_CONTRACT, allow_extra=True) if time else adm.FEATURE_CONTRACT
+    contract = adm.FEATURE_CONTRACT.opened() if time else adm.FEATURE_CONTRACT
     features = with_row_key(tabular.read_contracted(spark, feature_path, contract))
     parted = materialised(split.seeded_split(features, ROW_KEY, share, seed, exact=True), "split")
     predictors = [c for c in features.columns if c not in (adm.TARGET, ROW_KEY, time)]
