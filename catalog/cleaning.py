@@ -109,7 +109,7 @@ def a4(spark, sf):
         tabular.write_gated(orders.limit(0).union(orders), path, [lambda df: gate(df, wrong)])
     except ContractError:
         outcome = "rechazada"  # the table of the first write is still there
-    stored = spark.read.parquet(path).agg(F.count("*").alias("filas"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("centavos"))
+    stored = tabular.read_parquet(spark, path).agg(F.count("*").alias("filas"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("centavos"))
     return stored.select(F.explode(F.array(F.lit("aceptada"), F.lit(outcome))).alias("intento"), "filas", "centavos")
 
 
@@ -131,7 +131,7 @@ def a6(spark, sf):
         "por_estado": orders.groupBy("o_orderstatus").count(), "por_prioridad": orders.groupBy("o_orderpriority").count(),
         "vacio": orders.where(F.lit(False)), "ausente": None,
     }, scratch_path(spark, "reports"))
-    parts = [spark.read.parquet(p).agg(F.lit(name).alias("informe"), F.count("*").alias("filas")) for name, p in written.items()]
+    parts = [tabular.read_parquet(spark, p).agg(F.lit(name).alias("informe"), F.count("*").alias("filas")) for name, p in written.items()]
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
@@ -145,10 +145,8 @@ def a7(spark, sf):
     model = fit_linear(frame, TARGET, plan, 1.0)
     path = scratch_path(spark, "model")
     tabular.save_model(model, path, frame)
-    from pyspark.ml import PipelineModel
-
     first = model.transform(frame).withColumnRenamed("prediction", "first").select(*frame.columns, "first")
-    both = PipelineModel.load(path).transform(first)
+    both = tabular.load_model(spark, path).transform(first)
     return both.agg(F.count("*").alias("filas"), F.max(F.abs(F.col("prediction") - F.col("first"))).alias("diferencia"))
 
 

@@ -131,6 +131,31 @@ def j5i(spark, sf):
     return rounded(explain.individual_curves(test, model, {"quantity": _GRID["quantity"]}, FEATURES, "key"))
 
 
+_MOVED = ("quantity", "discount", "open")
+
+
+def _moved_sql(kind: str, key: str, rows: str, group: str) -> str:
+    """Averages or curves of every feature on the grid that the same SQL builds."""
+    def score(c: str) -> str:
+        return f"greatest(0.0, least(1.0, a + b * {SCORE.replace(c, 'g.valor')}))"
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS tipo, {key} AS key, '{c}' AS atributo, g.valor, avg({score(c)}) AS prediccion FROM {rows} AS r, line, grid AS g WHERE g.atributo = '{c}' GROUP BY {group}g.valor"
+        for c in _MOVED)
+
+
+@query("j5_data_driven_dependence", rsql(scored_cte() + ", l AS (" + " UNION ALL ".join(f"SELECT '{c}' AS atributo, CAST({v} AS DOUBLE) AS x FROM s" for c, v in (("quantity", "quantity"), ("discount", "discount"), ("open", "CAST(open AS INTEGER)"))) + f"""),
+o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY atributo ORDER BY x) AS r FROM l WHERE x IS NOT NULL),
+m AS (SELECT atributo, count(*) AS n, count(DISTINCT x) AS d FROM o GROUP BY atributo),
+h AS (SELECT atributo, p, greatest(1, least(n, n * p + 0.4 + 0.2 * p)) AS h FROM m, (SELECT CAST(0.05 AS DOUBLE) AS p UNION ALL SELECT CAST(0.95 AS DOUBLE)) AS p WHERE d >= 100),
+e AS (SELECT atributo, p, max(x) FILTER (r = floor(h)) AS lo, max(x) FILTER (r = ceil(h)) AS hi, any_value(h) - floor(any_value(h)) AS f FROM h JOIN o USING (atributo) GROUP BY atributo, p),
+w AS (SELECT atributo, min(lo + (hi - lo) * f) AS a0, max(lo + (hi - lo) * f) AS a1 FROM e GROUP BY atributo),
+grid AS MATERIALIZED (SELECT DISTINCT atributo, x AS valor FROM o JOIN m USING (atributo) WHERE d < 100 UNION SELECT atributo, a0 + (a1 - a0) * i / 99 FROM w, range(100) AS t(i)) """
++ _moved_sql("promedio", "CAST(NULL AS BIGINT)", "s", "") + " UNION ALL " + _moved_sql("individual", "key", f"(SELECT * FROM s ORDER BY {sql_hash('key', 'ice')}, key LIMIT 40)", "key, "), "valor", "prediccion"))
+def j5d(spark, sf):
+    model, _, test = heuristic(spark, sf)
+    return rounded(explain.dependence(test, model, FEATURES, "key", _MOVED))
+
+
 def embedded(spark, sf):
     test = F.col("vec_id") % 4 == 0
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding", F.col("label").cast("double").alias("y"))
@@ -278,7 +303,7 @@ def k7(spark, sf):
         score.served_metric(spark, path, "heuristica", "MAE", score.FALLBACK_MAE), score.served_metric(spark, path, "heuristica", "nada", score.FALLBACK_MAE),
         score.served_metric(spark, folder + "/falta.parquet", "heuristica", "MAE", score.FALLBACK_MIN_PREDICTION),
     ]
-    return spark.read.parquet(path).select(F.round(F.lit(values[0]), 6).alias("servida"), F.lit(values[1]).alias("sin_columna"), F.lit(values[2]).alias("sin_informe"))
+    return tabular.read_parquet(spark, path).select(F.round(F.lit(values[0]), 6).alias("servida"), F.lit(values[1]).alias("sin_columna"), F.lit(values[2]).alias("sin_informe"))
 
 
 @query("k8_batch_rejection", f"SELECT 'fuera_de_rango' AS regla, 'quantity' AS columna, count(*) AS filas_afectadas FROM {_E} AS e WHERE key % 5 = 0")

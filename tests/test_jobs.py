@@ -137,10 +137,8 @@ def test_baskets_and_ranges(spark, p, label, warned):
 
 
 def test_scoring_has_no_shuffle(spark, trained, tmp_path):
-    from pyspark.ml import PipelineModel
-
     folder, _ = trained
-    plan = score.score_batch(spark.read.parquet(f"{folder}/features.parquet"), PipelineModel.load(f"{folder}/model"), adm.PREDICTORS)
+    plan = score.score_batch(tabular.read_parquet(spark, f"{folder}/features.parquet"), tabular.load_model(spark, f"{folder}/model"), adm.PREDICTORS)
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 

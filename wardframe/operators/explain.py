@@ -14,12 +14,13 @@ from wardframe.operators.evaluate import fold_moments
 from wardframe.operators.models import Line, LinearFit
 from wardframe.operators.prep import PrepPlan
 from wardframe.operators.profile import seeded_sample
-from wardframe.operators.ranks import hash_indexed
+from wardframe.operators.ranks import hash_indexed, long_numbers, quantiles_of
 from wardframe.sources.scratch import materialised
 
-# Repeats of the permutation, ICE sample size, neighbours of the local dispersion.
+# Repeats of the permutation, ICE sample size, points and trimmed range of a grid, neighbours of the local dispersion.
 PERMUTATIONS = 30
 ICE_ROWS = 40
+GRID_POINTS, GRID_TRIM = 100, (0.05, 0.95)
 NEIGHBOURS = 5
 
 # Multipliers of the index permutation: primes below 2^20, so that i * p stays inside 64 bits.
@@ -113,6 +114,67 @@ def compare_importances(impurity: DataFrame, permutation: DataFrame, contributio
 # --- partial dependence -------------------------------------------------------------------
 
 
+def dependence_grid(
+    df: DataFrame, columns: Sequence[str], points: int = GRID_POINTS, trim: tuple[float, float] = GRID_TRIM
+) -> dict[str, list[float]]:
+    """The values at which each column is moved, ascending; nulls and NaN take no part, a column without values has none.
+
+    Fewer than ``points`` different values are the grid themselves; otherwise ``points`` equal steps between
+    the two trimming quantiles, at the rank n p + 0.4 + 0.2 p (cut to 1 and n).
+    """
+    if points < 2 or not 0 <= trim[0] < trim[1] <= 1:
+        raise ValueError("a grid needs two points and a rising pair of shares")
+    long = long_numbers(df, columns).where(~F.isnan("value"))
+    sizes = {r["column"]: r for r in long.groupBy("column").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("value", 0.05).alias("different")).collect()}  # one row per column
+    # far more estimated values than points are more for certain; only the other columns exchange their (few) values
+    few = [c for c, r in sizes.items() if r["different"] < 2 * points]
+    exact: dict[str, list[float]] = {}
+    if few:
+        exact = {r["column"]: sorted(r["v"]) for r in long.where(F.col("column").isin(few)).groupBy("column").agg(
+            F.collect_set("value").alias("v")).collect()}
+    exact = {c: v for c, v in exact.items() if len(v) < points}
+    steep = [c for c in columns if c in sizes and c not in exact]
+    shares = sorted({_grid_share(sizes[c]["n"], p) for c in steep for p in trim})
+    ends = quantiles_of(long.where(F.col("column").isin(steep)), steep, shares) if steep else {}
+
+    def steps(c: str) -> list[float]:
+        low, high = (ends[c][shares.index(_grid_share(sizes[c]["n"], p))] for p in trim)
+        return sorted(set(np.linspace(low, high, points).tolist()))
+
+    return {c: exact[c] if c in exact else steps(c) if c in sizes else [] for c in columns}
+
+
+def _grid_share(n: int, p: float) -> float:
+    """The rank n p + 0.4 + 0.2 p as a share of the way from the first value to the last."""
+    return min(1.0, max(0.0, (n * p + 0.4 + 0.2 * p - 1) / (n - 1))) if n > 1 else 0.0
+
+
+def dependence(
+    df: DataFrame, model: Model, features: Sequence[str], key: str, columns: Sequence[str] | None = None,
+    grids: Mapping[str, Sequence[float]] | None = None, rows: int = ICE_ROWS,
+) -> DataFrame:
+    """(tipo, key, atributo, valor, prediccion): averages of all rows and curves of a sample, scored in one pass.
+
+    ``promedio`` rows have no key; ``individual`` rows belong to ``rows`` keys in seeded order (rows that
+    repeat such a key are averaged).  Grids come from the data unless given.
+    """
+    grids = grids or dependence_grid(df, columns or features)
+    grids = {f: grid for f, grid in grids.items() if len(grid)}
+    chosen = [r[0] for r in seeded_sample(df.select(key), key, rows, "ice").collect()]
+    points = F.array(*[F.struct(F.lit(f).alias("atributo"), F.lit(float(v)).alias("valor")) for f, grid in grids.items() for v in grid])
+    own = F.when(F.col(key).isin([c for c in chosen if c is not None]), F.col(key))
+    moved = df.select(own.alias("_own"), *features, F.inline(points)).withColumns({
+        f: F.when(F.col("atributo") == f, F.col("valor")).otherwise(F.col(f).cast("double")) for f in grids
+    })
+    scored = model.transform(moved).groupBy("atributo", "valor", "_own").agg(F.sum("prediction").alias("s"), F.count("prediction").alias("n"))
+    sums = materialised(scored, "dependence")  # points x (sampled keys + 1) rows
+    mean = (F.sum("s") / F.sum("n")).alias("prediccion")
+    average = sums.groupBy("atributo", "valor").agg(mean).select(F.lit("promedio").alias("tipo"), F.lit(None).cast(df.schema[key].dataType).alias(key), "atributo", "valor", "prediccion")
+    return average.unionByName(sums.where("_own IS NOT NULL").select(
+        F.lit("individual").alias("tipo"), F.col("_own").alias(key), "atributo", "valor", (F.col("s") / F.col("n")).alias("prediccion")))
+
+
 def partial_dependence(df: DataFrame, model: Model, grids: Mapping[str, Sequence[float]], features: Sequence[str]) -> DataFrame:
     """(atributo, valor, prediccion_media): every row scored at every grid point, averaged in place."""
     points = F.array(*[

@@ -12,7 +12,7 @@ from wardframe import vocabulary as words
 from wardframe.functions.cleaning import NULL_SENTINELS, text_to_double
 from wardframe.operators.clean import Typing, context_columns, normalise_names, typed_or_error, unify_nulls
 from wardframe.operators.contracts import Contract, gate
-from wardframe.sources.tabular import path_exists
+from wardframe.sources.tabular import path_exists, read_parquet
 
 # Basket cuts, warning limit and the fall-back figures of the served model.
 BASKET_CUTS = (0.67, 0.79)
@@ -103,4 +103,4 @@ def metric_from_report(report: DataFrame, model: str, column: str, fallback: flo
 def served_metric(spark: SparkSession, path: str, model: str, column: str, fallback: float) -> float:
     if not path_exists(spark, path):
         return float(fallback)
-    return metric_from_report(spark.read.parquet(path), model, column, fallback)
+    return metric_from_report(read_parquet(spark, path), model, column, fallback)

@@ -46,7 +46,7 @@ def feature_job(spark: SparkSession, raw_path: str, out_path: str, derived: bool
         ])
     finally:
         typed.unpersist()
-    return spark.read.parquet(out_path)
+    return tabular.read_parquet(spark, out_path)
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
@@ -129,9 +129,7 @@ def scoring_job(
     model_name: str = "extra_trees",
 ) -> ScoringResult:
     """Scan, gate, score, write.  A rejected file writes nothing."""
-    if not tabular.path_exists(spark, model_path):
-        raise FileNotFoundError(model_path)
-    model = PipelineModel.load(model_path)
+    model = tabular.load_model(spark, model_path)
     mae = score.FALLBACK_MAE
     if metrics_path:
         mae = score.served_metric(spark, metrics_path, model_name, "MAE", score.FALLBACK_MAE)
