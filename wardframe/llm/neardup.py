@@ -9,8 +9,11 @@ a Jaccard similarity of ``percent`` share at least (``percent`` - ``SLACK``) % o
 unless the documents are alike, and a chance meeting of a few shingles makes no candidate.  The bottom-k sketch of the
 union estimates the similarity, and links are confirmed on the full sets.
 
-A list is not expanded into pairs: its members are compared with a pivot, and only members that are then in
-different components are compared further, the largest component of a list never with itself.
+Before lists are compared, classes that cannot link at all leave them: a linked set has at least ``percent`` % of its
+shingles in another listed set, so a set with more shingles that no other listed set holds has no partner (exact, on
+full sets).  A list is not expanded into pairs: its members are compared with a pivot, first the member that shares most of
+its own shingles with others (the text that near copies were made from), and only members that are then in different
+components are compared further, the largest component of a list never with itself.
 
 Defined cases: null or wordless texts have an empty set and no links; fewer words than a shingle make one
 shingle; repeated rows are one class; rows with a null id link others but never name a component while
@@ -118,6 +121,13 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
             every_set.append(materialised(texts.mapInPandas(_full, "cid long, full array<long>"), "sets"))
         return every_set[0]
 
+    # a shingle of no other listed class cannot be in an intersection; sets with too many of those have no partner
+    inside = sets().select("cid", F.size("full").alias("size"), F.explode("full").alias("v"))
+    held = inside.groupBy("v").agg(F.count("*").alias("classes")).where("classes > 1").select("v")
+    able = inside.join(held, "v").groupBy("cid", "size").agg(F.count("*").alias("common")).where(100 * F.col("common") >= percent * F.col("size"))
+    able = able.select("cid", (F.col("common") / F.col("size")).alias("central"))
+    linkable = materialised(listed.join(able, "cid"), "linkable")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links (a, b) among distinct candidate pairs."""
         sk = classes.select("cid", "sketch")
@@ -138,10 +148,10 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
 
     links, roots, tried = None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
-        here = listed if roots is None else listed.join(roots, F.col("cid") == F.col("node"), "left").drop("node")
+        here = linkable if roots is None else linkable.join(roots, F.col("cid") == F.col("node"), "left").drop("node")
         here = here.withColumn("root", F.coalesce("root", "cid") if roots is not None else F.col("cid"))
-        sizes = here.groupBy("value", "root").agg(F.count("*").alias("m"))
-        top = sizes.groupBy("value").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("top")).where("roots > 1")
+        sizes = here.groupBy("value", "root").agg(F.count("*").alias("m"), F.max("central").alias("central"))
+        top = sizes.groupBy("value").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "central", "root")).alias("top")).where("roots > 1")
         here = here.join(top, "value")
         if turn < PIVOT_ROUNDS:  # everyone meets one member of the list's largest component
             pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cid", "n", "need", "root"), F.xxhash64("cid", F.lit(turn))).alias("p"))
