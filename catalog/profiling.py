@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import FRAME, NUMERIC, TARGET, order_frame, query, rounded, rsql, sql_hash, table, written
 from catalog.cleaning import DIRTY, NAMES, UNIFIED, dirty, unified
 from wardframe.operators import association as asso
-from wardframe.operators import clean, evaluate, prep, profile
+from wardframe.operators import clean, evaluate, prep, profile, sketches
 from wardframe.operators.models import fit_constant
 
 _COLS = ["quantity", "flag", "open"]
@@ -43,6 +43,36 @@ def e3(spark, sf):
     return profile.numeric_profile(written(order_frame(spark, sf)), ["quantity", "target", "discount"])
 
 
+_SKETCHED = ("l_quantity", "l_extendedprice", "l_orderkey", "l_returnflag")
+
+
+@query("e3_sketched_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS columna, count({c}) AS n, count(*) - count({c}) AS nulos, {f'CAST(min({c}) AS DOUBLE)' if c != 'l_returnflag' else 'CAST(NULL AS DOUBLE)'} AS minimo, "
+    f"{f'CAST(max({c}) AS DOUBLE)' if c != 'l_returnflag' else 'CAST(NULL AS DOUBLE)'} AS maximo, true AS distintos_en_cota, true AS rangos_en_cota FROM lineitem" for c in _SKETCHED))
+def e3s(spark, sf):
+    """Sketches of batches, merged; the estimates are held against exact counts of the same rows."""
+    rows, shares = table(spark, sf, "lineitem"), {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    batches = [F.coalesce(F.col("l_returnflag") == "A", F.lit(False)), ~F.coalesce(F.col("l_returnflag") == "A", F.lit(False))]
+    both = written(sketches.merged(*[sketches.column_sketches(rows.where(b), _SKETCHED) for b in batches]))
+    found = {r["columna"]: r for r in sketches.sketched_quantiles(both, shares).collect()}  # one row per column
+    near, limit = 4 * sketches.distinct_error(), 2 * sketches.rank_error()
+    exact = []
+    for c in _SKETCHED:
+        inside = [F.lit(True)]
+        for name, p in shares.items():
+            q = found[c][name]
+            if q is not None:
+                inside.append((F.count_if(F.col(c) < q) <= (p + limit) * F.count(c)) & (F.count_if(F.col(c) <= q) >= (p - limit) * F.count(c)))
+        ranks = inside[0]
+        for test in inside[1:]:
+            ranks = ranks & test
+        exact.append(F.struct(F.lit(c).alias("columna"), F.count_distinct(c).alias("d"), ranks.alias("rangos_en_cota")))
+    truth = rows.agg(F.array(*exact).alias("t")).select(F.inline("t"))
+    sheet = sketches.sketched_sheet(both)
+    return sheet.join(truth, "columna").select(
+        "columna", "n", "nulos", "minimo", "maximo", (F.abs(F.col("distintos") - F.col("d")) <= near * F.col("d")).alias("distintos_en_cota"), "rangos_en_cota")
+
+
 @query("e4_outlier_flag", f"""WITH f AS (SELECT * FROM {FRAME} AS x), q AS (SELECT quantile_cont(quantity, 0.25) AS a, quantile_cont(quantity, 0.75) AS b, quantile_cont(target, 0.25) AS c, quantile_cont(target, 0.75) AS d FROM f)
 SELECT coalesce(quantity < a - 1.5 * (b - a) OR quantity > b + 1.5 * (b - a), false) OR target < c - 1.5 * (d - c) OR target > d + 1.5 * (d - c) AS atipico, count(*) AS n FROM f, q GROUP BY 1""")
 def e4(spark, sf):
