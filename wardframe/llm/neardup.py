@@ -22,6 +22,7 @@ another id is there; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,9 +126,18 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     inside = sets().select("cid", F.size("full").alias("size"), F.explode("full").alias("v"))
     held = inside.groupBy("v").agg(F.count("*").alias("classes")).where("classes > 1").select("v")
     able = inside.join(held, "v").groupBy("cid", "size").agg(F.count("*").alias("common")).where(100 * F.col("common") >= percent * F.col("size"))
-    able = able.select("cid", (F.col("common") / F.col("size")).alias("central"))
+    able = able.select("cid", "common", (F.col("common") / F.col("size")).alias("central"))
     linkable = materialised(listed.join(able, "cid"), "linkable")
 
+    def possible(na: str, ca: str, nb: str, cb: str) -> F.Column:
+        """Whether sets of n shingles, c of them in any other set, can be as similar as asked: they share at most the lesser c."""
+        most = F.least(ca, cb)
+        return 100 * most >= percent * (F.col(na) + F.col(nb) - most)
+
+    def step(n: F.Column) -> F.Column:
+        """The size class of n shingles, in steps of 2 %."""
+        return F.floor(F.log(n.cast("double")) / math.log(1.02))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links (a, b) among distinct candidate pairs."""
         sk = classes.select("cid", "sketch")
@@ -142,7 +152,7 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
 
     def sized(pairs: DataFrame) -> DataFrame:
         """Pairs of like sizes that meet in enough lists; a pair comes at most once from each list."""
-        met = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).where("a <> b").select(
+        met = pairs.where(possible("na", "ca", "nb", "cb")).where("a <> b").select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ka", "kb").alias("need"))
         return met.groupBy("a", "b").agg(F.count("*").alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
 
@@ -154,14 +164,19 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
         top = sizes.groupBy("value").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "central", "root")).alias("top")).where("roots > 1")
         here = here.join(top, "value")
         if turn < PIVOT_ROUNDS:  # everyone meets one member of the list's largest component
-            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cid", "n", "need", "root"), F.xxhash64("cid", F.lit(turn))).alias("p"))
+            pivots = here.where("root = top").groupBy("value").agg(F.min_by(F.struct("cid", "n", "need", "root", "common"), F.xxhash64("cid", F.lit(turn))).alias("p"))
             pairs = here.join(pivots, "value").where("root <> p.root").select(
-                "value", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("p.cid").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"))
+                F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("common").alias("ca"),
+                F.col("p.cid").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"), F.col("p.common").alias("cb"))
         else:
-            # of two members outside it, each pair once
-            rest = here.where("root <> top").select("value", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"))
-            pairs = here.join(rest, "value").where("root <> rb AND (root = top OR cid < b)").where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select(
-                "value", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), "b", "nb", "kb")
+            # of two members outside it, each pair once; a member meets only the sizes that its shared shingles allow
+            most = (100 + percent) * F.col("common") / percent - F.col("n")
+            rest = here.where("root <> top").select(
+                "value", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"), F.col("common").alias("cb"),
+                F.explode(F.sequence(step(F.col("n") * percent / 100) - 1, step(most) + 1)).alias("size"))
+            pairs = here.withColumn("size", step(F.col("n"))).join(rest, ["value", "size"]).where("root <> rb AND (root = top OR cid < b)").where(
+                possible("n", "common", "nb", "cb")).select(
+                F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("common").alias("ca"), "b", "nb", "kb", "cb")
         pairs = sized(pairs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
