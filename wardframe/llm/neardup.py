@@ -13,7 +13,9 @@ Before lists are compared, classes that cannot link at all leave them: a linked
 shingles in another listed set, so a set with more shingles that no other listed set holds has no partner (exact, on
 full sets).  A list is not expanded into pairs: its members are compared with a pivot, first the member that shares most of
 its own shingles with others (the text that near copies were made from), and only members that are then in different
-components are compared further, the largest component of a list never with itself.
+components are compared further, the largest component of a list never with itself.  For that last comparison lists with
+the same leader (the member of least hash) are one group, in which a member meets only sizes that can be similar enough
+given the shingles that it shares with any other set.
 
 Defined cases: null or wordless texts have an empty set and no links; fewer words than a shingle make one
 shingle; repeated rows are one class; rows with a null id link others but never name a component while
@@ -168,16 +170,22 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
             pairs = here.join(pivots, "value").where("root <> p.root").select(
                 F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("common").alias("ca"),
                 F.col("p.cid").alias("b"), F.col("p.n").alias("nb"), F.col("p.need").alias("kb"), F.col("p.common").alias("cb"))
+            pairs = sized(pairs)
         else:
-            # of two members outside it, each pair once; a member meets only the sizes that its shared shingles allow
+            # lists with one leader are one group, so that two members of many like lists meet about once
+            leaders = here.groupBy("value").agg(F.min_by("cid", F.xxhash64("cid")).alias("leader"))
+            members = materialised(here.join(leaders, "value").groupBy("cid", "n", "need", "common", "root").agg(
+                F.collect_list("value").alias("shared"), F.collect_set("leader").alias("leaders")).select("*", F.explode("leaders").alias("leader")).drop("leaders"), "members")
+            largest = members.groupBy("leader", "root").agg(F.count("*").alias("m")).groupBy("leader").agg(F.max_by("root", F.struct("m", "root")).alias("top"))
+            members = members.join(largest, "leader")
+            # of two members outside the largest component each pair once; a member meets only the sizes that its shared shingles allow
             most = (100 + percent) * F.col("common") / percent - F.col("n")
-            rest = here.where("root <> top").select(
-                "value", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"), F.col("common").alias("cb"),
-                F.explode(F.sequence(step(F.col("n") * percent / 100) - 1, step(most) + 1)).alias("size"))
-            pairs = here.withColumn("size", step(F.col("n"))).join(rest, ["value", "size"]).where("root <> rb AND (root = top OR cid < b)").where(
-                possible("n", "common", "nb", "cb")).select(
-                F.col("cid").alias("a"), F.col("n").alias("na"), F.col("need").alias("ka"), F.col("common").alias("ca"), "b", "nb", "kb", "cb")
-        pairs = sized(pairs)
+            rest = members.where("root <> top").select(
+                "leader", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"), F.col("common").alias("cb"),
+                F.col("shared").alias("sb"), F.explode(F.sequence(step(F.col("n") * percent / 100) - 1, step(most) + 1)).alias("size"))
+            met = F.size(F.array_intersect("shared", "sb")) >= F.least("need", "kb")
+            pairs = members.withColumn("size", step(F.col("n"))).join(rest, ["leader", "size"]).where("root <> rb AND (root = top OR cid < b)").where(
+                possible("n", "common", "nb", "cb") & met).select(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialised(pairs, "pairs")
