@@ -15,7 +15,8 @@ full sets).  A list is not expanded into pairs: its members are compared with a
 its own shingles with others (the text that near copies were made from), and only members that are then in different
 components are compared further, the largest component of a list never with itself.  For that last comparison lists with
 the same leader (the member of least hash) are one group, in which a member meets only sizes that can be similar enough
-given the shingles that it shares with any other set.
+given the shingles that it shares with any other set, and similarity is judged exactly on the sets' differences from what most
+of the group hold.  The tests of a group still grow with the square of its members outside the largest component.
 
 Defined cases: null or wordless texts have an empty set and no links; fewer words than a shingle make one
 shingle; repeated rows are one class; rows with a null id link others but never name a component while
@@ -176,16 +177,24 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
             leaders = here.groupBy("value").agg(F.min_by("cid", F.xxhash64("cid")).alias("leader"))
             members = materialised(here.join(leaders, "value").groupBy("cid", "n", "need", "common", "root").agg(
                 F.collect_list("value").alias("shared"), F.collect_set("leader").alias("leaders")).select("*", F.explode("leaders").alias("leader")).drop("leaders"), "members")
-            largest = members.groupBy("leader", "root").agg(F.count("*").alias("m")).groupBy("leader").agg(F.max_by("root", F.struct("m", "root")).alias("top"))
-            members = members.join(largest, "leader")
+            largest = members.groupBy("leader", "root").agg(F.count("*").alias("m")).groupBy("leader").agg(F.max_by("root", F.struct("m", "root")).alias("top"), F.sum("m").alias("size"))
+            # a set is held by its difference from what most of its group hold: the sets of a pair differ as their differences do
+            whole = members.select("leader", "cid").join(sets(), "cid")
+            held = whole.select("leader", F.explode("full").alias("v")).groupBy("leader", "v").agg(F.count("*").alias("holders"))
+            usual = held.join(largest.select("leader", "size"), "leader").where("2 * holders > size").groupBy("leader").agg(F.collect_list("v").alias("usual"))  # at most two mean sets
+            apart = whole.join(usual, "leader", "left").withColumn("usual", F.coalesce("usual", F.array().cast("array<long>"))).select(
+                "leader", "cid", F.concat(F.array_except("full", "usual"), F.array_except("usual", "full")).alias("apart"))
+            members = materialised(members.join(largest.drop("size"), "leader").join(apart, ["leader", "cid"]), "apart")
             # of two members outside the largest component each pair once; a member meets only the sizes that its shared shingles allow
             most = (100 + percent) * F.col("common") / percent - F.col("n")
             rest = members.where("root <> top").select(
                 "leader", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("need").alias("kb"), F.col("root").alias("rb"), F.col("common").alias("cb"),
-                F.col("shared").alias("sb"), F.explode(F.sequence(step(F.col("n") * percent / 100) - 1, step(most) + 1)).alias("size"))
+                F.col("shared").alias("sb"), F.col("apart").alias("apb"), F.explode(F.sequence(step(F.col("n") * percent / 100) - 1, step(most) + 1)).alias("size"))
             met = F.size(F.array_intersect("shared", "sb")) >= F.least("need", "kb")
+            inter = F.expr("(n + nb - size(apart) - size(apb) + 2 * size(array_intersect(apart, apb))) div 2")
+            alike = 100 * inter >= percent * (F.col("n") + F.col("nb") - inter)
             pairs = members.withColumn("size", step(F.col("n"))).join(rest, ["leader", "size"]).where("root <> rb AND (root = top OR cid < b)").where(
-                possible("n", "common", "nb", "cb") & met).select(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).distinct()
+                possible("n", "common", "nb", "cb") & alike & met).select(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialised(pairs, "pairs")
