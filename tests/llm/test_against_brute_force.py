@@ -409,3 +409,27 @@ def test_style_tree_cuts_repeats_in_any_tag_and_share(spark):
     df = spark.createDataFrame([(i, "http://h.example/x", html) for i, html in rows], "page_id long, url string, html string").repartition(3)
     out = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
     assert out == {i: f"Title {i} {own(i)}" for i in range(400)} | {1000 + i: "Copied lead words a copied article stays whole" for i in range(30)}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_copies_without_their_original(spark, percent):
+    """A group whose common text is absent: most pairs miss the threshold, and links are found beyond the pivots."""
+    rng = np.random.default_rng(percent)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        # few edits at places that others share, so that shingles of an edit are not one document's own
+        for at in rng.choice(range(0, 150, 10), int(rng.integers(2, 6)), replace=False):
+            words[at] = f"e{rng.integers(2)}"
+        rows.append((i, " ".join(words[:150 - int(rng.integers(0, 12))])))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    least = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                old, new = max(least[i], least[j]), min(least[i], least[j])
+                least = [new if c == old else c for c in least]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent)
+    assert pulled(got.select("doc_id", "component_id")) == sorted(enumerate(least), key=repr)
+    assert len(set(least)) > 1
