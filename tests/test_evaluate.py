@@ -138,3 +138,12 @@ def test_neighbours_equal_brute_force(spark):
         d = np.sqrt(((x - v) ** 2).sum(1))
         want = sorted((round(float(d[j]), 9), j) for j in range(len(x)))[:5]
         assert sorted(got[1000 + i]) == want
+
+
+def test_permuted_rows_are_never_broadcast(spark, capsys):
+    """The donors are the rows times the repeats, but their estimated size is that of the rows."""
+    df = spark.range(40).select("id", F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("y"))
+    model = models.ExpressionModel(expression="a")
+    explain.permuted_scores(df, model, ["a"], "y", "id", 3).explain()
+    plan = capsys.readouterr().out
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan

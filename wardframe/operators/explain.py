@@ -37,7 +37,8 @@ def permuted_scores(
 
     Rows are numbered in random order of the key; repeat r sends the values of row i to row
     (p i + q) mod n, which is a bijection because p does not divide n.  One shuffle join serves all
-    columns and repeats, and no row order is gathered anywhere.
+    columns and repeats, and no row order is gathered anywhere.  The join is held to a shuffle: the donors are
+    ``repeats`` times the rows, but their size is estimated as that of the rows, small enough to broadcast.
     """
     rows = materialised(hash_indexed(df.where(F.col(target).isNotNull()).select(key, *features, target), key, salt), "indexed")
     n = rows.count()
@@ -48,7 +49,7 @@ def permuted_scores(
         q = int(n * ((r * 0.6180339887498949) % 1.0))
         moves.append(F.struct(F.lit(r).alias("repeticion"), F.pmod(F.col("_index") * F.lit(p) + F.lit(q), F.lit(n)).alias("_index")))
     donors = rows.select(F.inline(F.array(*moves)).alias("repeticion", "_to"), *[F.col(c).alias(f"_d_{c}") for c in features])
-    joined = rows.join(donors, rows["_index"] == donors["_to"])
+    joined = rows.hint("shuffle_hash").join(donors, rows["_index"] == donors["_to"])
     variants = F.array(*[
         F.struct(F.lit(f).alias("atributo"), *[(F.col(f"_d_{c}") if c == f else F.col(c)).alias(f"_v_{c}") for c in features])
         for f in features
