@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,17 @@ def test_neighbours_equal_brute_force(spark):
         assert sorted(got[1000 + i]) == want
 
 
+def test_routed_visits_come_in_bounded_frames():
+    """A batch whose queries visit every block is not held as one frame."""
+    rng = np.random.default_rng(3)
+    batch = pd.DataFrame({"query": np.arange(300), "v": list(rng.normal(size=(300, 4)))})
+    blocks = np.array([3] + [1] * 99)
+    frames = list(explain._routed(batch, rng.normal(size=(100, 4)), np.full(100, 1e6), np.full(100, np.inf), np.arange(100), blocks))
+    assert max(map(len, frames)) <= explain.ROUTED_ROWS
+    seen = pd.concat(frames)
+    assert len(seen) == 300 * 102 and not seen.duplicated(["query", "cell", "block"]).any()
+
+
 def test_permuted_rows_are_never_broadcast(spark, capsys):
     """The donors are the rows times the repeats, but their estimated size is that of the rows."""
     df = spark.range(40).select("id", F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("y"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -206,6 +206,7 @@ def individual_curves(
 MAX_PIVOTS = 1024
 ROWS_PER_PIVOT = 500
 BLOCK_ROWS = 20_000
+ROUTED_ROWS = 10_000
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -221,6 +222,22 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _routed(pdf: pd.DataFrame, centres: np.ndarray, radius: np.ndarray, bound: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> Iterator[pd.DataFrame]:
+    """(query, v, cell, block) for every block that a query must see, in frames of at most ``ROUTED_ROWS`` rows:
+    a query may visit every cell, and each visit copies its vector."""
+    cell_of = np.repeat(np.arange(len(ids)), blocks)
+    number = np.concatenate([np.arange(b) for b in blocks])
+    for start in range(0, len(pdf), 256):
+        part = pdf.iloc[start: start + 256]
+        d = _distances(_matrix(part["v"]), centres)
+        reach = (d + bound).min(axis=1)
+        query, visit = np.nonzero((d - radius <= reach[:, None] + 1e-9)[:, cell_of])
+        names, vectors = part["query"].to_numpy(), part["v"].to_numpy()
+        for i in range(0, len(query), ROUTED_ROWS):
+            q, b = query[i: i + ROUTED_ROWS], visit[i: i + ROUTED_ROWS]
+            yield pd.DataFrame({"query": names[q], "v": vectors[q], "cell": ids[cell_of[b]], "block": number[b]})
+
+
 def nearest_neighbours(
     train: DataFrame, queries: DataFrame, key: str, vector: str, value: str, k: int = NEIGHBOURS,
     pivots: int | None = None, block_rows: int = BLOCK_ROWS,
@@ -261,15 +278,7 @@ def nearest_neighbours(
 
     def route(batches):
         for pdf in batches:
-            rows = []
-            for start in range(0, len(pdf), 256):
-                part = pdf.iloc[start: start + 256]
-                d = _distances(_matrix(part["v"]), used)
-                reach = (d + bound).min(axis=1)
-                for (q, v), line, limit in zip(part[["query", "v"]].itertuples(index=False), d, reach, strict=True):
-                    for i in np.flatnonzero(line - radius <= limit + 1e-9):
-                        rows.extend((q, v, int(ids[i]), b) for b in range(blocks[i]))
-            yield pd.DataFrame(rows, columns=["query", "v", "cell", "block"])
+            yield from _routed(pdf, used, radius, bound, ids, blocks)
 
     qs = queries.select(F.col(key).cast("bigint").alias("query"), F.col(vector).cast("array<double>").alias("v"))
     routed = materialised(qs.mapInPandas(route, "query bigint, v array<double>, cell int, block int"), "routed")
