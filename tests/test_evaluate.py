@@ -159,3 +159,20 @@ def test_permuted_rows_are_never_broadcast(spark, capsys):
     explain.permuted_scores(df, model, ["a"], "y", "id", 3).explain()
     plan = capsys.readouterr().out
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_counted_line_predictions_score_like_the_rows(spark):
+    """Copies, unknown targets and unknown keys: the counted pairs are far fewer and give the same scores."""
+    one = frame(spark, 60, nulls=0.1).withColumn(Y, F.when(F.col("id") % 9 != 0, F.col(Y)))
+    df = one.crossJoin(spark.range(40).withColumnRenamed("id", "copy")).withColumn("id", F.when(F.col("id") != 7, F.col("id") * 40 + F.col("copy")))
+    score = F.expr(models.heuristic_sql(adm.HEURISTIC_DOMAINS, dict(df.dtypes)))
+    for x, clip in ((score, True), (None, False)):
+        rows = evaluate.line_fold_predictions(df, "id", Y, x, 3, 2, clip=clip).withColumn("prediction", F.round("prediction", 9))
+        counted = evaluate.line_fold_counts(df, "id", Y, x, 3, 2, clip=clip).withColumn("prediction", F.round("prediction", 9))
+        assert counted.count() * 10 < rows.count()
+        by = lambda r: (r.repeticion, -1 if r.fold is None else r.fold, r.rol)
+        slow, fast = sorted(evaluate.fold_scores(rows).collect(), key=by), sorted(evaluate.fold_scores(counted, "n").collect(), key=by)
+        assert [by(r) + (r.n,) for r in fast] == [by(r) + (r.n,) for r in slow]
+        for a, b in zip(slow, fast, strict=True):
+            assert [v is None for v in a] == [v is None for v in b]
+            assert [v for v in b[4:] if v is not None] == pytest.approx([v for v in a[4:] if v is not None], abs=1e-8)
