@@ -53,3 +53,19 @@ def test_both_kinds_agree_with_moving_every_row(spark):
         assert mean[value] == pytest.approx(moved.mean())
         for row in curves[curves["valor"] == value].itertuples():
             assert row.prediccion == pytest.approx(moved[row.key])
+
+
+def test_equal_rows_are_scored_once_for_a_point(spark):
+    df = numbers(spark, [i % 3 for i in range(60)] + [None] * 6).withColumn("y", F.coalesce("x", F.lit(1.0)) / 4)
+    model = fit_heuristic(df, "y", {"x": (0.0, 2.0)})
+
+    class Spy:
+        def transform(self, frame):
+            self.rows = frame.count()
+            return model.transform(frame)
+
+    spy = Spy()
+    found = explain.dependence(df.withColumn("z", F.col("x")), spy, ["x", "z"], "key", ["z"], {"z": [0.0, 1.0]}, rows=2).toPandas()
+    assert spy.rows <= 2 * (4 + 2)
+    mean = model.transform(df).agg(F.avg("prediction")).first()[0]
+    assert found[found["tipo"] == "promedio"]["prediccion"].tolist() == pytest.approx([mean, mean])

@@ -157,6 +157,7 @@ def dependence(
 ) -> DataFrame:
     """(tipo, key, atributo, valor, prediccion): averages of all rows and curves of a sample, scored in one pass.
 
+    Rows of equal features are predicted alike, so they are counted before they are copied for every point.
     ``promedio`` rows have no key; ``individual`` rows belong to ``rows`` keys in seeded order (rows that
     repeat such a key are averaged).  Grids come from the data unless given.
     """
@@ -165,10 +166,12 @@ def dependence(
     chosen = [r[0] for r in seeded_sample(df.select(key), key, rows, "ice").collect()]
     points = F.array(*[F.struct(F.lit(f).alias("atributo"), F.lit(float(v)).alias("valor")) for f, grid in grids.items() for v in grid])
     own = F.when(F.col(key).isin([c for c in chosen if c is not None]), F.col(key))
-    moved = df.select(own.alias("_own"), *features, F.inline(points)).withColumns({
+    counted = df.select(own.alias("_own"), *features).groupBy("_own", *features).agg(F.count("*").alias("_w"))
+    moved = counted.select("*", F.inline(points)).withColumns({
         f: F.when(F.col("atributo") == f, F.col("valor")).otherwise(F.col(f).cast("double")) for f in grids
     })
-    scored = model.transform(moved).groupBy("atributo", "valor", "_own").agg(F.sum("prediction").alias("s"), F.count("prediction").alias("n"))
+    scored = model.transform(moved).groupBy("atributo", "valor", "_own").agg(
+        F.sum(F.col("_w") * F.col("prediction")).alias("s"), F.coalesce(F.sum(F.when(F.col("prediction").isNotNull(), F.col("_w"))), F.lit(0)).alias("n"))
     sums = materialised(scored, "dependence")  # points x (sampled keys + 1) rows
     mean = (F.sum("s") / F.sum("n")).alias("prediccion")
     average = sums.groupBy("atributo", "valor").agg(mean).select(F.lit("promedio").alias("tipo"), F.lit(None).cast(df.schema[key].dataType).alias(key), "atributo", "valor", "prediccion")
