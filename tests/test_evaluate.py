@@ -176,3 +176,12 @@ def test_counted_line_predictions_score_like_the_rows(spark):
         for a, b in zip(slow, fast, strict=True):
             assert [v is None for v in a] == [v is None for v in b]
             assert [v for v in b[4:] if v is not None] == pytest.approx([v for v in a[4:] if v is not None], abs=1e-8)
+
+
+def test_report_computes_its_metrics_once(spark, capsys):
+    rows = spark.range(60).select(F.when(F.col("id") % 2 == 0, "dummy").otherwise("other").alias("modelo"), (F.col("id") * 1.0).alias("y"), (F.col("id") % 7 * 1.0).alias("prediction"))
+    report = evaluate.metric_report(evaluate.regression_metrics(rows, "y", by=["modelo"]))
+    report.explain()
+    assert "Join" not in capsys.readouterr().out
+    mae = {r.modelo: r.MAE for r in report.collect()}
+    assert mae["dummy"] == pytest.approx(np.mean([abs(i - i % 7) for i in range(0, 60, 2)]))
