@@ -71,3 +71,12 @@ def test_seven_variants_take_few_jobs(spark, rows):
     context.setLocalProperty("spark.jobGroup.id", None)
     assert len(got) == len(adm.VARIANTS) == 7
     assert jobs < 60, jobs  # adaptive execution submits each exchange as a job of its own
+
+
+def test_folds_in_time_are_met_by_equality(spark, rows):
+    scored = evaluate.fold_predictions(rows, LinearFit(TARGET, BASE, 1.0), "series_temporales", "id", TARGET, 2, 1, 42, "moment")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # 50 opening rows, then two blocks of 50: the second fold sees all
+    counts = {(r["fold"], r["rol"]): r["count"] for r in scored.groupBy("fold", "rol").count().collect()}
+    assert counts == {(0, "entrenamiento"): 50, (0, "validacion"): 50, (1, "entrenamiento"): 100, (1, "validacion"): 50}
