@@ -144,3 +144,26 @@ def test_search_stays_within_its_budget(data):
     table = models.search(data, Y, adm.PREP, "id", folds=2, budget=0.0, grid={"ridge": [("a", lambda d: models.fit_linear(d, Y, adm.PREP, 1.0))], "otra": [("b", None)]})[1]
     tried, untried = table.collect()  # what the budget leaves out is named, without a figure
     assert (tried.familia, untried.familia, untried.configuracion) == ("ridge", "otra", "b") and tried.MAE > 0 and untried.MAE is None
+
+
+def test_trees_are_given_rows_of_like_features_side_by_side(spark, data):
+    """Rows that walk the same paths lie together, few-valued features first."""
+    seen = {}
+
+    class Learner:
+        labelCol, featuresCol = "label", "features"
+
+        def copy(self, extra):
+            return self
+
+        def fit(self, frame):
+            seen["parts"] = frame.rdd.map(lambda r: list(r["features"])).glom().collect()
+            return models.ExpressionModel(expression="0D")
+
+    model = models.fit_trees(data.repartition(2), Y, adm.PREP, Learner())
+    names = model.stages[0].feature_names()
+    few = [i for i, c in enumerate(names) if c in adm.PREP.ordinal or c in adm.PREP.boolean]
+    assert sum(map(len, seen["parts"])) == data.where(F.col(Y).isNotNull()).count()
+    for part in seen["parts"]:
+        heads = [tuple(row[i] for i in sorted(few, key=lambda i: names[i] not in [*adm.PREP.boolean, *adm.PREP.ordinal])) for row in part]
+        assert len(part) > 1 and sum(a != b for a, b in zip(heads, heads[1:], strict=False)) == len(set(heads)) - 1
