@@ -14,7 +14,7 @@ from wardframe.operators.clean import Typing
 from wardframe.operators.contracts import Contract, ContractError, column, holds
 from wardframe.operators.evaluate import regression_metrics
 from wardframe.operators.prep import PREFIX, PrepPlan
-from wardframe.operators.treepaths import tree_contributions
+from wardframe.operators.treepaths import side_by_side, tree_contributions
 
 FEATURES = ["quantity", "discount", "tax", "level", "open"]
 REPEATS = 3
@@ -94,7 +94,7 @@ def _tree_inputs(train, test):
     ready_train, ready_test = model.stages[0].transform(train), model.stages[0].transform(test)
     names = [PREFIX + f for f in model.stages[0].feature_names()]
     row = ready_train.agg(*[F.avg(c).alias(c) for c in names]).first()
-    return ready_test, model.stages[-1], names, row.asDict(), "key"
+    return side_by_side(ready_test.select("key", *names), names, "key"), model.stages[-1], names, row.asDict(), "key"
 
 
 @query("j4_importance_comparison")

@@ -64,3 +64,24 @@ def test_yates_only_for_two_by_two(spark):
     e = {("x", "u"): 17 * 15 / 29, ("x", "v"): 17 * 14 / 29, ("y", "u"): 12 * 15 / 29, ("y", "v"): 12 * 14 / 29}
     want = sum((abs(cells[k] - e[k]) - 0.5) ** 2 / e[k] for k in cells)
     assert association.chi_square(df, "a", "b").first().chi2 == pytest.approx(want)
+
+
+def test_rows_between_the_same_limits_are_walked_once(rows):
+    model = RandomForestRegressor(numTrees=3, maxDepth=2, labelCol="y", seed=1).fit(rows)
+    leaves, x = treepaths.leaves_of(model), np.array([[r[n] for n in NAMES] for r in rows.collect()])
+    x[0, 2] = np.nan
+    first, cell = treepaths.cells_of(leaves, x)
+    own, _ = treepaths.path_contributions(leaves, x, np.ones(4))
+    shared, _ = treepaths.path_contributions(leaves, x[first], np.ones(4))
+    assert len(first) < len(x) and np.array_equal(shared[cell], own)
+
+
+def test_rows_side_by_side_keep_every_row_and_value(spark, rows):
+    """Rows that repeat, also over the chunks of a task, keep their own contributions."""
+    model, baseline = RandomForestRegressor(numTrees=3, maxDepth=3, labelCol="y", seed=1).fit(rows), dict.fromkeys(NAMES, 1.0)
+    twice = rows.unionAll(rows.withColumn("key", F.concat(F.lit("again"), "key"))).drop("features", "y")
+    near = treepaths.side_by_side(twice, NAMES, "key")
+    plain = {(r.key, r.atributo): (r.base, r.prediction, r.aporte) for r in treepaths.tree_contributions(rows, model, NAMES, baseline, "key").collect()}
+    got = {(r.key, r.atributo): (r.base, r.prediction, r.aporte) for r in treepaths.tree_contributions(near, model, NAMES, baseline, "key").collect()}
+    assert len(got) == 2 * len(plain) == 2 * 200 * 4
+    assert all(got[k] == plain[k[0].removeprefix("again"), k[1]] for k in got)

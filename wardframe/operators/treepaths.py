@@ -6,6 +6,10 @@ asks every feature for an interval.  A feature that only the row satisfies must
 reached, one that only the baseline satisfies must not, and the others do not matter; so a leaf gives
 each of its features a weight that depends on two counts only.  The work is leaves times depth per row,
 for any number of features, in Arrow batches without an exchange.
+
+Leaves only compare a value with the limits of its feature, so rows between the same limits have the same contributions:
+those of a chunk are walked once per such cell.  Cells are bounded by the trees and not by the rows; ``side_by_side``
+brings like rows together first.
 """
 
 from __future__ import annotations
@@ -21,6 +25,10 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Rows whose cells are walked together, and rows of one output frame.
+CHUNK_ROWS = 100_000
+FRAME_ROWS = 10_000
+
 _LINE = re.compile(r"^(?P<pad> *)(?:(?P<branch>If|Else) \(feature (?P<feature>\d+) (?P<rule><=|>|in|not in) (?P<limit>[^)]*)\)|Predict: (?P<value>\S+)|Tree \d+ \(weight (?P<weight>\S+)\):)")
 
 
@@ -88,6 +96,35 @@ def path_contributions(leaves: Sequence[Leaf], x: np.ndarray, baseline: np.ndarr
     return out, base
 
 
+def cells_of(leaves: Sequence[Leaf], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row of each cell, cell of each row): rows of a cell lie between the same limits of every feature."""
+    limits: list[set[float]] = [set() for _ in range(x.shape[1])]
+    for leaf in leaves:
+        for feature, *ends in zip(leaf.features, leaf.low, leaf.high, strict=True):
+            limits[feature].update(v for v in ends if np.isfinite(v))
+    # a limit belongs to the interval below it; NaN lies in no interval
+    places = np.column_stack([np.where(np.isnan(x[:, j]), -1, np.searchsorted(sorted(ends), x[:, j])) for j, ends in enumerate(limits)])
+    _, first, cell = np.unique(places, axis=0, return_index=True, return_inverse=True)
+    return first, cell.ravel()
+
+
+def side_by_side(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """The same rows with like features beside each other; the key cuts a value that many rows share."""
+    return df.repartitionByRange(*[F.col(f"`{c}`") for c in features], F.col(f"`{key}`")).sortWithinPartitions(*[F.col(f"`{c}`") for c in features])
+
+
+def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def tree_contributions(df: DataFrame, model: Model, features: Sequence[str], baseline: Mapping[str, float], key: str) -> DataFrame:
     """(key, base, prediction, atributo, aporte): base + the sum over a row's features is its prediction.
 
@@ -96,12 +133,16 @@ def tree_contributions(df: DataFrame, model: Model, features: Sequence[str], bas
     leaves, reference = leaves_of(model), np.array([float(baseline[c]) for c in features])
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts, base = path_contributions(leaves, batch[list(features)].to_numpy(float), reference)
+        for chunk in _chunks(batches, CHUNK_ROWS):
+            x = chunk[list(features)].to_numpy(float)
+            first, cell = cells_of(leaves, x)
+            parts, base = path_contributions(leaves, x[first], reference)
             total = base + parts.sum(axis=1)
-            yield pd.DataFrame({
-                key: batch[key].repeat(len(features)).to_numpy(), "base": base, "prediction": total.repeat(len(features)),
-                "atributo": list(features) * len(batch), "aporte": parts.ravel()})
+            for start in range(0, len(chunk), FRAME_ROWS):
+                at = cell[start: start + FRAME_ROWS]
+                yield pd.DataFrame({
+                    key: chunk[key].iloc[start: start + FRAME_ROWS].repeat(len(features)).to_numpy(), "base": base, "prediction": total[at].repeat(len(features)),
+                    "atributo": list(features) * len(at), "aporte": parts[at].ravel()})
 
     kind = dict(df.dtypes)[key]
     return df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in features]).mapInPandas(
