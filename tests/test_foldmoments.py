@@ -80,3 +80,16 @@ def test_folds_in_time_are_met_by_equality(spark, rows):
     # 50 opening rows, then two blocks of 50: the second fold sees all
     counts = {(r["fold"], r["rol"]): r["count"] for r in scored.groupBy("fold", "rol").count().collect()}
     assert counts == {(0, "entrenamiento"): 50, (0, "validacion"): 50, (1, "entrenamiento"): 100, (1, "validacion"): 50}
+
+
+@pytest.mark.parametrize("scheme", ["repetido", "series_temporales"])
+def test_counts_stand_for_the_predictions(spark, rows, scheme):
+    """Copies of a row under other keys are one row of the design, with the weight of all."""
+    copies = rows.select("id", "moment", TARGET, *BASE.inputs()).unionAll(rows.select(F.col("id") + 1000, F.col("moment") + 500, TARGET, *BASE.inputs()))
+    moments = evaluate.fold_moments(copies, {"a": LinearFit(TARGET, BASE, 1.0)}, scheme, "id", TARGET, 2, 2, 42, "moment")
+    assert moments.counted.count() <= 150 * (2 if scheme == "repetido" else 1)
+    names = ["repeticion", "fold", "rol", "y", "prediction"]
+    plain = {tuple(r[:5]): r[5] for r in moments.predictions().groupBy(*names).count().collect()}
+    summed = {tuple(r[:5]): r[5] for r in moments.counts().groupBy(*names).agg(F.sum("n")).collect()}
+    at = lambda lines: sorted(((r, f, o, -1.0 if y is None else y, round(p, 9)), n) for (r, f, o, y, p), n in lines.items())
+    assert at(plain) == at(summed)

@@ -369,7 +369,8 @@ def single_predictor_ranking(
     fits = {c: LinearFit(target, PrepPlan(numeric=(c,), scale=False)) for c in numeric}
     fits |= {c: LinearFit(target, PrepPlan(boolean=(c,))) for c in discrete}
     known = df.where(F.col(target).isNotNull())
-    scored = fold_moments(known, fits, "repetido", key, target, folds, repeats, seed).predictions(validation_only=True)
-    maes = scored.groupBy("variante", "repeticion", "fold").agg(F.avg(F.abs(F.col("y") - F.col("prediction"))).alias("mae"))
+    scored = fold_moments(known, fits, "repetido", key, target, folds, repeats, seed).counts(validation_only=True)
+    error = F.when(F.col("prediction").isNotNull(), F.col("n") * F.abs(F.col("y") - F.col("prediction")))
+    maes = scored.groupBy("variante", "repeticion", "fold").agg((F.sum(error) / F.sum(F.when(error.isNotNull(), F.col("n")))).alias("mae"))
     return maes.groupBy(F.col("variante").alias("columna")).agg(
         F.avg("mae").alias("MAE"), F.stddev_pop("mae").alias("desviacion")).orderBy("MAE")
