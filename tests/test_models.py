@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tests.frames import COLUMNS, frame
@@ -167,3 +168,28 @@ def test_trees_are_given_rows_of_like_features_side_by_side(spark, data):
     for part in seen["parts"]:
         heads = [tuple(row[i] for i in sorted(few, key=lambda i: names[i] not in [*adm.PREP.boolean, *adm.PREP.ordinal])) for row in part]
         assert len(part) > 1 and sum(a != b for a, b in zip(heads, heads[1:], strict=False)) == len(set(heads)) - 1
+
+
+def test_boosted_trees_count_equal_rows(spark, data):
+    """Copies weigh as many rows; the trees and the validated errors are those of the rows themselves."""
+    given = []
+
+    class Learner(GBTRegressor):
+        def _fit(self, frame):
+            given.append(frame.count())
+            return super()._fit(frame)
+
+    once = data.where(F.col(Y).isNotNull())
+    copies = once.unionAll(once).unionAll(once)
+    got = models.fit_trees(copies, Y, adm.PREP, Learner(maxIter=3, maxDepth=3, seed=1))
+    assert given == [once.select(*adm.PREP.inputs(), Y).distinct().count()]
+    ready = got.stages[1].transform(got.stages[0].transform(copies))
+    plain = GBTRegressor(maxIter=3, maxDepth=3, seed=1, labelCol=Y).fit(ready)
+    gap = plain.transform(ready).select("id", F.col("prediction").alias("p")).distinct().join(got.transform(once).select("id", "prediction"), "id")
+    assert gap.count() == once.count() and gap.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
+
+
+def test_candidates_are_validated_together_as_one_by_one(spark, data):
+    fits = [models.LinearFit(Y, adm.PREP, 1.0), models.TreeFit(Y, adm.PREP, GBTRegressor(maxIter=2, maxDepth=2, seed=1)), models.LinearFit(Y, adm.PREP, 10.0)]
+    got = evaluate.cross_validated_maes(data, fits, Y, "id", 2)
+    assert got == pytest.approx([evaluate.cross_validated_mae(data, fit, Y, "id", 2) for fit in fits], rel=1e-9)
