@@ -85,3 +85,12 @@ def test_rows_side_by_side_keep_every_row_and_value(spark, rows):
     got = {(r.key, r.atributo): (r.base, r.prediction, r.aporte) for r in treepaths.tree_contributions(near, model, NAMES, baseline, "key").collect()}
     assert len(got) == 2 * len(plain) == 2 * 200 * 4
     assert all(got[k] == plain[k[0].removeprefix("again"), k[1]] for k in got)
+
+
+def test_chi_square_joins_no_rows_without_a_key(spark):
+    df = spark.createDataFrame([("x", "u"), ("x", "v"), ("y", "u"), ("z", "v")], "a string, b string")
+    table = association.chi_square(df, "a", "b")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    r = table.first()
+    assert (r.n, r.filas, r.columnas, r.gl) == (4, 3, 2, 2) and r.chi2 == pytest.approx(2.0)

@@ -157,9 +157,10 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
         F.sum("n").alias("n"), (F.sum(gap * gap / F.col("e")) + F.sum("n") - F.sum("e")).alias("_plain"),
         # of four cells with the same deviation, one that holds rows gives it, and all expectations follow from margins
         F.first(F.abs(gap)).alias("_gap"))
-    shape = of_a.agg(F.count("*").alias("filas"), F.sum(1 / F.col("r")).alias("_ir")).select("*", F.lit(1).alias("_k")).join(
-        of_b.agg(F.count("*").alias("columnas"), F.sum(1 / F.col("c")).alias("_ic")).withColumn("_k", F.lit(1)), "_k").join(
-        sums.withColumn("_k", F.lit(1)), "_k")
+    # one number each; a join of single rows has no key and would be a nested loop
+    shape = sums.withColumns({
+        "filas": of_a.agg(F.count("*")).scalar(), "_ir": of_a.agg(F.sum(1 / F.col("r"))).scalar(),
+        "columnas": of_b.agg(F.count("*")).scalar(), "_ic": of_b.agg(F.sum(1 / F.col("c"))).scalar()})
     yates = F.pow(F.col("_gap") - F.least("_gap", F.lit(0.5)), 2) * F.col("n") * F.col("_ir") * F.col("_ic")
     return shape.withColumn("gl", (F.col("filas") - 1) * (F.col("columnas") - 1)).withColumn(
         "chi2", F.when(F.col("gl") == 1, yates).otherwise(F.greatest(F.lit(0.0), F.col("_plain")))).select(
