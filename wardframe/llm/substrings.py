@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from wardframe.llm.registry import query, table
 from wardframe.llm.repeats import covered, repeated_starts
 from wardframe.llm.text import word_hashes, words_of
-from wardframe.sources.scratch import materialised
+from wardframe.sources.scratch import bucketed
 
 WIDTH, GRAM = 50, 8
 _LAST = (1 << 63) - 1
@@ -31,10 +31,10 @@ _LAST = (1 << 63) - 1
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """key, n_words, n_removed, kept_sha256, kept (text), removed (word runs start, end)."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), body.alias("text"), F.sha2(body, 256).alias("uid"))
-    once = materialised(rows.groupBy("uid").agg(F.first("text").alias("text"), F.min("doc").alias("doc")), "texts")
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), body.alias("text"), F.unhex(F.sha2(body, 256)).alias("uid"))
+    once = bucketed(rows.groupBy("uid").agg(F.first("text").alias("text"), F.min("doc").alias("doc")), "texts", "uid")
     spans = repeated_starts(once, word_hashes, width, gram, first_stays=True)
-    schema = "uid string, n_words long, n_removed long, kept_sha256 string, kept string, removed array<struct<start:long,end:long>>"
+    schema = "uid binary, n_words long, n_removed long, kept_sha256 string, kept string, removed array<struct<start:long,end:long>>"
 
     def cut(batches):
         for batch in batches:
@@ -48,7 +48,7 @@ def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                 out.append((uid, len(words), int(gone.sum()), hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest(), kept, pairs))
             yield pd.DataFrame(out, columns=["uid", "n_words", "n_removed", "kept_sha256", "kept", "removed"])
 
-    results = once.withColumnRenamed("doc", "first_doc").join(spans, "uid", "left").mapInPandas(cut, schema)
+    results = once.withColumnRenamed("doc", "first_doc").join(spans.hint("shuffle_hash"), "uid", "left").mapInPandas(cut, schema)
     firsts = once.select("uid", F.col("doc").alias("first_doc"))
     out = rows.select("key", "doc", "uid").join(firsts, "uid").join(results, "uid")
     # a later copy of the same text goes wholly once it holds one window
