@@ -2,7 +2,7 @@
 
 Vectors are turned into integers and dealt into blocks; in a block every dimension has its list of rows in
 the order of their value.  A query walks its lists from the end that its sign prefers, scores what it meets
-by random access, and stops once the bound (the sum of its weights times the last values seen) is below its
+by random access, and stops once it has met the whole block or the bound (the sum of its weights times the last values seen) is below its
 kth score; equal bounds go on, for ties fall to the smaller id.  The best k of each block meet in one small
 group per query.  Queries meet the rows in pieces (row block x query block), so a task holds two bounded
 blocks whatever the size of the table.
@@ -41,22 +41,26 @@ def threshold_topk(ids: np.ndarray, rows: np.ndarray, values: np.ndarray, lists:
     used = np.flatnonzero(query)
     if not len(used):
         used = np.arange(min(1, dims))
-    weights, falling = query[used], query[used] > 0
-    seen, scores, depth = np.empty(0, np.int64), np.empty(0, values.dtype), 0
-    step = max(2 * k, 16)
+    rising, falling = used[query[used] <= 0], used[query[used] > 0]
+    met, scores, other = np.zeros(n, bool), np.zeros(n, values.dtype), rows != own
+    depth, step = 0, max(2 * k, 16)
     while depth < n:
-        upto = min(n, depth + step)
-        head = np.where(falling[None, :], lists[n - upto:n - depth, used][::-1], lists[depth:upto, used])
-        new = np.setdiff1d(head.ravel(), seen)
-        new_scores = values[new] @ query
-        seen, scores = np.concatenate([seen, new]), np.concatenate([scores, new_scores])
+        upto, before = min(n, depth + step), met.copy()
+        met[lists[depth:upto, rising]] = True
+        met[lists[n - upto:n - depth, falling]] = True
+        new = np.flatnonzero(met & ~before)
+        # a large share of the block is scored in one product, without a copy of its rows
+        scores[new] = (values @ query)[new] if 4 * len(new) > n else values[new] @ query
         depth, step = upto, step * 2
-        real = rows[seen] != own
-        if real.sum() >= k:
-            kth = np.partition(scores[real], -k)[-k]
-            last = np.where(falling, lists[n - depth, used], lists[depth - 1, used])
-            if (values[last, used] * weights).sum() < kth:
+        if met.all():
+            break
+        real = scores[met & other]
+        if len(real) >= k:
+            kth = np.partition(real, -k)[-k]
+            if (values[lists[depth - 1, rising], rising] @ query[rising]) + (values[lists[n - depth, falling], falling] @ query[falling]) < kth:
                 break
+    seen = np.flatnonzero(met)
+    scores = scores[seen]
     real = np.flatnonzero(rows[seen] != own)
     if len(real) > k:
         kth = np.partition(scores[real], -k)[-k]
@@ -84,7 +88,7 @@ def top_k(rows: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id",
             peak = float(np.abs(values.astype(float)).max()) * float(np.abs(wants.astype(float)).max()) * values.shape[1]
             if peak < 2**53:  # sums of such products are whole numbers that a double holds
                 values, wants = values.astype(np.float64), wants.astype(np.float64)
-            ids, own, lists = have["id"].to_numpy(np.int64), have["row"].to_numpy(np.int64), np.argsort(values, axis=0, kind="stable")
+            ids, own, lists = have["id"].to_numpy(np.int64), have["row"].to_numpy(np.int64), np.argsort(values, axis=0, kind="stable").astype(np.int32)
             for q_row, q_id, q in zip(ask["row"], ask["id"], wants, strict=True):
                 for at, score in threshold_topk(ids, own, values, lists, q, q_row, k):
                     out.append((q_row, int(q_id), own[at], int(ids[at]), score))
