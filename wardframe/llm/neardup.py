@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from wardframe.llm.registry import query, table
 from wardframe.llm.text import window_hashes, word_hashes
-from wardframe.sources.scratch import materialised
+from wardframe.sources.scratch import erased, materialised, written
 
 SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
 #: points by which the shared part of two sketches may stay below the similarity
@@ -48,7 +48,10 @@ BATCH = 256
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    words = word_hashes(text, lower=True)
+    return _shingles(word_hashes(text, lower=True), width)
+
+
+def _shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     if not len(words):
         return np.empty(0, np.int64)
     found = np.sort(window_hashes(words, min(width, len(words))).view(np.int64))
@@ -65,8 +68,12 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
     for batch in _batched(batches):
-        sets = [shingle_set(t) for t in batch["text"]]
+        words = [word_hashes(t, lower=True) for t in batch["text"]]
+        sets = [_shingles(w) for w in words]
+        # equal up to case and white space: case beyond ASCII is no shingle's matter
+        plain = [w if t is None or t.isascii() else word_hashes(t.lower()) for t, w in zip(batch["text"], words, strict=True)]
         frame = batch[["key", "tkey"]].assign(
+            words=[len(w) for w in words], alike=[hashlib.md5(w.tobytes()).hexdigest() for w in plain],
             n=[len(s) for s in sets], cls=[hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets],
             sketch=[s[:SKETCH].copy() for s in sets])
         yield frame.astype({"key": "Int64"})
@@ -96,39 +103,45 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """key, tkey (digest of the text), n, component_id: one row per document."""
+    """key, tkey (digest of the text), words, alike (digest up to case and white space), n, component_id: one row per document."""
     if not 50 <= percent <= 100:
         raise ValueError("the sketch demand holds for 50 to 100 percent")
     body = docs.select(F.col(key).cast("long").alias("key"), F.md5(F.col(text)).alias("tkey"), F.col(text).alias("text"))
-    rows = materialised(body.mapInPandas(_sketched, "key long, tkey string, n long, cls string, sketch array<long>"), "sketches")
+    rows = materialised(body.mapInPandas(_sketched, "key long, tkey string, words long, alike string, n long, cls string, sketch array<long>"), "sketches")
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min("key").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = materialised(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # values that one class holds are the rarest of its sketch: they count in what need not be shared, and only the others are listed
     values = classes.select("cid", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
-    shared = values.join(often, "value").groupBy("cid", "n", "k").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
+    often = materialised(values.groupBy("value").agg(F.count("*").alias("often"), F.min("cid").alias("cid")), "often")
     demand = f"greatest(1, k * {percent - SLACK} div 100)"
     need = f"int(least({SHARED}, {demand}))"
+    # only classes with enough values that others hold come to be listed; the values of the rest do not move
+    lone = often.where("often = 1").groupBy("cid").agg(F.count("*").alias("lone"))
+    some = classes.select("cid", "n", "sketch", F.size("sketch").alias("k")).join(lone, "cid", "left").where(f"k - coalesce(lone, 0) - {demand} + {need} > 0")
+    shared = some.select("cid", "n", "k", F.explode("sketch").alias("value")).join(often.where("often > 1").drop("cid").hint("shuffle_hash"), "value").groupBy(
+        "cid", "n", "k").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
     listed = materialised(shared.select(
         "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, int(size(s) - {demand} + {need})))")).alias("e")).select(
         F.col("e.value").alias("value"), "cid", "n", "need"), "lists")
 
-    every_set: list[DataFrame] = []
+    every_set: list[tuple[DataFrame, str]] = []
 
     def sets() -> DataFrame:
         """cid and full set of the listed classes, computed once from one text each."""
         if not every_set:
             wanted = listed.select("cid").distinct().join(classes.select("cid", "tkey"), "cid")
-            texts = body.where(F.col("tkey").isNotNull()).join(wanted, "tkey").groupBy("cid").agg(F.first("text").alias("text"))
-            every_set.append(materialised(texts.mapInPandas(_full, "cid long, full array<long>"), "sets"))
-        return every_set[0]
+            # a class has one text here, so its copies are where the join has brought them: texts move once
+            texts = body.where(F.col("tkey").isNotNull()).join(wanted.hint("shuffle_hash"), "tkey").groupBy("tkey", "cid").agg(F.first("text").alias("text"))
+            every_set.append(written(texts.mapInPandas(_full, "cid long, full array<long>"), "sets"))
+        return every_set[0][0]
 
     # a shingle of no other listed class cannot be in an intersection; sets with too many of those have no partner
-    inside = sets().select("cid", F.size("full").alias("size"), F.explode("full").alias("v"))
-    held = inside.groupBy("v").agg(F.count("*").alias("classes")).where("classes > 1").select("v")
-    able = inside.join(held, "v").groupBy("cid", "size").agg(F.count("*").alias("common")).where(100 * F.col("common") >= percent * F.col("size"))
+    inside = sets().select("cid", F.explode("full").alias("v"))
+    alone = inside.groupBy("v").agg(F.count("*").alias("classes"), F.min("cid").alias("cid")).where("classes = 1").groupBy("cid").agg(F.count("*").alias("alone"))
+    able = sets().select("cid", F.size("full").alias("size")).join(alone, "cid", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0))).where(
+        100 * F.col("common") >= percent * F.col("size"))
     able = able.select("cid", "common", (F.col("common") / F.col("size")).alias("central"))
     linkable = materialised(listed.join(able, "cid"), "linkable")
 
@@ -205,8 +218,10 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
 
     grouped = classes.select("cls", "cid", "least").join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cls", "component_id")
-    out = rows.join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")))
-    return out.select("key", "tkey", "n", "component_id")
+    out = rows.drop("sketch").join(named, "cls", "left").withColumn("component_id", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")))
+    for _, folder in every_set:
+        erased(docs.sparkSession, folder)
+    return out.select("key", "tkey", "words", "alike", "n", "component_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -53,17 +53,16 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity
     return placed
 
 
-def near_clusters(docs: DataFrame, text: str, alike: Column) -> DataFrame:
-    """digest, near: the duplicate cluster of each text, ``alike`` texts and near copies linked together."""
+def near_clusters(docs: DataFrame, text: str) -> DataFrame:
+    """digest, near, words: the duplicate cluster of each text, near copies and texts alike up to case and white space linked together."""
     found = judged(docs.select(F.monotonically_increasing_id().alias("k"), F.col(text).alias("t")), "k", "t", NEAR_PERCENT)
-    near = found.where("tkey IS NOT NULL").groupBy("tkey").agg(F.min("component_id").alias("c"))
-    classes = docs.where(F.col(text).isNotNull()).groupBy(F.md5(F.col(text)).alias("tkey")).agg(F.min(alike).alias("alike"))
-    labels = materialised(near.join(classes, "tkey"), "near")
+    labels = materialised(found.where("tkey IS NOT NULL").groupBy("tkey").agg(
+        F.min("component_id").alias("c"), F.min("alike").alias("alike"), F.min("words").alias("words")), "near")
     least = labels.groupBy("alike").agg(F.min("c").alias("a"), F.max("c").alias("last")).where("a < last").select("alike", "a")
     links = labels.join(least, "alike").select("a", F.col("c").alias("b"))  # case beyond ASCII is no shingle's matter
     if not links.isEmpty():
         labels = labels.join(components(links), F.col("c") == F.col("node"), "left").withColumn("c", F.coalesce("root", "c"))
-    return labels.select(F.col("tkey").alias("digest"), F.concat(F.lit("n"), F.col("c").cast("string")).alias("near"))
+    return labels.select(F.col("tkey").alias("digest"), F.concat(F.lit("n"), F.col("c").cast("string")).alias("near"), "words")
 
 
 def pack(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", capacity: int = CAPACITY, cluster: Column | None = None) -> DataFrame:
@@ -72,13 +71,11 @@ def pack(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     ``cluster`` names the duplicate cluster of a row; by default equal texts up to case and white space and near copies.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    alike = F.md5(F.lower(F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " "))))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
-        (alike if cluster is None else cluster.cast("string")).alias("cluster"), F.md5(body).alias("digest"),
-        F.regexp_count(body, F.lit(WORD_PATTERN)).cast("long").alias("words"))
-    if cluster is None:
-        rows = rows.join(near_clusters(docs, text, alike), "digest", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near")
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).alias("source"), F.md5(body).alias("digest"),
+        *([] if cluster is None else [cluster.cast("string").alias("cluster"), F.regexp_count(body, F.lit(WORD_PATTERN)).cast("long").alias("words")]))
+    if cluster is None:  # null texts have no label and no words
+        rows = rows.join(near_clusters(docs, text), "digest", "left").withColumn("words", F.coalesce("words", F.lit(0))).withColumnRenamed("near", "cluster")
     rows = materialised(rows, "pack-rows")
     full = F.floor(F.col("words") / capacity)
     rows = rows.withColumn("full", full).withColumn("rest", F.col("words") - full * capacity)
