@@ -114,7 +114,7 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
 
     # values that one class holds are the rarest of its sketch: they count in what need not be shared, and only the others are listed
     values = classes.select("cid", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    often = materialised(values.groupBy("value").agg(F.count("*").alias("often"), F.min("cid").alias("cid")), "often")
+    often, often_folder = written(values.groupBy("value").agg(F.count("*").alias("often"), F.min("cid").alias("cid")), "often")
     demand = f"greatest(1, k * {percent - SLACK} div 100)"
     need = f"int(least({SHARED}, {demand}))"
     # only classes with enough values that others hold come to be listed; the values of the rest do not move
@@ -126,6 +126,7 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
         "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, int(size(s) - {demand} + {need})))")).alias("e")).select(
         F.col("e.value").alias("value"), "cid", "n", "need"), "lists")
 
+    erased(docs.sparkSession, often_folder)
     every_set: list[tuple[DataFrame, str]] = []
 
     def sets() -> DataFrame:
