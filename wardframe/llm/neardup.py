@@ -25,16 +25,18 @@ another id is there; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardframe.llm.registry import query, table
-from wardframe.llm.text import window_hashes, word_hashes
+from wardframe.llm.text import hashes_of_words, window_hashes, word_hashes
 from wardframe.sources.scratch import erased, materialised, written
 
 SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
@@ -42,46 +44,147 @@ SHINGLE, SKETCH, PERCENT, PIVOT_ROUNDS = 5, 64, 85, 2
 SLACK = 35
 #: values that a candidate pair shares in its lists; each sketch is listed that much beyond what a pair need not share
 SHARED = 8
-#: rows of which a task holds the sets at a time
-BATCH = 256
+#: bits of the filter before a join, 4 MB that every task is sent
+FILTER_BITS = 1 << 25
+#: bytes of text of which a task holds the sets at a time
+PART_BYTES = 1 << 17
+#: list entries that a task sorts at a time, and that one slot of their values gets on average
+PART_VALUES, SLOT_VALUES = 1 << 20, 1 << 20
 
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    return _shingles(word_hashes(text, lower=True), width)
-
-
-def _shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
-    if not len(words):
-        return np.empty(0, np.int64)
-    found = np.sort(window_hashes(words, min(width, len(words))).view(np.int64))
-    return found[np.concatenate([[True], found[1:] != found[:-1]])]
-
-
-def _batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    words = word_hashes(text, lower=True)
+    return shingle_sets(words, np.array([0, len(words)]), width)[0]
+
+
+def shingle_sets(words: np.ndarray, edges: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of several texts, one after another, and where each text's begin.
+
+    Text i has the word hashes ``words[edges[i]:edges[i + 1]]``, and ``words`` has no others.
+    """
+    counts = np.diff(edges)
+    sizes = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
+    ends = np.cumsum(sizes)
+    found = np.empty(int(sizes.sum()), np.uint64)
+    text = np.repeat(np.arange(len(counts)), counts)
+    found[np.repeat(counts >= width, sizes)] = window_hashes(words, width)[text[:len(text) - width + 1] == text[width - 1:]] if len(words) >= width else 0
+    for i in np.flatnonzero((counts > 0) & (counts < width)):  # too short for a shingle: all words are one
+        found[ends[i] - 1] = window_hashes(words[edges[i]:edges[i + 1]], int(counts[i]))[0]
+    found = found.view(np.int64)
+    begin = ends - sizes
+    for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
+        found[a:b].sort()
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    new[begin[sizes > 0]] = True
+    return found[new], np.concatenate([[0], np.cumsum(new)])[np.concatenate([begin, [len(found)]])]
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch of at most ``PART_BYTES`` of text (or one row), with the bytes of their texts and where each begins."""
+    texts = pc.fill_null(batch.column("text"), "").cast(pa.large_string())
+    _, places, data = texts.buffers()
+    edges = np.frombuffer(places, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(edges, edges[at] + PART_BYTES, "right")) - 1)
+        yield batch.slice(at, end - at), raw[edges[at]:edges[end]], edges[at:end + 1] - edges[at]
+        at = end
+
+
+def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values))
+
+
+def _digests(values: np.ndarray, edges: np.ndarray) -> list[str]:
+    ends = edges.tolist()
+    return [hashlib.md5(values[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, len(batch), BATCH):
-            yield batch.iloc[at:at + BATCH]
-
-
-def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
-
-    for batch in _batched(batches):
-        words = [word_hashes(t, lower=True) for t in batch["text"]]
-        sets = [_shingles(w) for w in words]
-        # equal up to case and white space: case beyond ASCII is no shingle's matter
-        plain = [w if t is None or t.isascii() else word_hashes(t.lower()) for t, w in zip(batch["text"], words, strict=True)]
-        frame = batch[["key", "tkey"]].assign(
-            words=[len(w) for w in words], alike=[hashlib.md5(w.tobytes()).hexdigest() for w in plain],
-            n=[len(s) for s in sets], cls=[hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets],
-            sketch=[s[:SKETCH].copy() for s in sets])
-        yield frame.astype({"key": "Int64"})
-
-
-def _full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in _batched(batches):
-        yield pd.DataFrame({"cid": batch["cid"].to_numpy(), "full": [shingle_set(t) for t in batch["text"]]})
+        for part, raw, edges in _parts(batch):
+            words, words_at = hashes_of_words(raw, edges, lower=True)
+            sets, at = shingle_sets(words, words_at)
+            # equal up to case and white space: case beyond ASCII is no shingle's matter
+            alike = _digests(words, words_at)
+            odd = raw >= 0xC4  # up to U+00FF only A-Z and U+00C0 to U+00DE change
+            odd[:-1] |= (raw[:-1] == 0xC3) & (raw[1:] < 0x9F)
+            for i in np.flatnonzero(np.diff(np.searchsorted(np.flatnonzero(odd), edges))):
+                body = raw[edges[i]:edges[i + 1]].tobytes()
+                low = body.decode("utf-8").lower()
+                if low.encode("utf-8") != body.lower():
+                    alike[i] = hashlib.md5(word_hashes(low)).hexdigest()
+            n = np.diff(at)
+            kept = np.minimum(n, SKETCH)
+            sketch = _lists(sets[np.arange(len(sets)) - np.repeat(at[:-1], n) < SKETCH], np.concatenate([[0], np.cumsum(kept)]))
+            cls = pa.array(_digests(sets, at), pa.string(), mask=n == 0)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), part.column("tkey"), pa.array(np.diff(words_at)), pa.array(alike, pa.string()), pa.array(n), cls, sketch],
+                ["key", "tkey", "words", "alike", "n", "cls", "sketch"])
+
+
+def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, raw, edges in _parts(batch):
+            yield pa.RecordBatch.from_arrays([part.column("cid"), _lists(*shingle_sets(*hashes_of_words(raw, edges, lower=True)))], ["cid", "full"])
+
+
+def _merged(values: np.ndarray, counts: np.ndarray, cids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, how often each comes and one of its cids."""
+    order = np.argsort(values)
+    values, counts, cids = values[order], counts[order], cids[order]
+    new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return values[new], np.add.reduceat(counts, new), cids[new]
+
+
+def holders(lists: DataFrame, column: str, entries: int) -> DataFrame:
+    """value, often: what more than one cid holds; and without a value, cid, lone: how many values it alone holds, in parts to be summed.
+
+    ``lists`` has cid and an array of distinct longs, ``entries`` in all.  Values are counted in each task first and dealt by value
+    into slots, many to a row; a value that all hold is one entry of each part of a task.
+    """
+    slots = max(int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries // SLOT_VALUES))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            array = batch.column(column)
+            ends, at = np.concatenate([[0], np.cumsum(array.value_lengths().to_numpy(zero_copy_only=False))]), 0
+            flat, owners = array.flatten().to_numpy(), batch.column("cid").to_numpy()
+            while at < len(batch):
+                end = max(at + 1, int(np.searchsorted(ends, ends[at] + PART_VALUES, "right")) - 1)
+                if ends[end] > ends[at]:
+                    values, counts, cids = _merged(flat[ends[at]:ends[end]], np.ones(ends[end] - ends[at], np.int64), np.repeat(owners[at:end], np.diff(ends[at:end + 1])))
+                    slot = (values.view(np.uint64) % np.uint64(slots)).astype(np.int32)
+                    order = np.argsort(slot, kind="stable")
+                    sizes = np.bincount(slot, minlength=slots)
+                    here = np.flatnonzero(sizes)
+                    edges = np.concatenate([[0], np.cumsum(sizes[here])])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(here.astype(np.int32)), *[_lists(v[order], edges) for v in (values, counts, cids)]], ["slot", "values", "counts", "cids"])
+                at = end
+
+    def counted(table: pa.Table) -> pa.Table:
+        values, counts, cids = _merged(*[pc.list_flatten(table.column(c)).to_numpy() for c in ("values", "counts", "cids")])
+        many = counts > 1
+        lone, times = np.unique(cids[~many], return_counts=True)
+        none = pa.nulls(len(lone), pa.int64()), pa.nulls(int(many.sum()), pa.int64())
+        parts = [(pa.array(values[many]), none[0]), (pa.array(counts[many]), none[0]), (none[1], pa.array(lone)), (none[1], pa.array(times))]
+        return pa.Table.from_arrays([pa.chunked_array(p, pa.int64()) for p in parts], ["value", "often", "cid", "lone"])
+
+    dealt_out = lists.select("cid", column).mapInArrow(dealt, "slot int, values array<long>, counts array<long>, cids array<long>")
+    return dealt_out.groupBy("slot").applyInArrow(counted, "value long, often long, cid long, lone long")
+
+
+def likely(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` is in ``wanted``, and few others: a filter before a join, by one bit for each of ``FILTER_BITS`` hashes."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    byte = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
+    marked = rows.withColumn("bucket", F.bitmap_bucket_number(place)).withColumn("bit", F.bitmap_bit_position(place)).join(F.broadcast(bits), "bucket")
+    return marked.where(F.getbit(byte, F.expr("int(bit % 8)")) == 1).select(*rows.columns)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -107,20 +210,20 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     if not 50 <= percent <= 100:
         raise ValueError("the sketch demand holds for 50 to 100 percent")
     body = docs.select(F.col(key).cast("long").alias("key"), F.md5(F.col(text)).alias("tkey"), F.col(text).alias("text"))
-    rows = materialised(body.mapInPandas(_sketched, "key long, tkey string, words long, alike string, n long, cls string, sketch array<long>"), "sketches")
+    rows = materialised(body.mapInArrow(_sketched, "key long, tkey string, words long, alike string, n long, cls string, sketch array<long>"), "sketches")
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min("key").alias("least"), F.min("tkey").alias("tkey"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = materialised(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # values that one class holds are the rarest of its sketch: they count in what need not be shared, and only the others are listed
-    values = classes.select("cid", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    often, often_folder = written(values.groupBy("value").agg(F.count("*").alias("often"), F.min("cid").alias("cid")), "often")
+    size = classes.agg(F.sum(F.least("n", F.lit(SKETCH))).alias("kept"), F.sum("n").alias("all")).first()
+    often, often_folder = written(holders(classes, "sketch", size["kept"] or 0), "often")
     demand = f"greatest(1, k * {percent - SLACK} div 100)"
     need = f"int(least({SHARED}, {demand}))"
     # only classes with enough values that others hold come to be listed; the values of the rest do not move
-    lone = often.where("often = 1").groupBy("cid").agg(F.count("*").alias("lone"))
+    lone = often.where("value IS NULL").groupBy("cid").agg(F.sum("lone").alias("lone"))
     some = classes.select("cid", "n", "sketch", F.size("sketch").alias("k")).join(lone, "cid", "left").where(f"k - coalesce(lone, 0) - {demand} + {need} > 0")
-    shared = some.select("cid", "n", "k", F.explode("sketch").alias("value")).join(often.where("often > 1").drop("cid").hint("shuffle_hash"), "value").groupBy(
+    shared = some.select("cid", "n", "k", F.explode("sketch").alias("value")).join(often.where("value IS NOT NULL").select("value", "often").hint("shuffle_hash"), "value").groupBy(
         "cid", "n", "k").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("s"))  # at most k entries
     listed = materialised(shared.select(
         "cid", "n", F.expr(need).alias("need"), F.explode(F.expr(f"slice(s, 1, greatest(0, int(size(s) - {demand} + {need})))")).alias("e")).select(
@@ -133,14 +236,13 @@ def judged(docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
         """cid and full set of the listed classes, computed once from one text each."""
         if not every_set:
             wanted = listed.select("cid").distinct().join(classes.select("cid", "tkey"), "cid")
-            # a class has one text here, so its copies are where the join has brought them: texts move once
-            texts = body.where(F.col("tkey").isNotNull()).join(wanted.hint("shuffle_hash"), "tkey").groupBy("tkey", "cid").agg(F.first("text").alias("text"))
-            every_set.append(written(texts.mapInPandas(_full, "cid long, full array<long>"), "sets"))
+            # a class has one text here, so its copies are where the join has brought them: texts move once, and few that are not wanted
+            texts = likely(body.where(F.col("tkey").isNotNull()), wanted, "tkey").join(wanted.hint("shuffle_hash"), "tkey").groupBy("tkey", "cid").agg(F.first("text").alias("text"))
+            every_set.append(written(texts.mapInArrow(_full, "cid long, full array<long>"), "sets"))
         return every_set[0][0]
 
     # a shingle of no other listed class cannot be in an intersection; sets with too many of those have no partner
-    inside = sets().select("cid", F.explode("full").alias("v"))
-    alone = inside.groupBy("v").agg(F.count("*").alias("classes"), F.min("cid").alias("cid")).where("classes = 1").groupBy("cid").agg(F.count("*").alias("alone"))
+    alone = holders(sets(), "full", size["all"] or 0).where("value IS NULL").groupBy("cid").agg(F.sum("lone").alias("alone"))
     able = sets().select("cid", F.size("full").alias("size")).join(alone, "cid", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0))).where(
         100 * F.col("common") >= percent * F.col("size"))
     able = able.select("cid", "common", (F.col("common") / F.col("size")).alias("central"))
