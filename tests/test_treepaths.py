@@ -10,7 +10,11 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from wardframe.operators import association, treepaths
+from catalog import explaining
+from tests.frames import frame
+from wardframe.operators import association, explain, treepaths
+from wardframe.operators.models import fit_trees
+from wardframe.operators.prep import PREFIX, PrepPlan
 
 NAMES = ["a", "b", "c", "d"]
 
@@ -94,3 +98,49 @@ def test_chi_square_joins_no_rows_without_a_key(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     r = table.first()
     assert (r.n, r.filas, r.columnas, r.gl) == (4, 3, 2, 2) and r.chi2 == pytest.approx(2.0)
+
+
+def prepared(spark):
+    df = frame(spark, 200, seed=5, nulls=0.1)
+    plan = PrepPlan(numeric=("cgpa", "gre_score"), boolean=("research",), square=("cgpa",), indicator=True)
+    return df, fit_trees(df, "chance_of_admit", plan, RandomForestRegressor(numTrees=6, maxDepth=6, seed=3))
+
+
+def test_every_cell_has_the_prediction_of_its_rows(spark):
+    df, model = prepared(spark)
+    names = [PREFIX + c for c in model.stages[0].feature_names()]
+    grid = treepaths.CellGrid(treepaths.leaves_of(model.stages[2]), len(names))
+    scored = model.transform(df).toPandas()
+    assert np.allclose(grid.table()[grid.codes(scored[names].to_numpy(float))], scored["prediction"], atol=1e-12)
+    with pytest.raises(ValueError, match="unknown"):
+        grid.codes(np.full((1, len(names)), np.nan))
+
+
+def test_permuted_trees_are_looked_up_and_not_scored(spark, monkeypatch, capsys):
+    """The same errors as scoring every moved row, and no row of the join meets the trees."""
+    df, model = prepared(spark)
+    features = ["cgpa", "gre_score", "research", "sop"]
+    permuted = explain.permuted_scores(df, model, features, "chance_of_admit", "id", 4)
+    permuted.explain()
+    plan = capsys.readouterr().out
+    assert "ShuffledHashJoin" in plan and "UDF(features" not in plan and "predict" not in plan.lower()
+    got = {(r.atributo, r.repeticion): (r.error_base, r.error) for r in permuted.collect()}
+    monkeypatch.setattr(explain, "_grid_of", lambda model, features: None)
+    want = {(r.atributo, r.repeticion): (r.error_base, r.error) for r in explain.permuted_scores(df, model, features, "chance_of_admit", "id", 4).collect()}
+    assert got.keys() == want.keys() and len(got) == 16
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in got)
+
+
+def test_importances_are_compared_for_one_forest(spark, monkeypatch):
+    """j4 fits once, and neither permutation nor contributions are computed again for their shares."""
+    fits = []
+    small = lambda train: fits.append(1) or fit_trees(train, "target", explaining_plan, RandomForestRegressor(numTrees=2, maxDepth=3, seed=1))
+    explaining_plan = PrepPlan(numeric=("quantity",), boolean=("open",))
+    rows = spark.createDataFrame([(i, float(i % 9), 0.1, 0.1, "1", i % 2 == 0, (i % 9) / 9 + i % 2) for i in range(80)],
+                                 "key bigint, quantity double, discount double, tax double, level string, open boolean, target double")
+    monkeypatch.setattr(explaining, "fitted_forest", small)
+    monkeypatch.setattr(explaining, "sides", lambda spark, sf: (rows.where("key < 60"), rows.where("key >= 60")))
+    table = explaining.j4(spark, "")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert len(fits) == 1 and "InPandas" not in plan
+    assert sum(r.contribucion_pct for r in table.collect()) == pytest.approx(100)

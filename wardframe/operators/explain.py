@@ -7,14 +7,17 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressionModel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe.operators.evaluate import fold_moments
 from wardframe.operators.models import Line, LinearFit
-from wardframe.operators.prep import PrepPlan
+from wardframe.operators.prep import PREFIX, ColumnPrepModel, PrepPlan
 from wardframe.operators.profile import seeded_sample
 from wardframe.operators.ranks import hash_indexed, long_numbers, quantiles_of
+from wardframe.operators.treepaths import GRID_CELLS, CellGrid, leaves_of
 from wardframe.sources.scratch import materialised
 
 # Repeats of the permutation, ICE sample size, points and trimmed range of a grid, neighbours of the local dispersion.
@@ -39,16 +42,13 @@ def permuted_scores(
     (p i + q) mod n, which is a bijection because p does not divide n.  One shuffle join serves all
     columns and repeats, and no row order is gathered anywhere.  The join is held to a shuffle: the donors are
     ``repeats`` times the rows, but their size is estimated as that of the rows, small enough to broadcast.
+    A tree ensemble is asked once per cell between its limits, where these fit a table: rows and donors are cells then.
     """
-    rows = materialised(hash_indexed(df.where(F.col(target).isNotNull()).select(key, *features, target), key, salt), "indexed")
-    n = rows.count()
-    moves = []
-    for r in range(1, repeats + 1):
-        usable = [p for p in _PRIMES if n % p != 0]
-        p = usable[r % len(usable)]
-        q = int(n * ((r * 0.6180339887498949) % 1.0))
-        moves.append(F.struct(F.lit(r).alias("repeticion"), F.pmod(F.col("_index") * F.lit(p) + F.lit(q), F.lit(n)).alias("_index")))
-    donors = rows.select(F.inline(F.array(*moves)).alias("repeticion", "_to"), *[F.col(c).alias(f"_d_{c}") for c in features])
+    rows = hash_indexed(df.where(F.col(target).isNotNull()).select(key, *features, target), key, salt)
+    if tree := _grid_of(model, features):
+        return _permuted_cells(rows, *tree, features, target, repeats)
+    rows = materialised(rows, "indexed")
+    donors = rows.select(F.inline(_moves(rows.count(), repeats)).alias("repeticion", "_to"), *[F.col(c).alias(f"_d_{c}") for c in features])
     joined = rows.hint("shuffle_hash").join(donors, rows["_index"] == donors["_to"])
     variants = F.array(*[
         F.struct(F.lit(f).alias("atributo"), *[(F.col(f"_d_{c}") if c == f else F.col(c)).alias(f"_v_{c}") for c in features])
@@ -61,6 +61,67 @@ def permuted_scores(
     return errors.select("atributo", "repeticion", base.alias("error_base"), "error")
 
 
+def _moves(n: int, repeats: int) -> Column:
+    """(repeticion, _index): where every repeat sends a row of ``n``."""
+    moves = []
+    for r in range(1, repeats + 1):
+        usable = [p for p in _PRIMES if n % p != 0]
+        p = usable[r % len(usable)]
+        q = int(n * ((r * 0.6180339887498949) % 1.0))
+        moves.append(F.struct(F.lit(r).alias("repeticion"), F.pmod(F.col("_index") * F.lit(p) + F.lit(q), F.lit(n)).alias("_index")))
+    return F.array(*moves)
+
+
+def _grid_of(model: Model, features: Sequence[str]) -> tuple[ColumnPrepModel, CellGrid, dict[str, list[int]]] | None:
+    """The preparation, the cells and the vector's places that hang on each feature, if the model is made of prepared trees,
+    every place hangs on one feature and the cells fit a table."""
+    kinds = (RandomForestRegressionModel, GBTRegressionModel, DecisionTreeRegressionModel)
+    stages = model.stages if isinstance(model, PipelineModel) else []
+    if len(stages) != 3 or not isinstance(stages[0], ColumnPrepModel) or not isinstance(stages[1], VectorAssembler) or not isinstance(stages[2], kinds):
+        return None
+    names, sources = stages[0].feature_names(), stages[0].feature_sources()
+    if stages[1].getInputCols() != [PREFIX + c for c in names] or any(sources.get(c) not in features for c in names):
+        return None
+    grid = CellGrid(leaves_of(stages[2]), len(names))
+    return (stages[0], grid, {c: [j for j, name in enumerate(names) if sources[name] == c] for c in features}) if grid.cells <= GRID_CELLS else None
+
+
+def _permuted_cells(
+    indexed: DataFrame, prep: ColumnPrepModel, grid: CellGrid, places: Mapping[str, Sequence[int]], features: Sequence[str], target: str, repeats: int,
+) -> DataFrame:
+    """``permuted_scores`` of trees: a donor is one number, and a prediction one lookup in a table that is made once."""
+    names = [PREFIX + c for c in prep.feature_names()]
+    looked_up = indexed.sparkSession.sparkContext.broadcast(grid.table())
+    grid.leaves = ()  # the table holds all that they say
+
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"_index": batch["_index"], "_y": batch["_y"], "_cell": grid.codes(batch[names].to_numpy(float))})
+
+    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sums of the task's rows: one per feature and repeat, and without donors one in all."""
+        table, sums, sizes = looked_up.value, np.zeros((repeats + 1, len(features))), np.zeros(repeats + 1, np.int64)
+        for batch in batches:
+            y, own, number = batch["_y"].to_numpy(float), batch["_cell"].to_numpy(), batch["repeticion"].to_numpy()
+            donor = batch["_donor"].to_numpy()
+            sizes += np.bincount(number, minlength=repeats + 1)
+            for j, c in enumerate(features):
+                cell = own if not places[c] else own - grid.part(own, places[c]) + grid.part(donor, places[c])
+                sums[:, j] += np.bincount(number, np.abs(y - table[cell]), repeats + 1)
+        at = np.flatnonzero(sizes)
+        yield pd.DataFrame({
+            "repeticion": at.repeat(len(features)).astype(np.int32), "atributo": list(features) * len(at), "s": sums[at].ravel(), "n": sizes[at].repeat(len(features))})
+
+    prepared = prep.transform(indexed).select("_index", F.col(target).cast("double").alias("_y"), *[F.col(f"`{c}`").cast("double").alias(c) for c in names])
+    rows = materialised(prepared.mapInPandas(coded, "_index long, _y double, _cell long"), "indexed")
+    donors = rows.select(F.inline(_moves(rows.count(), repeats)).alias("repeticion", "_to"), F.col("_cell").alias("_donor"))
+    joined = rows.hint("shuffle_hash").join(donors, rows["_index"] == donors["_to"])
+    columns, schema = ["repeticion", "_y", "_cell", "_donor"], "repeticion int, atributo string, s double, n long"
+    summed = lambda pairs: pairs.select(*columns).mapInPandas(errors, schema).groupBy("atributo", "repeticion").agg((F.sum("s") / F.sum("n")).alias("error"))
+    base = summed(rows.withColumns({"repeticion": F.lit(0), "_donor": F.col("_cell")})).agg(F.first("error")).first()[0]  # every feature says the same
+    return summed(joined).select("atributo", "repeticion", F.lit(base).cast("double").alias("error_base"), "error")
+
+
 def permutation_importance(
     df: DataFrame, model: Model, features: Sequence[str], target: str, key: str, repeats: int = PERMUTATIONS
 ) -> DataFrame:
@@ -99,9 +160,12 @@ def ordered_contributions(contributions: DataFrame, keep: Sequence[str]) -> Data
 
 
 def compare_importances(impurity: DataFrame, permutation: DataFrame, contributions: DataFrame) -> DataFrame:
-    """(atributo, impureza_pct, permutacion_pct, contribucion_pct); negative permutation counts as 0."""
-    positive = permutation.select("atributo", F.greatest(F.col("importancia"), F.lit(0.0)).alias("v"))
-    strength = contributions.groupBy("atributo").agg(F.avg(F.abs("aporte")).alias("v"))
+    """(atributo, impureza_pct, permutacion_pct, contribucion_pct); negative permutation counts as 0.
+
+    The row per feature of either side is written first: its total and its shares both read it.
+    """
+    positive = materialised(permutation.select("atributo", F.greatest(F.col("importancia"), F.lit(0.0)).alias("v")), "permutation")
+    strength = materialised(contributions.groupBy("atributo").agg(F.avg(F.abs("aporte")).alias("v")), "strength")
 
     def share(table: DataFrame, name: str) -> DataFrame:
         total = table.agg(F.sum("v")).scalar()

@@ -267,5 +267,14 @@ class ColumnPrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWr
         }
         return list(prep_columns(plan, learned, types))
 
+    def feature_sources(self) -> dict[str, str]:
+        """The one input column that each feature is made of; derived features are left out."""
+        plan, learned = self.the_plan(), self.values()
+        sources = {c: c for c in plan.inputs()} | {f"log_{c}": c for c in plan.log} | {f"sqrt_{c}": c for c in plan.root} | {f"{c}_cuadrado": c for c in plan.square}
+        sources = {name: c for name, c in sources.items() if name not in plan.derived}
+        if plan.onehot:
+            sources |= {level_name(c, v): c for c in plan.ordinal for v in learned["seen"][c]}
+        return sources | {f"{name}_ausente": sources[name] for name in learned["with_nulls"] if name in sources}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset.withColumns({PREFIX + k: v for k, v in self.features(dict(dataset.dtypes)).items()})

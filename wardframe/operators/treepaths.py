@@ -9,7 +9,7 @@ for any number of features, in Arrow batches without an exchange.
 
 Leaves only compare a value with the limits of its feature, so rows between the same limits have the same contributions:
 those of a chunk are walked once per such cell.  Cells are bounded by the trees and not by the rows; ``side_by_side``
-brings like rows together first.
+brings like rows together first.  Where the cells are few enough for a table (``CellGrid``), a prediction is one lookup.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from math import comb
+from math import comb, prod
 
 import numpy as np
 import pandas as pd
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 CHUNK_ROWS = 100_000
 FRAME_ROWS = 10_000
 
+# Cells that a table of predictions may have (8 bytes each).
+GRID_CELLS = 1 << 23
+
 _LINE = re.compile(r"^(?P<pad> *)(?:(?P<branch>If|Else) \(feature (?P<feature>\d+) (?P<rule><=|>|in|not in) (?P<limit>[^)]*)\)|Predict: (?P<value>\S+)|Tree \d+ \(weight (?P<weight>\S+)\):)")
 
 
@@ -96,18 +99,63 @@ def path_contributions(leaves: Sequence[Leaf], x: np.ndarray, baseline: np.ndarr
     return out, base
 
 
-def cells_of(leaves: Sequence[Leaf], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first row of each cell, cell of each row): rows of a cell lie between the same limits of every feature."""
-    limits: list[set[float]] = [set() for _ in range(x.shape[1])]
+def limits_of(leaves: Sequence[Leaf], features: int) -> list[np.ndarray]:
+    """The values of each feature at which some leaf ends, ascending."""
+    limits: list[set[float]] = [set() for _ in range(features)]
     for leaf in leaves:
         for feature, *ends in zip(leaf.features, leaf.low, leaf.high, strict=True):
             limits[feature].update(v for v in ends if np.isfinite(v))
+    return [np.array(sorted(ends), dtype=float) for ends in limits]
+
+
+def cells_of(leaves: Sequence[Leaf], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row of each cell, cell of each row): rows of a cell lie between the same limits of every feature."""
     # a limit belongs to the interval below it; NaN lies in no interval
-    places = np.column_stack([np.where(np.isnan(x[:, j]), -1, np.searchsorted(sorted(ends), x[:, j])) for j, ends in enumerate(limits)])
+    places = np.column_stack([np.where(np.isnan(x[:, j]), -1, np.searchsorted(ends, x[:, j])) for j, ends in enumerate(limits_of(leaves, x.shape[1]))])
     _, first, cell = np.unique(places, axis=0, return_index=True, return_inverse=True)
     return first, cell.ravel()
 
 
+class CellGrid:
+    """Every cell between the limits of the trees with its prediction; a cell is one number, a digit per feature."""
+
+    def __init__(self, leaves: Sequence[Leaf], features: int):
+        self.limits = limits_of(leaves, features)
+        self.sizes = [len(ends) + 1 for ends in self.limits]
+        # the feature with most intervals lies innermost, so that boxes are made of long runs
+        self.order = sorted(range(features), key=lambda j: self.sizes[j])
+        self.strides = [prod(self.sizes[i] for i in self.order[self.order.index(j) + 1:]) for j in range(features)]
+        self.leaves = leaves
+
+    @property
+    def cells(self) -> int:
+        return prod(self.sizes)
+
+    def table(self) -> np.ndarray:
+        """The prediction of every cell: each leaf adds its value to the box that its path asks for."""
+        grid = np.zeros([self.sizes[j] for j in self.order])
+        for leaf in self.leaves:
+            box = [slice(None)] * len(self.sizes)
+            for feature, low, high in zip(leaf.features, leaf.low, leaf.high, strict=True):
+                ends = self.limits[feature]
+                box[feature] = slice(int(np.searchsorted(ends, low)) + 1 if np.isfinite(low) else 0, int(np.searchsorted(ends, high)) + 1 if np.isfinite(high) else None)
+            grid[tuple(box[j] for j in self.order)] += leaf.value
+        return grid.ravel()
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """The cell of every row."""
+        if np.isnan(x).any():
+            raise ValueError("a feature is unknown after the preparation")
+        code = np.zeros(len(x), np.int64)
+        for j, ends in enumerate(self.limits):
+            code += np.searchsorted(ends, x[:, j]) * self.strides[j]
+        return code
+
+    def part(self, code: np.ndarray, features: Sequence[int]) -> np.ndarray:
+        """What the digits of some features add to a cell's number."""
+        return sum(((code // self.strides[j]) % self.sizes[j] * self.strides[j] for j in features), np.zeros(len(code), np.int64))
+
+
 def side_by_side(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
     """The same rows with like features beside each other; the key cuts a value that many rows share."""
     return df.repartitionByRange(*[F.col(f"`{c}`") for c in features], F.col(f"`{key}`")).sortWithinPartitions(*[F.col(f"`{c}`") for c in features])
