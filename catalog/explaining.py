@@ -89,8 +89,8 @@ def j3a(spark, sf):
         F.count("*").alias("n"), F.sum("k").alias("aportes"), F.count_if(F.abs(F.col("sum") - F.col("prediction")) < 1e-9).alias("aditivas"))
 
 
-def _tree_inputs(train, test):
-    model = fitted_forest(train)
+def _tree_inputs(train, test, model=None):
+    model = model or fitted_forest(train)
     ready_train, ready_test = model.stages[0].transform(train), model.stages[0].transform(test)
     names = [PREFIX + f for f in model.stages[0].feature_names()]
     row = ready_train.agg(*[F.avg(c).alias(c) for c in names]).first()
@@ -104,7 +104,7 @@ def j4(spark, sf):
     names = model.stages[0].feature_names()
     impurity = explain.impurity_importance(model, names, spark)
     permutation = explain.permutation_importance(test, model, FEATURES, TARGET, "key")
-    contributions = tree_contributions(*_tree_inputs(train, test)).withColumn("atributo", F.regexp_replace("atributo", f"^{PREFIX}", ""))
+    contributions = tree_contributions(*_tree_inputs(train, test, model)).withColumn("atributo", F.regexp_replace("atributo", f"^{PREFIX}", ""))
     return explain.compare_importances(impurity, permutation, contributions)
 
 
