@@ -152,6 +152,36 @@ def test_routed_visits_come_in_bounded_frames():
     assert len(seen) == 300 * 102 and not seen.duplicated(["query", "cell", "block"]).any()
 
 
+def test_groups_of_cells_are_visited_once():
+    """A query is copied for each group of like cells, not for each cell of it."""
+    rng = np.random.default_rng(3)
+    batch = pd.DataFrame({"query": np.arange(300), "v": list(rng.normal(size=(300, 4)))})
+    order, groups = explain._packed(centres := rng.normal(size=(100, 4)), np.full(100, 10), 250)
+    assert sorted(order) == list(range(100)) and np.bincount(groups).tolist() == [25, 25, 25, 25]
+    frames = list(explain._routed(batch, centres[order], np.full(100, 1e6), np.full(100, np.inf), np.arange(4), np.array([1, 1, 2, 1]), groups))
+    seen = pd.concat(frames)
+    assert len(seen) == 300 * 5 and not seen.duplicated(["query", "cell", "block"]).any()
+
+
+@pytest.mark.parametrize("far", [0.0, 1e7, 1e13])
+def test_block_neighbours_measure_few_pairs(monkeypatch, far):
+    """Vectors that spread evenly leave no cell out; still only rows that may be among the nearest are measured one by one."""
+    rng = np.random.default_rng(5)
+    x, base = rng.normal(size=(300, 16)) + far, rng.normal(size=(6000, 16)) + far
+    base[5990:] = base[7]
+    measured = []
+    pairs = explain._pair_distances
+    monkeypatch.setattr(explain, "_pair_distances", lambda a, b, at, to: measured.append(len(at)) or pairs(a, b, at, to))
+    keys = rng.permutation(6000)
+    found = list(explain._block_neighbours(x, np.full(300, np.inf), base, keys, np.zeros(6000, int), np.full((1, 16), far), np.array([1e3]), 5))
+    q, r, d = (np.concatenate(c) for c in zip(*found, strict=True))
+    for i in range(300):
+        exact = np.sqrt(((base - x[i]) ** 2).sum(axis=1))
+        want = np.lexsort((keys, exact))[:5]
+        assert r[q == i].tolist() == want.tolist() and d[q == i].tolist() == exact[want].tolist()
+    assert sum(measured) < 300 * 6000 / (1 if far else 20)
+
+
 def test_permuted_rows_are_never_broadcast(spark, capsys):
     """The donors are the rows times the repeats, but their estimated size is that of the rows."""
     df = spark.range(40).select("id", F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("y"))

@@ -275,34 +275,122 @@ ROWS_PER_PIVOT = 500
 BLOCK_ROWS = 20_000
 ROUTED_ROWS = 10_000
 
+# Queries and pairs that are compared at once, and columns that give a first limit of the k-th distance.
+QUERY_ROWS, PAIR_ROWS, FIRST_ROWS = 256, 32_768, 1024
+
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances in slices, so that memory stays small."""
-    out = np.empty((len(a), len(b)))
-    for start in range(0, len(b), 512):
-        part = b[start: start + 512]
-        out[:, start: start + 512] = np.sqrt(((a[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
-    return out
+def _squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one product of matrices, and how far those of each row of ``a`` may be off by rounding."""
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    off = 4 * (a.shape[1] + 8) * np.finfo(a.dtype).eps * (aa + (np.nanmax(bb) if len(bb) and not np.isnan(bb).all() else 0.0))
+    out = (-2 * a) @ b.T
+    out += aa[:, None]
+    out += bb
+    return out, off
+
+
+def _short(x: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both moved to the middle of ``base`` and in half the bytes where their size allows it; their distances stay, up to rounding."""
+    middle = np.nan_to_num(base.mean(axis=0))
+    x, base = x - middle, base - middle
+    large = max(np.nanmax(np.abs(m), initial=0.0) for m in (x, base))
+    return (x.astype(np.float32), base.astype(np.float32)) if 1e-12 < large < 1e12 else (x, base)
+
+
+def _pair_distances(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Euclidean distances of pairs of rows, in slices, so that memory stays small."""
+    cuts = [slice(i, i + PAIR_ROWS) for i in range(0, len(at), PAIR_ROWS)]
+    return np.concatenate([np.empty(0), *[np.sqrt(((a[at[c]] - b[to[c]]) ** 2).sum(axis=1)) for c in cuts]])
+
+
+def _needed(x: np.ndarray, reach: np.ndarray, centres: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a row of a cell may lie within ``reach`` of a query, and the nearest cell."""
+    squares, off = _squares(x, centres)
+    least = np.sqrt(np.maximum(0.0, squares - off[:, None]))
+    return ~(least - radius > reach[:, None] * (1 + 1e-12) + 1e-9), squares.argmin(axis=1)
+
+
+def _reach(x: np.ndarray, centres: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """A distance that the k-th neighbour of each query does not exceed."""
+    squares, off = _squares(x, centres)
+    return (np.sqrt(np.maximum(0.0, squares + off[:, None])) + bound).min(axis=1)
+
 
+def _seen(pdf: pd.DataFrame, centres: np.ndarray, radius: np.ndarray, bound: np.ndarray, groups: np.ndarray) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Some queries, the groups of cells (ascending along ``centres``) that each must see, and its reach."""
+    starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+    for start in range(0, len(pdf), QUERY_ROWS):
+        part = pdf.iloc[start: start + QUERY_ROWS]
+        x = _matrix(part["v"])
+        reach = _reach(x, centres, bound)
+        yield part, np.logical_or.reduceat(_needed(x, reach, centres, radius)[0], starts, axis=1), reach
 
-def _routed(pdf: pd.DataFrame, centres: np.ndarray, radius: np.ndarray, bound: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> Iterator[pd.DataFrame]:
-    """(query, v, cell, block) for every block that a query must see, in frames of at most ``ROUTED_ROWS`` rows:
-    a query may visit every cell, and each visit copies its vector."""
-    cell_of = np.repeat(np.arange(len(ids)), blocks)
+
+def _routed(
+    pdf: pd.DataFrame, centres: np.ndarray, radius: np.ndarray, bound: np.ndarray, ids: np.ndarray, blocks: np.ndarray, groups: np.ndarray | None = None,
+) -> Iterator[pd.DataFrame]:
+    """(query, v, reach, cell, block) for every block that a query must see, in frames of at most ``ROUTED_ROWS`` rows:
+    a query may visit every cell, and each visit copies its vector.  With ``groups`` a visit is one to a whole group of cells,
+    and ``ids`` and ``blocks`` are those of the groups."""
+    of = np.repeat(np.arange(len(ids)), blocks)
     number = np.concatenate([np.arange(b) for b in blocks])
-    for start in range(0, len(pdf), 256):
-        part = pdf.iloc[start: start + 256]
-        d = _distances(_matrix(part["v"]), centres)
-        reach = (d + bound).min(axis=1)
-        query, visit = np.nonzero((d - radius <= reach[:, None] + 1e-9)[:, cell_of])
+    for part, seen, reach in _seen(pdf, centres, radius, bound, np.arange(len(centres)) if groups is None else groups):
+        query, visit = np.nonzero(seen[:, of])
         names, vectors = part["query"].to_numpy(), part["v"].to_numpy()
         for i in range(0, len(query), ROUTED_ROWS):
             q, b = query[i: i + ROUTED_ROWS], visit[i: i + ROUTED_ROWS]
-            yield pd.DataFrame({"query": names[q], "v": vectors[q], "cell": ids[cell_of[b]], "block": number[b]})
+            yield pd.DataFrame({"query": names[q], "v": vectors[q], "reach": reach[q], "cell": ids[of[b]], "block": number[b]})
+
+
+def _packed(centres: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the cells, group of each in that order): like cells side by side, at most ``most`` rows together or one cell."""
+    spread = np.nan_to_num(centres - np.nan_to_num(centres).mean(axis=0))
+    order = np.argsort(spread @ np.linalg.svd(spread, full_matrices=False)[2][0], kind="stable") if len(centres) > 1 else np.arange(len(centres))
+    groups, group, held = [], -1, most
+    for n in sizes[order]:
+        if held + n > most:
+            group, held = group + 1, 0
+        held += n
+        groups.append(group)
+    return order, np.array(groups)
+
+
+def _block_neighbours(
+    x: np.ndarray, reach: np.ndarray, base: np.ndarray, keys: np.ndarray, cells: np.ndarray, centres: np.ndarray, radius: np.ndarray, k: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, row, distance): the k nearest rows of a block to each query, among those within its reach at least.
+
+    Rows are in the order of their ``cells``.  A product of matrices tells which rows may be among the k nearest, rounding
+    included; only their distances are taken one by one, and these decide.
+    """
+    present, starts = np.unique(cells, return_index=True)
+    ends = np.r_[starts[1:], len(cells)]
+    need, nearest = _needed(x, reach, centres[present], radius[present])
+    order = np.argsort(nearest, kind="stable")  # queries of one place need the same cells
+    short, low = _short(x, base)
+    for start in range(0, len(order), QUERY_ROWS):
+        at = order[start: start + QUERY_ROWS]
+        wanted = need[at].any(axis=0)
+        rows = np.arange(len(base)) if wanted.all() else np.concatenate([np.empty(0, np.int64), *[np.arange(a, b) for a, b in zip(starts[wanted], ends[wanted], strict=True)]])
+        if not len(rows):
+            continue
+        squares, off = _squares(short[at], low if len(rows) == len(base) else low[rows])
+        some, first = min(k, len(rows)), max(1, len(rows) // FIRST_ROWS)
+        sample = squares[:, ::first] if len(rows) // first > some else squares
+        limit = np.minimum(np.partition(sample, some - 1, axis=1)[:, some - 1], reach[at] ** 2 * (1 + 1e-12) + 1e-9)
+        limit = (limit + 2 * off).astype(squares.dtype) * (1 + 4 * np.finfo(squares.dtype).eps)
+        q, r = np.divmod(np.flatnonzero(~(squares > limit[:, None])), len(rows))
+        q, r = at[q], rows[r]
+        distance = _pair_distances(x, base, q, r)
+        best = np.lexsort((keys[r], distance, q))
+        q, r, distance = q[best], r[best], distance[best]
+        heads = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.empty(0, np.int64)
+        place = np.arange(len(q)) - np.repeat(heads, np.diff(np.r_[heads, len(q)]))
+        yield q[place < k], r[place < k], distance[place < k]
 
 
 def nearest_neighbours(
@@ -311,10 +399,11 @@ def nearest_neighbours(
 ) -> DataFrame:
     """(query, key, distance, value, orden): the exact k nearest training rows of every query.
 
-    Training rows are grouped around a bounded set of pivots.  A query visits a group only if the
-    triangle inequality allows a neighbour there, so the result is exact without looking at all
-    pairs.  Groups larger than ``block_rows`` are cut into blocks, and queries into batches, so
-    no task ever holds a whole group.  Ties are broken by key.
+    Training rows are grouped around a bounded set of pivots, and like cells into groups of at most ``block_rows`` rows.
+    A query visits a group only if the triangle inequality allows a neighbour in one of its cells, and there compares
+    itself with these cells only, so the result is exact without looking at all pairs.  Cells larger than ``block_rows`` are
+    cut into blocks, and queries into batches, so no task ever holds a whole group.  A query's vector is copied once for each
+    group it visits, not for each cell.  Ties are broken by key.
     """
     spark = train.sparkSession
     if pivots is None:
@@ -326,8 +415,10 @@ def nearest_neighbours(
     def assign(batches):
         for pdf in batches:
             if len(pdf):
-                d = np.vstack([_distances(_matrix(pdf["v"][i: i + 256]), centres) for i in range(0, len(pdf), 256)])
-                yield pdf.assign(cell=d.argmin(axis=1), gap=d.min(axis=1))
+                x = _matrix(pdf["v"])
+                cell = np.concatenate([_squares(x[i: i + QUERY_ROWS], centres)[0].argmin(axis=1) for i in range(0, len(x), QUERY_ROWS)])
+                # a row without a distance is in no one's way, and its cell is always seen
+                yield pdf.assign(cell=cell.astype(np.int32), gap=np.nan_to_num(_pair_distances(x, centres, np.arange(len(x)), cell), nan=np.inf))
 
     tr = train.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("v"), F.col(value).cast("double").alias("value"))
     placed = materialised(tr.mapInPandas(assign, "key bigint, v array<double>, value double, cell int, gap double"), "cells")
@@ -336,46 +427,52 @@ def nearest_neighbours(
     kth = placed.select("cell", "gap", "key").withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= k).groupBy("cell").agg(
         F.when(F.count("*") >= k, F.max("gap")).alias("kth")
     )
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).join(kth, "cell").collect()  # one row per pivot
-    ids = np.array([c["cell"] for c in cells])
-    radius = np.array([c["radius"] for c in cells])
-    blocks = np.array([-(-c["n"] // block_rows) for c in cells])
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).join(kth, "cell").orderBy("cell").collect()  # one row per pivot
+    order, groups = _packed(centres[[c["cell"] for c in cells]], np.array([c["n"] for c in cells]), block_rows)
+    cells = [cells[i] for i in order]
+    used, radius = centres[[c["cell"] for c in cells]], np.array([c["radius"] for c in cells])
     bound = np.array([c["kth"] if c["kth"] is not None else np.inf for c in cells])
-    used = centres[ids]
+    ids = np.arange(groups[-1] + 1)
+    blocks = np.array([-(-n // block_rows) for n in np.bincount(groups, [c["n"] for c in cells]).astype(np.int64)])
+
+    def visit(batches):
+        counted = np.zeros(len(ids), np.int64)
+        for pdf in batches:
+            for _, seen, _ in _seen(pdf, used, radius, bound, groups):
+                counted += seen.sum(axis=0)
+        yield pd.DataFrame({"cell": ids, "n": counted})
 
     def route(batches):
         for pdf in batches:
-            yield from _routed(pdf, used, radius, bound, ids, blocks)
+            yield from _routed(pdf, used, radius, bound, ids, blocks, groups)
 
     qs = queries.select(F.col(key).cast("bigint").alias("query"), F.col(vector).cast("array<double>").alias("v"))
-    routed = materialised(qs.mapInPandas(route, "query bigint, v array<double>, cell int, block int"), "routed")
-    visits = {r[0]: r[1] for r in routed.where("block = 0").groupBy("cell").count().collect()}  # one row per pivot
+    # where queries go is told twice, which costs less than keeping a copy of each for every visit
+    visits = {r[0]: r[1] for r in qs.mapInPandas(visit, "cell int, n long").groupBy("cell").agg(F.sum("n")).where("sum(n) > 0").collect()}  # one row per group
     if not visits:
         return spark.createDataFrame([], "query bigint, key bigint, distance double, value double, orden int")
 
-    def per_cell(numbers: Mapping[int, int]):
-        return F.element_at(F.create_map(*[F.lit(x) for c, n in numbers.items() for x in (int(c), int(n))]), F.col("cell"))
+    def per_group(numbers: Mapping[int, int]):
+        return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for c, n in numbers.items() for x in (int(c), int(n))]), F.col("cell")), F.lit(1))
 
-    # a cell takes as many batches of queries as its visits need, and nothing is copied elsewhere
-    batches = per_cell({c: -(-n // block_rows) for c, n in visits.items()})
-    cut = per_cell({int(c): int(b) for c, b in zip(ids, blocks, strict=True)})
-    left_side = routed.withColumn("batch", F.pmod(F.xxhash64("query"), batches).cast("int"))
-    right_side = placed.where(F.col("cell").isin([int(c) for c in visits])).select(
-        "key", "v", "value", "cell", F.pmod(F.xxhash64("key"), cut).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), batches - 1)).alias("batch")
+    # a group takes as many batches of queries as its visits need, and nothing is copied elsewhere
+    batches = per_group({c: -(-n // block_rows) for c, n in visits.items()})
+    cut = per_group({int(c): int(b) for c, b in zip(ids, blocks, strict=True)})
+    places = spark.createDataFrame([(c["cell"], i, int(g)) for i, (c, g) in enumerate(zip(cells, groups, strict=True))], "_cell int, at int, cell int")
+    left_side = qs.mapInPandas(route, "query bigint, v array<double>, reach double, cell int, block int").withColumn("batch", F.pmod(F.xxhash64("query"), batches).cast("int"))
+    right_side = placed.withColumnRenamed("cell", "_cell").join(F.broadcast(places.where(F.col("cell").isin([int(c) for c in visits]))), "_cell").select(
+        "key", "v", "value", "at", "cell", F.pmod(F.xxhash64("key"), cut).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), batches - 1)).alias("batch")
     )
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query", "key", "distance", "value"]
         if not len(left) or not len(right):
             return pd.DataFrame(columns=names)
-        base, found = _matrix(right["v"]), []
-        right_keys, right_values = right["key"].to_numpy(), right["value"].to_numpy()
-        for start in range(0, len(left), 64):
-            part = left.iloc[start: start + 64]
-            for q, line in zip(part["query"], _distances(_matrix(part["v"]), base), strict=True):
-                order = np.lexsort((right_keys, line))[:k]
-                found.extend((q, right_keys[i], line[i], right_values[i]) for i in order)
-        return pd.DataFrame(found, columns=names)
+        right = right.sort_values("at", kind="stable")
+        keys, values, queries = right["key"].to_numpy(), right["value"].to_numpy(), left["query"].to_numpy()
+        found = _block_neighbours(_matrix(left["v"]), left["reach"].to_numpy(), _matrix(right["v"]), keys, right["at"].to_numpy(), used, radius, k)
+        parts = [pd.DataFrame(dict(zip(names, (queries[q], keys[r], d, values[r]), strict=True))) for q, r, d in found]
+        return pd.concat(parts) if parts else pd.DataFrame(columns=names)
 
     grouping = ["cell", "block", "batch"]
     partial = left_side.groupBy(*grouping).cogroup(right_side.groupBy(*grouping)).applyInPandas(match, "query bigint, key bigint, distance double, value double")
