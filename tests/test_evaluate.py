@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import COLUMNS, frame
 from wardframe.functions import pvalues
-from wardframe.operators import association, evaluate, explain, models, profile
+from wardframe.operators import association, evaluate, explain, foldranks, models, profile
 from wardframe.plans import admissions as adm
 
 Y = adm.TARGET
@@ -208,6 +208,30 @@ def test_counted_line_predictions_score_like_the_rows(spark):
             assert [v for v in b[4:] if v is not None] == pytest.approx([v for v in a[4:] if v is not None], abs=1e-8)
 
 
+@pytest.mark.parametrize("chunk,piece", [(50_000, 200_000), (40, 60)])
+def test_fold_scores_without_a_row_per_line(spark, monkeypatch, chunk, piece):
+    """Copies, a target that many rows share, unknown targets and keys: the scores of the rows, from chunks and pieces of any size."""
+    monkeypatch.setattr(foldranks, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(foldranks, "PIECE_ROWS", piece)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(chunk, 10_000))
+    try:
+        one = frame(spark, 60, nulls=0.1).withColumn(Y, F.when(F.col("id") % 9 != 0, F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.col(Y))))
+        df = one.crossJoin(spark.range(12).withColumnRenamed("id", "copy")).withColumn("id", F.when(F.col("id") != 7, F.col("id") * 40 + F.col("copy")))
+        score = F.expr(models.heuristic_sql(adm.HEURISTIC_DOMAINS, dict(df.dtypes)))
+        for x, clip in ((score, True), (score * -1.0, False), (None, False)):
+            rows = evaluate.line_fold_predictions(df, "id", Y, x, 3, 2, clip=clip).withColumn("prediction", F.round("prediction", 9))
+            by = lambda r: (r.repeticion, -1 if r.fold is None else r.fold, r.rol)
+            slow = sorted(evaluate.fold_scores(rows).collect(), key=by)
+            fast = sorted(evaluate.line_fold_scores(df, "id", Y, x, 3, 2, clip=clip, digits=9).collect(), key=by)
+            assert [by(r) + (r.n,) for r in fast] == [by(r) + (r.n,) for r in slow]
+            for a, b in zip(slow, fast, strict=True):
+                assert [v is None for v in a] == [v is None for v in b]
+                assert [v for v in b[4:] if v is not None] == pytest.approx([v for v in a[4:] if v is not None], abs=1e-8)
+        assert evaluate.line_fold_scores(df.where("id < 0"), "id", Y, score, 3, 2).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_report_computes_its_metrics_once(spark, capsys):
     rows = spark.range(60).select(F.when(F.col("id") % 2 == 0, "dummy").otherwise("other").alias("modelo"), (F.col("id") * 1.0).alias("y"), (F.col("id") % 7 * 1.0).alias("prediction"))
     report = evaluate.metric_report(evaluate.regression_metrics(rows, "y", by=["modelo"]))
