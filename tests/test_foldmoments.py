@@ -93,3 +93,19 @@ def test_counts_stand_for_the_predictions(spark, rows, scheme):
     summed = {tuple(r[:5]): r[5] for r in moments.counts().groupBy(*names).agg(F.sum("n")).collect()}
     at = lambda lines: sorted(((r, f, o, -1.0 if y is None else y, round(p, 9)), n) for (r, f, o, y, p), n in lines.items())
     assert at(plain) == at(summed)
+
+
+def test_scores_and_errors_are_those_of_the_predictions(spark, rows):
+    """Unknown targets and cells: no row per fit is made, neither for the errors nor for the ranks."""
+    fits = {n: LinearFit(TARGET, PLANS[n], 1.0) for n in ("1_base", "free")}
+    moments = evaluate.fold_moments(rows, fits, "repetido", "id", TARGET, 3, 2)
+    by = ["variante", "repeticion", "fold"]
+    plan = moments.errors()._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    got = {tuple(r[b] for b in by): (r["n"], r["s"] / r["n"]) for r in moments.errors().collect()}
+    same(got, {k[:3]: v[:2] for k, v in metrics(moments.predictions().where("rol = 'validacion'"), by).items()})
+    single = evaluate.fold_moments(rows, {"": fits["free"]}, "repetido", "id", TARGET, 3, 2)
+    names = ["repeticion", "fold", "rol"]
+    want = {tuple(r[b] for b in names): tuple(r)[3:] for r in evaluate.fold_scores(single.predictions()).collect()}
+    same({tuple(r[b] for b in names): tuple(r)[3:] for r in single.scores().collect()}, want)
+    assert len(want) == 12
